@@ -1,9 +1,10 @@
-"""Polygon predicates over Arrow batches: valid, intersects, contains.
+"""Polygon functions over Arrow batches: centroid, valid, intersects, contains.
 
 Whether a ring crosses itself is a question about one row. Asking it with joins would explode every
 vertex of the table into several shuffled rows, so it is asked in place: one vectorized sweep over
-the segments of a whole batch, with no Python loop over rows and no shuffle. Which polygons meet
-which is decided by Spark joins before any of this runs (``operators.pairs``).
+the segments of a whole batch, with no Python loop over rows and no shuffle. The same holds for the
+centroid, where higher-order functions interpret every vertex (about 50 times slower). Which
+polygons meet which is decided by Spark joins before any of this runs (``operators.pairs``).
 """
 
 from __future__ import annotations
@@ -28,7 +29,9 @@ class _Shapes:
         per_row, parts = counts(geoms), geoms.flatten()
         per_part, rings = counts(parts), parts.flatten()
         self.ring_len, points = counts(rings), rings.flatten()
-        self.x, self.y = (c.to_numpy(zero_copy_only=False).astype(float) for c in points.flatten())
+        self.x, self.y = (
+            np.array(c.to_numpy(zero_copy_only=False), dtype=float) for c in points.flatten()
+        )
         self.rows = len(geoms)
         self.ring_part = np.repeat(np.arange(len(per_part)), per_part)
         self.ring_row = np.repeat(np.arange(self.rows), per_row)[self.ring_part]
@@ -37,6 +40,8 @@ class _Shapes:
         self.ring_start = np.cumsum(self.ring_len) - self.ring_len
         self.point_ring = np.repeat(np.arange(len(self.ring_len)), self.ring_len)
         self.finite = np.isfinite(self.x) & np.isfinite(self.y)
+        self.x[self.x == 0] = 0.0  # no negative zero
+        self.y[self.y == 0] = 0.0
 
         at = np.flatnonzero(self.point_ring[:-1] == self.point_ring[1:])
         moves = (self.x[at] != self.x[at + 1]) | (self.y[at] != self.y[at + 1])
@@ -281,6 +286,39 @@ def containing_rows(a: _Shapes, b: _Shapes) -> np.ndarray:
     return ~fails
 
 
+def centroids(s: _Shapes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(x, y, whether there is one) per row. Shells weigh positive and holes negative, however they
+    wind. Without area: the length-weighted middle; without length: the first point. Sums run in
+    vertex order relative to the first point, so equal vertex lists give equal doubles."""
+    row_points = s.ring_row[s.point_ring]
+    first = np.searchsorted(row_points, np.arange(s.rows))
+    known = np.bincount(row_points, minlength=s.rows) > 0
+    x0, y0 = np.zeros(s.rows), np.zeros(s.rows)
+    x0[known], y0[known] = s.x[first[known]], s.y[first[known]]
+    ax, ay, bx, by = (s.seg - np.column_stack([x0, y0, x0, y0])[s.seg_row]).T
+
+    def per_ring(values):
+        return np.bincount(s.seg_ring, weights=values, minlength=len(s.ring_len))
+
+    def per_row(values):
+        return np.bincount(s.ring_row, weights=values, minlength=s.rows)
+
+    cross = ax * by - bx * ay
+    area = per_ring(cross)
+    role = np.sign(area) * np.where(s.is_shell, 1.0, -1.0)
+    total = per_row(role * area)
+    length = np.hypot(bx - ax, by - ay)
+    line = per_row(per_ring(length))
+    flat = total == 0
+    x, y = x0.copy(), y0.copy()
+    with np.errstate(invalid="ignore", divide="ignore"):
+        for out, plus in ((x, ax + bx), (y, ay + by)):
+            by_area = per_row(role * per_ring(cross * plus)) / (3 * total)
+            by_line = per_row(per_ring(length * plus)) / (2 * line)
+            out += np.where(~flat, by_area, np.where(line > 0, by_line, 0.0))
+    return x, y, known
+
+
 def _with_nulls(result: np.ndarray, *inputs: pa.Array) -> pa.Array:
     missing = np.zeros(len(result), bool)
     for column in inputs:
@@ -304,3 +342,10 @@ def intersects(a: pa.Array, b: pa.Array) -> pa.Array:
 def contains(a: pa.Array, b: pa.Array) -> pa.Array:
     """Whether the first polygon geometry contains the second."""
     return _with_nulls(containing_rows(_Shapes(a), _Shapes(b)), a, b)
+
+
+@F.arrow_udf("struct<x:double,y:double>")
+def centroid(geom: pa.Array) -> pa.Array:
+    """Area centroid; null for a missing or empty geometry."""
+    x, y, known = centroids(_Shapes(geom))
+    return pa.StructArray.from_arrays([pa.array(x), pa.array(y)], names=["x", "y"], mask=pa.array(~known))

@@ -1,41 +1,38 @@
-"""String rules: blank trimming, identifier validity, years, numbers."""
+"""String rules as SQL text: blank trimming, identifier validity, years, numbers."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Texts that stand for "no identifier", compared in lower case without outer blanks.
 PLACEHOLDER_IDS = ("none", "nan", "", "null")
 
 
-def strip(c: Column) -> Column:
+def strip(c: str) -> str:
     """Remove any leading and trailing white space (``trim`` removes blanks only)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return rf"regexp_replace({c}, r'^\s+|\s+$', '')"
 
 
-def is_valid_id(c: Column) -> Column:
+def is_valid_id(c: str) -> str:
     """True for text that is neither missing nor a placeholder. Never null."""
-    return F.coalesce(~F.lower(strip(c)).isin(*PLACEHOLDER_IDS), F.lit(False))
+    words = ", ".join(f"'{w}'" for w in PLACEHOLDER_IDS)
+    return f"coalesce(lower({strip(c)}) NOT IN ({words}), false)"
 
 
-def is_given(c: Column) -> Column:
+def is_given(c: str) -> str:
     """True unless the text is null, empty, ``0`` or not-a-number. Never null."""
-    return F.coalesce(~F.lower(c).isin("", "0", "nan"), F.lit(False))
+    return f"coalesce(lower({c}) NOT IN ('', '0', 'nan'), false)"
 
 
-def canonical_year(c: Column) -> Column:
+def canonical_year(c: str) -> str:
     """``2003.0`` and ``2003`` are one year; anything else stays as it is."""
-    return F.regexp_replace(c, r"^(-?\d+)\.0+$", "$1")
+    return rf"regexp_replace({c}, r'^(-?\d+)\.0+$', '$1')"
 
 
-def to_number(c: Column) -> Column:
+def to_number(c: str) -> str:
     """Text to double; null where the text is not a plain decimal number."""
-    text = strip(c)
-    plain = text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")
-    return F.when(plain, text.try_cast("double"))
+    plain = rf"rlike({strip(c)}, r'^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$')"
+    return f"CASE WHEN {plain} THEN try_cast({strip(c)} AS double) END"
 
 
-def normalize_name(c: Column) -> Column:
+def normalize_name(c: str) -> str:
     """Data-side twin of ``operators.fields.normalize_field_name``."""
-    return F.replace(strip(F.lower(c)), F.lit(" "), F.lit("_"))
+    return f"replace({strip(f'lower({c})')}, ' ', '_')"

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perimetry.config import Settings
-from perimetry.functions.geometry import with_centroid
+from perimetry.functions.shapes import centroid
 
 
 def source_priority(source: Column, settings: Settings) -> Column:
@@ -22,12 +22,13 @@ def source_priority(source: Column, settings: Settings) -> Column:
 
 def with_dedup_key(df: DataFrame, settings: Settings) -> DataFrame:
     """Add the key columns ``cx``, ``cy`` (null for an empty geometry) and ``priority``."""
-    df = with_centroid(df, "geom", "_centroid")
-    x, y = F.col("_centroid.x"), F.col("_centroid.y")
+    if "centroid" not in df.columns:
+        df = df.withColumn("centroid", centroid("geom"))
+    x, y = F.col("centroid.x"), F.col("centroid.y")
     if settings.key_decimals is not None:
         x, y = F.round(x, settings.key_decimals), F.round(y, settings.key_decimals)
     priority = source_priority(F.col("source_dataset"), settings)
-    return df.withColumns({"cx": x, "cy": y, "priority": priority}).drop("_centroid")
+    return df.withColumns({"cx": x, "cy": y, "priority": priority}).drop("centroid")
 
 
 def deduplicate(df: DataFrame, settings: Settings) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from perimetry.functions.barrier import stage
 from perimetry.functions.dates import with_parsed_date
@@ -26,12 +25,10 @@ def fill_year(df: DataFrame) -> DataFrame:
 
     Only nulls are filled: an empty or placeholder year stays and is judged by the quality rules.
     """
-    date_year = F.year("perimeter_date").cast("string")
-    year = F.col("fire_year")
     return stage(
         df,
-        fire_year=F.coalesce(canonical_year(year), date_year),
-        year_filled=year.isNull() & F.col("perimeter_date").isNotNull(),
+        fire_year=f"coalesce({canonical_year('fire_year')}, cast(year(perimeter_date) AS string))",
+        year_filled="fire_year IS NULL AND perimeter_date IS NOT NULL",
     )
 
 
@@ -40,21 +37,16 @@ def unify_ids(df: DataFrame) -> DataFrame:
 
     A local number is unique only with its year and unit, so without both that tier is skipped.
     """
-    tier = F
+    tiers, values = "", ""
     for name, column in ID_TIERS:
-        usable = is_valid_id(F.col(column))
+        usable, value = is_valid_id(column), strip(column)
         if name == "local":
-            usable = usable & is_given(F.col("fire_year")) & is_given(F.col("unit_id"))
-        tier = tier.when(usable, name)
-    df = stage(df, id_type=tier.otherwise(NO_ID))
-    value = F
-    for name, column in ID_TIERS:
-        if name == "local":
-            text = F.concat_ws("-", "fire_year", "unit_id", column)
-        else:
-            text = strip(F.col(column))
-        value = value.when(F.col("id_type") == name, text)
-    return stage(df, incident_id=value.otherwise(None))
+            usable += f" AND {is_given('fire_year')} AND {is_given('unit_id')}"
+            value = f"concat_ws('-', fire_year, unit_id, {column})"
+        tiers += f" WHEN {usable} THEN '{name}'"
+        values += f" WHEN '{name}' THEN {value}"
+    df = stage(df, id_type=f"CASE {tiers} ELSE '{NO_ID}' END")
+    return stage(df, incident_id=f"CASE id_type {values} END")
 
 
 def identify(df: DataFrame) -> DataFrame:

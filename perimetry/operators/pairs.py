@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perimetry.functions.geometry import bbox, bboxes_meet
-from perimetry.functions.predicates import contains, intersects
+from perimetry.functions.shapes import contains, intersects
 
 
 def within_elapsed_days(first: Column, second: Column, days: int) -> Column:

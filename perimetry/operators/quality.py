@@ -2,45 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perimetry.config import Settings
 from perimetry.functions.barrier import stage
 from perimetry.functions.dates import in_year_range
-from perimetry.functions.predicates import is_valid
+from perimetry.functions.shapes import centroid, is_valid
 from perimetry.operators.identity import NO_ID
 
 
-def _missing(field: str) -> Column:
+def _missing(field: str) -> str:
     if field == "geometry":
-        return F.col("geom").isNull()
-    c = F.col(field)
-    return c.isNull() | c.isin("", "None")
+        return "geom IS NULL"
+    return f"({field} IS NULL OR {field} IN ('', 'None'))"
 
 
-def max_year(settings: Settings) -> Column:
-    if settings.max_year is not None:
-        return F.lit(settings.max_year)
-    return F.year(F.current_date()) + 1
+def max_year(settings: Settings) -> int | str:
+    return "year(current_date()) + 1" if settings.max_year is None else settings.max_year
 
 
 def classify(df: DataFrame, settings: Settings) -> DataFrame:
     """Add ``reject_reason``: ``no_id``, ``invalid_date``, ``missing_<field>``, ``invalid_geometry``
     or null for a record that passes. A missing date passes; only a date out of range fails.
 
-    The cheap rules come first and the geometry test sees null for records they reject.
+    The cheap rules come first; the geometry test sees null for records they reject. Its by-product
+    ``centroid`` is kept for the duplicate key.
     """
-    date = F.col("perimeter_date")
-    reason = F.when(F.col("id_type") == NO_ID, "no_id").when(
-        date.isNotNull() & ~in_year_range(date, settings.min_year, max_year(settings)), "invalid_date"
-    )
-    for field in settings.required_fields:
-        reason = reason.when(_missing(field), f"missing_{field}")
-    df = stage(df, _early=reason)
-    tested = df.withColumn("_valid", is_valid(F.when(F.col("_early").isNull(), F.col("geom"))))
-    bad = F.when(~F.col("_valid"), "invalid_geometry")
-    return tested.withColumn("reject_reason", F.coalesce("_early", bad)).drop("_early", "_valid")
+    in_range = in_year_range("perimeter_date", settings.min_year, max_year(settings))
+    rules = [(f"id_type = '{NO_ID}'", "no_id"), (f"perimeter_date IS NOT NULL AND NOT {in_range}", "invalid_date")]
+    rules += [(_missing(field), f"missing_{field}") for field in settings.required_fields]
+    first = " ".join(f"WHEN {rule} THEN '{reason}'" for rule, reason in rules)
+    df = stage(df, _early=f"CASE {first} END")
+    # both functions read the same column, so a geometry crosses to Python once
+    looked_at = F.expr("CASE WHEN _early IS NULL THEN geom END")
+    tested = df.withColumns({"_valid": is_valid(looked_at), "centroid": centroid(looked_at)})
+    reason = F.expr("coalesce(_early, CASE WHEN NOT _valid THEN 'invalid_geometry' END)")
+    return tested.withColumn("reject_reason", reason).drop("_early", "_valid")
 
 
 def passed(df: DataFrame) -> DataFrame:
@@ -49,7 +47,7 @@ def passed(df: DataFrame) -> DataFrame:
 
 def without_id(df: DataFrame) -> DataFrame:
     """Records no tier could identify, all columns but the geometry."""
-    return df.filter(F.col("id_type") == NO_ID).drop("geom", "reject_reason", "year_filled")
+    return df.filter(F.col("id_type") == NO_ID).drop("geom", "centroid", "reject_reason", "year_filled")
 
 
 def reason_counts(df: DataFrame) -> DataFrame:

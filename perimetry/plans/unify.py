@@ -21,4 +21,4 @@ def classified(normalized: DataFrame, settings: Settings) -> DataFrame:
 def unified(classified_records: DataFrame, settings: Settings) -> DataFrame:
     """The passing records, one per duplicate key, in the output schema. One shuffle."""
     kept = deduplicate(passed(classified_records), settings)
-    return kept.withColumn("fire_year", to_number(F.col("fire_year"))).select(*OUTPUT_COLUMNS)
+    return kept.withColumn("fire_year", F.expr(to_number("fire_year"))).select(*OUTPUT_COLUMNS)

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perimetry.config import Settings
-from perimetry.functions.geometry import point, polygon
 from perimetry.schema import GEOM
 
 SETTINGS = Settings(max_year=2027)
@@ -61,21 +60,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def adapter_geom() -> "F.Column":
-    """The polygon of one adapter row."""
-    cx, cy, half, kind = F.col("cx"), F.col("cy"), F.col("half"), F.col("geom_kind")
-    a, b = point(cx - half, cy - half), point(cx + half, cy - half)
-    c, d = point(cx + half, cy + half), point(cx - half, cy + half)
-    return (
-        F.when(kind == "box", polygon(F.array(a, b, c, d, a)))
-        .when(kind == "bowtie", polygon(F.array(a, c, b, d, a)))
-        .when(kind == "empty", F.array().cast(GEOM))
-    )
+def _corner(x: str, y: str) -> str:
+    return f"named_struct('x', cx {x} half, 'y', cy {y} half)"
+
+
+_A, _B, _C, _D = _corner("-", "-"), _corner("+", "-"), _corner("+", "+"), _corner("-", "+")
+# The polygon of one adapter row.
+GEOM_SQL = f"""CASE geom_kind
+  WHEN 'box' THEN array(array(array({_A}, {_B}, {_C}, {_D}, {_A})))
+  WHEN 'bowtie' THEN array(array(array({_A}, {_C}, {_B}, {_D}, {_A})))
+  WHEN 'empty' THEN cast(array() AS {GEOM}) END"""
 
 
 def adapter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``A`` with the raw text columns, the box parameters and ``geom``."""
-    return spark.sql(A_SQL, orders=table(spark, sf_dir, "orders")).withColumn("geom", adapter_geom())
+    raw = spark.sql(A_SQL, orders=table(spark, sf_dir, "orders"))
+    return raw.withColumn("geom", F.expr(GEOM_SQL))
 
 
 def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
