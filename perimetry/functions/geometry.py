@@ -54,7 +54,8 @@ def bboxes_meet(a: Column, b: Column) -> Column:
 
 def point_text(p: Column) -> Column:
     """``POINT (x y)``, or ``NOGEOM`` where there is no point."""
-    return F.coalesce(F.format_string("POINT (%s %s)", p["x"], p["y"]), F.lit("NOGEOM"))
+    text = F.format_string("POINT (%s %s)", p["x"], p["y"])
+    return F.when(p.isNull(), "NOGEOM").otherwise(text)
 
 
 def _map_points(geom: Column, change) -> Column:

@@ -15,6 +15,9 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from perimetry.schema import POINT_TYPE
 
 _CHUNK = 1 << 20  # candidate pairs looked at together
 
@@ -326,25 +329,25 @@ def _with_nulls(result: np.ndarray, *inputs: pa.Array) -> pa.Array:
     return pa.array(result, pa.bool_(), mask=missing)
 
 
-@F.arrow_udf("boolean")
+@F.arrow_udf(T.BooleanType())
 def is_valid(geom: pa.Array) -> pa.Array:
     """Validity of a polygon geometry; empty is valid, null is null."""
     return _with_nulls(valid_rows(_Shapes(geom)), geom)
 
 
-@F.arrow_udf("boolean")
+@F.arrow_udf(T.BooleanType())
 def intersects(a: pa.Array, b: pa.Array) -> pa.Array:
     """Closed intersection of two polygon geometries."""
     return _with_nulls(intersecting_rows(_Shapes(a), _Shapes(b)), a, b)
 
 
-@F.arrow_udf("boolean")
+@F.arrow_udf(T.BooleanType())
 def contains(a: pa.Array, b: pa.Array) -> pa.Array:
     """Whether the first polygon geometry contains the second."""
     return _with_nulls(containing_rows(_Shapes(a), _Shapes(b)), a, b)
 
 
-@F.arrow_udf("struct<x:double,y:double>")
+@F.arrow_udf(POINT_TYPE)
 def centroid(geom: pa.Array) -> pa.Array:
     """Area centroid; null for a missing or empty geometry."""
     x, y, known = centroids(_Shapes(geom))

@@ -71,3 +71,69 @@ def funnel_steps(row: DataFrame) -> DataFrame:
         ),
     )
     return row.select(F.inline(steps))
+
+
+# Fixed text of the printed report.
+_TEXT = """\
+{rule}
+ML TRAINING PAIRS - STEP-BY-STEP FILTERING
+{rule}
+
+{step0:<50}
+  Total perimeters: {perimeters:,}
+  Total incidents: {incidents:,}
+
+{step1:<50}
+  Before: {incidents:,} incidents
+  Removed (single perimeter): {single_incidents:,} incidents
+  After: {multi_incidents:,} incidents
+  Total pairs: {multi_pairs:,}
+
+{step2:<50}
+  Before: {multi_incidents:,} incidents
+  Removed (missing dates): {undated_incidents:,} incidents
+  After: {dated_incidents:,} incidents
+  Total pairs: {dated_pairs:,}
+
+{step3:<50}
+  Before: {dated_incidents:,} incidents, {dated_pairs:,} pairs
+  Removed pairs (same timestamp): {same_timestamp_pairs:,}
+  After: {distinct_incidents:,} incidents, {distinct_pairs:,} pairs
+
+{step4:<50}
+  Before: {distinct_incidents:,} incidents, {distinct_pairs:,} pairs
+  Removed pairs (gap > 6 days): {long_gap_pairs:,}
+  After: {usable_incidents:,} incidents, {usable_pairs:,} pairs
+
+{rule}
+FINAL SUMMARY
+{rule}
+
+Usable for ML training:
+  Incidents: {usable_incidents:,}
+  Training pairs: {usable_pairs:,}
+
+Reduction from original dataset:
+  Started with: {incidents:,} incidents
+  Ended with: {usable_incidents:,} incidents ({share})
+
+{rule}"""
+_STEPS = (
+    "STEP 0: Starting dataset",
+    "STEP 1: Filter to multi-perimeter incidents",
+    "STEP 2: Filter to incidents with all dates",
+    "STEP 3: Remove pairs with same timestamp",
+    "STEP 4: Remove pairs with gap > 6 days",
+)
+
+
+def funnel_text(counters: dict) -> str:
+    """The printed report of one row of ``funnel``."""
+    share = "n/a" if counters["usable_percent"] is None else f"{counters['usable_percent']:.1f}%"
+    return _TEXT.format(
+        rule="=" * 70,
+        undated_incidents=counters["multi_incidents"] - counters["dated_incidents"],
+        share=share,
+        **{f"step{i}": text for i, text in enumerate(_STEPS)},
+        **counters,
+    )

@@ -11,6 +11,9 @@ from perimetry.config import ROSTER_ALIASES
 from perimetry.functions.dates import with_parsed_date
 from perimetry.operators.fields import first_present
 
+# The same for records whose fields the reader has resolved already.
+RESOLVED = {name: (name,) for name in ROSTER_ALIASES}
+
 # Fixed values: (heading, width) of the report columns.
 REPORT_COLUMNS = (("Fire Name", 40), ("Start Date", 12), ("Incident ID", 30), ("Max Acres", 12))
 
@@ -58,3 +61,9 @@ def roster_lines(rows: DataFrame) -> DataFrame:
     )
     padded = [F.rpad(c, width, " ") for c, (_, width) in zip(cells, REPORT_COLUMNS)]
     return rows.withColumn("line", F.concat_ws(" ", *padded))
+
+
+def roster_heading() -> str:
+    """The two heading lines above the report rows."""
+    heads = " ".join(f"{name:<{width}}" for name, width in REPORT_COLUMNS)
+    return f"{heads}\n{'-' * 100}"

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from perimetry.functions.shapes import centroid
+
 # Fixed value: about this many perimeters of a timeline carry a label.
 LABELS = 15
 
@@ -60,6 +62,14 @@ def with_labels(positioned: DataFrame) -> DataFrame:
     )
 
 
+def with_label_points(items: DataFrame, table: DataFrame) -> DataFrame:
+    """Add ``label_point``, the centroid of a labelled perimeter; geometries of others stay out."""
+    geoms = table.select(F.col("row_id").alias("row"), F.col("geom").alias("_geom"))
+    labelled = items.filter("is_label").select("row").join(geoms, "row")
+    points = labelled.select("row", centroid("_geom").alias("label_point"))
+    return items.join(points, "row", "left")
+
+
 def timeline(pairs: DataFrame, key: str = "incident_id") -> DataFrame:
     return with_labels(with_positions(timeline_items(pairs, key), key))
 

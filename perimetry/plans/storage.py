@@ -25,6 +25,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/perimetry/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out to all cores if the scan has fewer partitions than cores (one row group, one
+    archive). A scan with enough partitions is returned as it is, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back: cuts the lineage, survives lost executors, and every
     later use reads only the columns it needs."""

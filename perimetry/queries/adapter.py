@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perimetry.config import Settings
+from perimetry.plans.storage import spread
 from perimetry.schema import GEOM
 
 SETTINGS = Settings(max_year=2027)
@@ -74,7 +75,7 @@ GEOM_SQL = f"""CASE geom_kind
 
 def adapter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``A`` with the raw text columns, the box parameters and ``geom``."""
-    raw = spark.sql(A_SQL, orders=table(spark, sf_dir, "orders"))
+    raw = spark.sql(A_SQL, orders=spread(table(spark, sf_dir, "orders")))
     return raw.withColumn("geom", F.expr(GEOM_SQL))
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import types as T
+
 POINT = "struct<x:double,y:double>"
 # polygons -> rings (the first is the shell) -> points
 GEOM = f"array<array<array<{POINT}>>>"
-BBOX = "struct<xmin:double,ymin:double,xmax:double,ymax:double>"
+POINT_TYPE = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
+GEOM_TYPE = T.ArrayType(T.ArrayType(T.ArrayType(POINT_TYPE)))
 
 ID_COLUMNS = (
     "incident_id_raw",
