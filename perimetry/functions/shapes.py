@@ -347,8 +347,19 @@ def contains(a: pa.Array, b: pa.Array) -> pa.Array:
     return _with_nulls(containing_rows(_Shapes(a), _Shapes(b)), a, b)
 
 
+def _points(x: np.ndarray, y: np.ndarray, known: np.ndarray) -> pa.Array:
+    return pa.StructArray.from_arrays([pa.array(x), pa.array(y)], names=["x", "y"], mask=pa.array(~known))
+
+
 @F.arrow_udf(POINT_TYPE)
 def centroid(geom: pa.Array) -> pa.Array:
     """Area centroid; null for a missing or empty geometry."""
-    x, y, known = centroids(_Shapes(geom))
-    return pa.StructArray.from_arrays([pa.array(x), pa.array(y)], names=["x", "y"], mask=pa.array(~known))
+    return _points(*centroids(_Shapes(geom)))
+
+
+@F.arrow_udf(T.StructType([T.StructField("valid", T.BooleanType()), T.StructField("centroid", POINT_TYPE)]))
+def measure(geom: pa.Array) -> pa.Array:
+    """Validity and centroid at once, so that a geometry crosses to Python once."""
+    shapes = _Shapes(geom)
+    valid = _with_nulls(valid_rows(shapes), geom)
+    return pa.StructArray.from_arrays([valid, _points(*centroids(shapes))], names=["valid", "centroid"])

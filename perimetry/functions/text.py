@@ -7,8 +7,8 @@ PLACEHOLDER_IDS = ("none", "nan", "", "null")
 
 
 def strip(c: str) -> str:
-    """Remove any leading and trailing white space (``trim`` removes blanks only)."""
-    return rf"regexp_replace({c}, r'^\s+|\s+$', '')"
+    """Remove any leading and trailing white space, Unicode included (``trim`` removes blanks only)."""
+    return rf"regexp_replace({c}, r'(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$', '')"
 
 
 def is_valid_id(c: str) -> str:

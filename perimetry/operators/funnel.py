@@ -13,32 +13,32 @@ def funnel(
 ) -> DataFrame:
     """One row of counters. Incidents with any undated perimeter drop out as a whole."""
     counts = pair_counts(df.select(key, ts), max_gap_days, key, ts)
-    known = F.col(key).isNotNull()
-    multi = known & (F.col("perimeters") > 1)
-    dated = multi & (F.col("undated") == 0)
-    distinct = dated & (F.col("moments") > 1)
-    usable = distinct & (F.col("calendar_pairs") > 0)
-
-    def total(condition, value):
-        return F.coalesce(F.sum(F.when(condition, value)), F.lit(0))
-
-    n = F.col("perimeters")
-    return counts.agg(
-        F.coalesce(F.sum(n), F.lit(0)).alias("perimeters"),
-        F.count_if(known).alias("incidents"),
-        F.count_if(known & (n == 1)).alias("single_incidents"),
-        F.count_if(multi).alias("multi_incidents"),
-        total(multi, n - 1).alias("multi_pairs"),
-        F.count_if(dated).alias("dated_incidents"),
-        total(dated, n - 1).alias("dated_pairs"),
-        total(dated, F.col("same_timestamp")).alias("same_timestamp_pairs"),
-        F.count_if(distinct).alias("distinct_incidents"),
-        total(distinct, F.col("moments") - 1).alias("distinct_pairs"),
-        total(distinct, F.col("moments") - 1 - F.col("calendar_pairs")).alias("long_gap_pairs"),
-        F.count_if(usable).alias("usable_incidents"),
-        total(usable, F.col("calendar_pairs")).alias("usable_pairs"),
-        F.round(100 * F.try_divide(F.count_if(usable), F.count_if(known)), 1).alias("usable_percent"),
-    )
+    known = f"`{key}` IS NOT NULL"
+    multi = f"{known} AND perimeters > 1"
+    dated = f"{multi} AND undated = 0"
+    distinct = f"{dated} AND moments > 1"
+    usable = f"{distinct} AND calendar_pairs > 0"
+
+    def total(condition: str, value: str) -> str:
+        return f"coalesce(sum(if({condition}, {value}, 0)), 0)"
+
+    counters = {
+        "perimeters": "coalesce(sum(perimeters), 0)",
+        "incidents": f"count_if({known})",
+        "single_incidents": f"count_if({known} AND perimeters = 1)",
+        "multi_incidents": f"count_if({multi})",
+        "multi_pairs": total(multi, "perimeters - 1"),
+        "dated_incidents": f"count_if({dated})",
+        "dated_pairs": total(dated, "perimeters - 1"),
+        "same_timestamp_pairs": total(dated, "same_timestamp"),
+        "distinct_incidents": f"count_if({distinct})",
+        "distinct_pairs": total(distinct, "moments - 1"),
+        "long_gap_pairs": total(distinct, "moments - 1 - calendar_pairs"),
+        "usable_incidents": f"count_if({usable})",
+        "usable_pairs": total(usable, "calendar_pairs"),
+        "usable_percent": f"round(100 * try_divide(count_if({usable}), count_if({known})), 1)",
+    }
+    return counts.selectExpr(*[f"{sql} AS {name}" for name, sql in counters.items()])
 
 
 def funnel_steps(row: DataFrame) -> DataFrame:

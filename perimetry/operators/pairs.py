@@ -9,7 +9,7 @@ whole is only ever ordered by day: at most one row per calendar day between the
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perimetry.functions.geometry import bbox, bboxes_meet
@@ -45,28 +45,21 @@ def consecutive(
     In the order (moment, record) the last record of a moment precedes the first of the next one;
     all other neighbours share their moment and are never a pair.
     """
-    at = moments(df, key, ts, row)
-    in_day = Window.partitionBy(key, "day").orderBy("ts")
-    within = at.select(
-        key,
-        F.col("ts").alias("curr_ts"),
-        F.col("last_row").alias("curr_row"),
-        F.lead("ts").over(in_day).alias("next_ts"),
-        F.lead("first_row").over(in_day).alias("next_row"),
+    # one shuffle serves both the order within a day and the summary of each day
+    at = moments(df, key, ts, row).repartition(key, "day")
+    in_day = f"OVER (PARTITION BY `{key}`, day ORDER BY ts)"
+    within = at.selectExpr(
+        f"`{key}`", "ts AS curr_ts", "last_row AS curr_row",
+        f"lead(ts) {in_day} AS next_ts", f"lead(first_row) {in_day} AS next_row",
     )
     days = at.groupBy(key, "day").agg(
-        F.min("ts").alias("first_ts"),
-        F.min_by("first_row", "ts").alias("first_row"),
-        F.max("ts").alias("curr_ts"),
-        F.max_by("last_row", "ts").alias("curr_row"),
+        F.expr("min(ts) AS first_ts"), F.expr("min_by(first_row, ts) AS first_row"),
+        F.expr("max(ts) AS curr_ts"), F.expr("max_by(last_row, ts) AS curr_row"),
     )
-    by_day = Window.partitionBy(key).orderBy("day")
-    across = days.select(
-        key,
-        "curr_ts",
-        "curr_row",
-        F.lead("first_ts").over(by_day).alias("next_ts"),
-        F.lead("first_row").over(by_day).alias("next_row"),
+    by_day = f"OVER (PARTITION BY `{key}` ORDER BY day)"
+    across = days.selectExpr(
+        f"`{key}`", "curr_ts", "curr_row",
+        f"lead(first_ts) {by_day} AS next_ts", f"lead(first_row) {by_day} AS next_row",
     )
     return within.unionByName(across).filter(F.col("next_row").isNotNull())
 
@@ -93,23 +86,19 @@ def pair_counts(
     """
     at = df.groupBy(F.col(key), F.col(ts).alias("ts")).agg(F.count("*").alias("n"))
     days = at.groupBy(key, F.to_date("ts").alias("day")).agg(
-        F.sum("n").alias("n"),
-        F.count("ts").alias("n_ts"),
-        F.min("ts").alias("first_ts"),
-        F.max("ts").alias("last_ts"),
-    )
-    by_day = Window.partitionBy(key).orderBy("day")
-    linked = days.withColumn("next_ts", F.lead("first_ts").over(by_day))
-    last, following = F.col("last_ts"), F.col("next_ts")
-    same_day = F.sum(F.when(F.col("n_ts") > 0, F.col("n_ts") - 1).otherwise(0))
-    return linked.groupBy(key).agg(
-        F.sum("n").alias("perimeters"),
-        F.sum(F.when(F.col("day").isNull(), F.col("n")).otherwise(0)).alias("undated"),
-        F.sum("n_ts").alias("moments"),
-        F.sum(F.when(F.col("day").isNotNull(), F.col("n") - F.col("n_ts")).otherwise(0)).alias("same_timestamp"),
-        (same_day + F.count_if(within_calendar_days(last, following, max_gap_days))).alias("calendar_pairs"),
-        (same_day + F.count_if(within_elapsed_days(last, following, max_gap_days))).alias("elapsed_pairs"),
+        F.expr("sum(n) AS n"), F.expr("count(ts) AS n_ts"), F.expr("min(ts) AS first_ts"), F.expr("max(ts) AS last_ts")
     )
+    linked = days.selectExpr("*", f"lead(first_ts) OVER (PARTITION BY `{key}` ORDER BY day) AS next_ts")
+    same_day = "sum(if(n_ts > 0, n_ts - 1, 0))"
+    counts = {
+        "perimeters": "sum(n)",
+        "undated": "sum(if(day IS NULL, n, 0))",
+        "moments": "sum(n_ts)",
+        "same_timestamp": "sum(if(day IS NULL, 0, n - n_ts))",
+        "calendar_pairs": f"{same_day} + count_if(datediff(next_ts, last_ts) <= {max_gap_days})",
+        "elapsed_pairs": f"{same_day} + count_if(timestampdiff(DAY, last_ts, next_ts) <= {max_gap_days})",
+    }
+    return linked.groupBy(key).agg(*[F.expr(f"{sql} AS {name}") for name, sql in counts.items()])
 
 
 def sequences(df: DataFrame, max_gap_days: int = 6, key: str = "incident_id", ts: str = "perimeter_date") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from perimetry.config import Settings
 from perimetry.functions.barrier import stage
 from perimetry.functions.dates import in_year_range
-from perimetry.functions.shapes import centroid, is_valid
+from perimetry.functions.shapes import measure
 from perimetry.operators.identity import NO_ID
 
 
@@ -34,11 +34,13 @@ def classify(df: DataFrame, settings: Settings) -> DataFrame:
     rules += [(_missing(field), f"missing_{field}") for field in settings.required_fields]
     first = " ".join(f"WHEN {rule} THEN '{reason}'" for rule, reason in rules)
     df = stage(df, _early=f"CASE {first} END")
-    # both functions read the same column, so a geometry crosses to Python once
     looked_at = F.expr("CASE WHEN _early IS NULL THEN geom END")
-    tested = df.withColumns({"_valid": is_valid(looked_at), "centroid": centroid(looked_at)})
-    reason = F.expr("coalesce(_early, CASE WHEN NOT _valid THEN 'invalid_geometry' END)")
-    return tested.withColumn("reject_reason", reason).drop("_early", "_valid")
+    # the stage keeps a later filter on the reason from evaluating the function a second time
+    return stage(
+        df.withColumn("_measured", measure(looked_at)),
+        reject_reason="coalesce(_early, CASE WHEN NOT _measured.valid THEN 'invalid_geometry' END)",
+        centroid="_measured.centroid",
+    ).drop("_early", "_measured")
 
 
 def passed(df: DataFrame) -> DataFrame:

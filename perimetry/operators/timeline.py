@@ -28,7 +28,7 @@ def with_positions(items: DataFrame, key: str = "incident_id") -> DataFrame:
 
     Items are numbered within a day; the days of an incident carry the running offset.
     """
-    dated = items.withColumn("day", F.to_date("ts"))
+    dated = items.withColumn("day", F.to_date("ts")).repartition(key, "day")
     by_day = Window.partitionBy(key).orderBy("day")
     days = (
         dated.groupBy(key, "day").agg(F.count("*").alias("n"))
