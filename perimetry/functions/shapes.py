@@ -5,6 +5,8 @@ vertex of the table into several shuffled rows, so it is asked in place: one vec
 the segments of a whole batch, with no Python loop over rows and no shuffle. The same holds for the
 centroid, where higher-order functions interpret every vertex (about 50 times slower). Which
 polygons meet which is decided by Spark joins before any of this runs (``operators.pairs``).
+
+All functions take geometries as nested arrays or as WKB.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from perimetry.functions.wkb import decode_array
 from perimetry.schema import POINT_TYPE
 
 _CHUNK = 1 << 20  # candidate pairs looked at together
@@ -26,6 +29,9 @@ class _Shapes:
     """The points, rings and segments of one Arrow batch of geometries as flat arrays."""
 
     def __init__(self, geoms: pa.Array) -> None:
+        if pa.types.is_binary(geoms.type) or pa.types.is_large_binary(geoms.type):
+            geoms = decode_array(geoms)
+
         def counts(lists: pa.Array) -> np.ndarray:
             return lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
 

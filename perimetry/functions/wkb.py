@@ -60,6 +60,11 @@ def decode(data: bytes) -> list[list[np.ndarray]]:
     return polygons
 
 
+def decode_array(data: pa.Array) -> pa.Array:
+    """Nested geometry array of an array of WKB."""
+    return geometry_array([None if d is None else decode(d) for d in data.to_pylist()])
+
+
 @F.arrow_udf(T.BinaryType())
 def to_wkb(geom: pa.Array) -> pa.Array:
     """WKB of a polygon geometry."""
@@ -83,4 +88,4 @@ def to_wkb(geom: pa.Array) -> pa.Array:
 @F.arrow_udf(GEOM_TYPE)
 def from_wkb(data: pa.Array) -> pa.Array:
     """Polygon geometry of WKB."""
-    return geometry_array([None if d is None else decode(d) for d in data.to_pylist()])
+    return decode_array(data)

@@ -111,16 +111,23 @@ def sequences(df: DataFrame, max_gap_days: int = 6, key: str = "incident_id", ts
 
 
 def with_geometries(pairs: DataFrame, table: DataFrame, geom: str = "geom", row: str = "row_id") -> DataFrame:
-    """Add ``curr_geom`` and ``next_geom``. ``row_id`` is unique, so no join key is ever hot."""
-    curr = table.select(F.col(row).alias("curr_row"), F.col(geom).alias("curr_geom"))
-    following = table.select(F.col(row).alias("next_row"), F.col(geom).alias("next_geom"))
-    return pairs.join(curr, "curr_row").join(following, "next_row")
+    """Add ``curr_geom`` and ``next_geom``, and the boxes if the table stores them. ``row_id`` is
+    unique, so no join key is ever hot."""
+    for side in ("curr", "next"):
+        columns = [F.col(row).alias(f"{side}_row"), F.col(geom).alias(f"{side}_geom")]
+        if "bbox" in table.columns:
+            columns.append(F.col("bbox").alias(f"{side}_bbox"))
+        pairs = pairs.join(table.select(*columns), f"{side}_row")
+    return pairs
 
 
 def with_bbox_overlap(pairs: DataFrame) -> DataFrame:
     """Add ``bbox_overlap``: false if the boxes are apart or one geometry is empty."""
-    meet = bboxes_meet(bbox(F.col("curr_geom")), bbox(F.col("next_geom")))
-    return pairs.withColumn("bbox_overlap", F.coalesce(meet, F.lit(False)))
+    stored = "curr_bbox" in pairs.columns
+    curr, following = (
+        F.col(f"{side}_bbox") if stored else bbox(F.col(f"{side}_geom")) for side in ("curr", "next")
+    )
+    return pairs.withColumn("bbox_overlap", F.coalesce(bboxes_meet(curr, following), F.lit(False)))
 
 
 def _where_boxes_meet(predicate, first: str, second: str) -> Column:

@@ -62,9 +62,9 @@ def with_labels(positioned: DataFrame) -> DataFrame:
     )
 
 
-def with_label_points(items: DataFrame, table: DataFrame) -> DataFrame:
+def with_label_points(items: DataFrame, table: DataFrame, geom: str = "geom") -> DataFrame:
     """Add ``label_point``, the centroid of a labelled perimeter; geometries of others stay out."""
-    geoms = table.select(F.col("row_id").alias("row"), F.col("geom").alias("_geom"))
+    geoms = table.select(F.col("row_id").alias("row"), F.col(geom).alias("_geom"))
     labelled = items.filter("is_label").select("row").join(geoms, "row")
     points = labelled.select("row", centroid("_geom").alias("label_point"))
     return items.join(points, "row", "left")

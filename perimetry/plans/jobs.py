@@ -12,7 +12,7 @@ from perimetry.operators import funnel as funnels
 from perimetry.operators import pairs as pairing
 from perimetry.operators import quality, report, roster, timeline
 from perimetry.operators.funnel import funnel_text
-from perimetry.plans.storage import written
+from perimetry.plans.storage import discard, scratch_path
 from perimetry.plans.unify import classified, unified
 from perimetry.sinks.outputs import read_unified, write_rejects, write_report, write_unified
 from perimetry.sources.perimeters import readable, scan_all, scan_roster, unreadable
@@ -37,13 +37,21 @@ def unify(spark: SparkSession, raw_dir: str, out_dir: str, settings: Settings |
     output reads only its columns of that.
     """
     settings = settings or Settings()
+    scratch = scratch_path(spark, "classified")
+    try:
+        classified(scan_all(spark, raw_dir, settings), settings).write.parquet(scratch)
+        return _outputs(spark, raw_dir, out_dir, settings, spark.read.parquet(scratch))
+    finally:
+        discard(spark, scratch)
+
+
+def _outputs(spark: SparkSession, raw_dir: str, out_dir: str, settings: Settings, scanned: DataFrame) -> UnifyOutputs:
     out = UnifyOutputs(
         table=f"{out_dir}/perimeters.parquet",
         report=f"{out_dir}/processing_report.json",
         no_id=f"{out_dir}/no_id_records.csv",
         unreadable=f"{out_dir}/unreadable_files.csv",
     )
-    scanned = written(classified(scan_all(spark, raw_dir, settings), settings), "classified")
     records = scanned
     if write_rejects(unreadable(scanned), out.unreadable):
         records = readable(scanned)
@@ -73,7 +81,7 @@ def training_pairs(spark: SparkSession, table: str, settings: Settings | None =
     """Consecutive pairs within the gap, with both geometries and whether they overlap."""
     settings = settings or Settings()
     rows = read_unified(spark, table)
-    return pairing.with_overlap(pairing.elapsed_pairs(rows, settings.max_gap_days), rows)
+    return pairing.with_overlap(pairing.elapsed_pairs(rows, settings.max_gap_days), rows, "geometry")
 
 
 def roster_of(spark: SparkSession, raw_dir: str, pattern: str = "WFIGS_Interagency_Perimeters_YearToDate_*") -> DataFrame:
@@ -90,6 +98,6 @@ def incident_timeline(
     settings = settings or Settings()
     rows = read_unified(spark, table).filter(F.col("incident_id") == incident_id)
     found = pairing.elapsed_pairs(rows, settings.max_gap_days)
-    items = timeline.with_label_points(timeline.timeline(found), rows)
+    items = timeline.with_label_points(timeline.timeline(found), rows, "geometry")
     return items.orderBy("position"), timeline.timeline_title(timeline.timeline_summary(found), rows)
 

@@ -19,7 +19,7 @@ from perimetry.plans.storage import scratch_path, written
 from perimetry.plans.unify import classified, unified
 from perimetry.queries.adapter import SETTINGS, adapter, normalized
 from perimetry.schema import TEXT_COLUMNS
-from perimetry.sinks.outputs import read_unified, write_rejects, write_unified
+from perimetry.sinks.outputs import read_unified, with_geom, write_rejects, write_unified
 from perimetry.sources.files import open_fs
 from perimetry.sources.perimeters import readable, scan_all
 
@@ -126,7 +126,7 @@ def q30_sinks_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The unified table written as Parquet with WKB and read back."""
     path = scratch_path(spark, "perimeters")
     write_unified(unified(classified(normalized(spark, sf_dir), SETTINGS), SETTINGS), path)
-    return read_unified(spark, path).select(
+    return with_geom(read_unified(spark, path)).select(
         "row_id", "incident_id", "incident_name", "fire_year", "unit_id",
         F.col("perimeter_date").cast("string").alias("perimeter_date"), "source_dataset", "id_type",
         F.expr("size(flatten(flatten(geom)))").alias("points"),

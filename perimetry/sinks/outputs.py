@@ -24,8 +24,13 @@ def write_unified(df: DataFrame, path: str) -> None:
 
 
 def read_unified(spark: SparkSession, path: str) -> DataFrame:
-    """The unified table with ``geom`` decoded; it is read only by what asks for it."""
-    table = spark.read.parquet(path)
+    """The unified table as stored. Joins and filters see ``geometry`` as WKB and ``bbox``; the
+    polygon functions take WKB, so only geometries they look at are ever decoded."""
+    return spark.read.parquet(path)
+
+
+def with_geom(table: DataFrame) -> DataFrame:
+    """``geometry`` decoded to nested arrays as ``geom``."""
     return table.withColumn("geom", from_wkb("geometry")).drop("geometry")
 
 

@@ -12,7 +12,7 @@ from perimetry.config import Settings, SourceSpec
 from perimetry.plans import jobs
 from perimetry.plans.storage import shared_dir, spread
 from perimetry.queries.roundtrips import WGS84, shapefile_parts
-from perimetry.sinks.outputs import read_unified
+from perimetry.sinks.outputs import read_unified, with_geom
 from perimetry.sources.perimeters import readable, scan, scan_all, unreadable
 from perimetry.sources.shapefile import ShapefileSource, polygons_of, srid_of, UnsupportedFile
 
@@ -195,7 +195,7 @@ def test_unify_and_the_later_jobs(spark, tmp_path, capsys):
     put(raw / f"{YTD}a", *simple(2), prj=UTM.encode())
     outputs = jobs.unify(spark, str(raw), str(out), SETTINGS)
 
-    rows = read_unified(spark, outputs.table).orderBy("perimeter_date", "row_id").collect()
+    rows = with_geom(read_unified(spark, outputs.table)).orderBy("perimeter_date", "row_id").collect()
     # four of the older source lose to the better one, whose fifth has no identifier
     assert [r.source_dataset for r in rows] == ["Interagency Fire Perimeter History"] * 4 + ["Historic GeoMAC (2000-2018)"]
     assert {r.srid for r in rows} == {4326} and rows[0].geom[0][0][0].x == -101.0 and rows[0].bbox.xmin == -101.0
@@ -218,6 +218,9 @@ def test_unify_and_the_later_jobs(spark, tmp_path, capsys):
     jobs.print_availability(spark, outputs.table)
     assert "Ended with: 1 incidents (100.0%)" in capsys.readouterr().out
 
+    # the classified records were only scratch
+    assert not glob(f"{shared_dir(spark)}/perimetry/classified-*")
+
     pairs = jobs.training_pairs(spark, outputs.table).collect()
     assert [(p.overlaps, p.bbox_overlap) for p in pairs] == [(True, True)]
 

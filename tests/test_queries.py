@@ -29,11 +29,6 @@ def test_entry_and_keys(spark):
     assert set(registered.oracle_sql()) == set(registered.queries())
 
 
-def executed(df):
-    df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -63,6 +58,8 @@ def test_pairs_keep_geometry_out_of_the_windows(spark):
     assert "geom" not in text and "Python" not in text
     for spec in re.findall(r"Window \[.*?\], \[(.*?)\], \[", text):
         assert "day" in spec or spec.count(",") == 0
+    text = plan(pairs.with_overlap(pairs.elapsed_pairs(rows), rows))
+    assert text.index("ArrowEvalPython [intersects") < text.index("Join")  # geometry is looked at after the joins
     assert "NestedLoop" not in plan(pairs.with_overlap(pairs.elapsed_pairs(rows), rows))
     assert "NestedLoop" not in plan(timeline.timeline(pairs.elapsed_pairs(rows)))
 
@@ -75,8 +72,12 @@ def test_lookup_is_pushed_down(spark):
 
 def test_generated_code_is_small_enough_to_compile(spark):
     """Methods above 8000 bytes of bytecode are never compiled by the JVM."""
-    df = classified(normalized(spark, SMALL), SETTINGS)
     debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
-    stages = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else the code is made at run time
+    try:
+        df = classified(normalized(spark, SMALL), SETTINGS)
+        stages = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
     sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
     assert sizes and max(sizes) < 8000
