@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from perimetry.functions.barrier import stage
+from perimetry.functions.barrier import let, stage
 from perimetry.functions.text import strip
 
 # The span of 64-bit nanosecond timestamps; text beyond it is not a date.
@@ -74,37 +74,42 @@ def _clock_text(local: str) -> str:
     )
 
 
-def with_parsed_date(df: DataFrame, raw: str, out: str) -> DataFrame:
-    """Add ``out``: the text column ``raw`` as UTC wall time, null where it is no calendar date.
+def parse_date(raw: str) -> str:
+    """SQL text -> UTC wall time as ``timestamp_ntz``, null where the text is no calendar date.
 
     Every shape is guarded by a full match, so wall-clock words and bare times stay null. Casts
     are ``try_cast`` to ``timestamp_ntz``: impossible dates become null with ANSI mode on or off,
-    and daylight-saving gaps of the session zone do not exist. The steps are small on purpose: the
-    JVM compiles each, and the rarer shapes are looked at only where the frequent ones fail.
+    and daylight-saving gaps of the session zone do not exist. The rarer shapes are looked at only
+    where the frequent ones fail.
     """
-    df = stage(df, _text=strip(f"cast(`{raw}` AS string)"))
-    df = stage(df, _iso=_numeric_date("_text"))
-    df = stage(df, _iso=f"CASE WHEN _iso IS NULL THEN {_named_date('_text')} ELSE _iso END")
     # a zone needs a time of day before it; "2002-02-01" must not read as "2002-02 -01"
     zoned = f"length(_iso) > 11 AND rlike(substr(_iso, 11), r'{_ZONE}')"
-    df = stage(df, _zone=f"CASE WHEN {zoned} THEN {_group('_iso', _ZONE, 0)} ELSE '' END")
-    minutes = [f"coalesce(try_cast({_group('_zone', _ZONE, i)} AS int), 0)" for i in (2, 3)]
-    df = stage(
-        df,
-        _local="CASE WHEN _zone = '' THEN _iso ELSE substr(_iso, 1, length(_iso) - length(_zone)) END",
-        _ahead=f"CASE WHEN length(trim(_zone)) < 3 THEN 0 WHEN instr(_zone, '-') > 0"
-        f" THEN -({minutes[0]} * 60 + {minutes[1]}) ELSE {minutes[0]} * 60 + {minutes[1]} END",
-    )
-    df = stage(df, _local=_clock_text("_local"))
+    zone = f"CASE WHEN {zoned} THEN {_group('_iso', _ZONE, 0)} ELSE '' END"
+    hours, minutes = (f"coalesce(try_cast({_group('_zone', _ZONE, i)} AS int), 0)" for i in (2, 3))
+    ahead = f"if(instr(_zone, '-') > 0, -1, 1) * ({hours} * 60 + {minutes})"
     # text with a zone but no time of day is not a date
-    df = stage(
-        df,
-        _utc="CASE WHEN _zone = '' THEN try_cast(_local AS timestamp_ntz) WHEN length(_local) > 10"
-        " THEN try_cast(_local AS timestamp_ntz) - make_dt_interval(0, 0, _ahead, 0) END",
+    utc = (
+        "CASE WHEN length(trim(_zone)) < 3 THEN if(_zone = '' OR length(_clock) > 10, try_cast(_clock AS timestamp_ntz), NULL)"
+        f" WHEN length(_clock) > 10 THEN try_cast(_clock AS timestamp_ntz) - make_dt_interval(0, 0, {ahead}, 0) END"
+    )
+    steps = (
+        ("_text", strip(f"cast({raw} AS string)")),
+        ("_plain", _numeric_date("_text")),
+        ("_iso", f"CASE WHEN _plain IS NULL THEN {_named_date('_text')} ELSE _plain END"),
+        ("_zone", zone),
+        ("_local", "substr(_iso, 1, length(_iso) - length(_zone))"),
+        ("_clock", _clock_text("_local")),
+        ("_utc", utc),
     )
-    span = f"timestamp_ntz'{EARLIEST}' AND timestamp_ntz'{LATEST}'"
-    df = stage(df, **{out: f"CASE WHEN _utc BETWEEN {span} THEN _utc END"})
-    return df.drop("_text", "_iso", "_zone", "_local", "_ahead", "_utc")
+    date = f"CASE WHEN _utc BETWEEN timestamp_ntz'{EARLIEST}' AND timestamp_ntz'{LATEST}' THEN _utc END"
+    for name, value in reversed(steps):
+        date = let(value, name, date)
+    return date
+
+
+def with_parsed_date(df: DataFrame, raw: str, out: str) -> DataFrame:
+    """Add ``out``: the text column ``raw`` parsed by ``parse_date``."""
+    return stage(df, **{out: parse_date(f"`{raw}`")})
 
 
 def in_year_range(date: str, min_year: int, max_year: int | str) -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from perimetry.functions.barrier import stage
+from perimetry.functions.barrier import let, stage
 from perimetry.functions.dates import with_parsed_date
 from perimetry.functions.text import canonical_year, is_given, is_valid_id, strip
 
@@ -45,8 +45,9 @@ def unify_ids(df: DataFrame) -> DataFrame:
             value = f"concat_ws('-', fire_year, unit_id, {column})"
         tiers += f" WHEN {usable} THEN '{name}'"
         values += f" WHEN '{name}' THEN {value}"
-    df = stage(df, id_type=f"CASE {tiers} ELSE '{NO_ID}' END")
-    return stage(df, incident_id=f"CASE id_type {values} END")
+    unified = f"named_struct('id_type', _tier, 'incident_id', CASE _tier {values} END)"
+    df = stage(df, _unified=let(f"CASE {tiers} ELSE '{NO_ID}' END", "_tier", unified))
+    return df.selectExpr(*[f"`{c}`" for c in df.columns if c != "_unified"], "_unified.*")
 
 
 def identify(df: DataFrame) -> DataFrame:
