@@ -20,12 +20,3 @@ def stage(df: DataFrame, **columns: str) -> DataFrame:
     kept = [f"`{c}`" for c in df.columns if c not in columns]
     fields = ", ".join(f"'{name}', {sql}" for name, sql in columns.items())
     return df.selectExpr(*kept, f"inline(array(named_struct({fields})))")
-
-
-def let(value: str, name: str, body: str) -> str:
-    """SQL text of ``body`` in which ``name`` stands for ``value``, evaluated once.
-
-    A one-element ``transform``: long chains of steps stay out of the generated code, which keeps
-    it small enough for the JVM to compile.
-    """
-    return f"get(transform(array({value}), {name} -> {body}), 0)"
