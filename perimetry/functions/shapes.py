@@ -286,9 +286,12 @@ def containing_rows(a: _Shapes, b: _Shapes) -> np.ndarray:
     middle = (b.seg[free, :2] + b.seg[free, 2:]) / 2
     x, y = np.concatenate([b.x, middle[:, 0]]), np.concatenate([b.y, middle[:, 1]])
     row = np.concatenate([b.ring_row[b.point_ring], b.seg_row[free]])
+    undecided = ~fails[row]
+    x, y, row = x[undecided], y[undecided], row[undecided]
     inside, on = _locate(x, y, row, a)
     fails[row[~inside & ~on]] = True
     hole = np.flatnonzero(~a.is_shell[a.point_ring])
+    hole = hole[~fails[a.ring_row[a.point_ring[hole]]]]
     row = a.ring_row[a.point_ring[hole]]
     inside, on = _locate(a.x[hole], a.y[hole], row, b)
     fails[row[inside & ~on]] = True

@@ -208,7 +208,7 @@ ORACLES: dict[str, str] = {
     " FROM (SELECT sg.*, o.x AS ox, o.y AS oy, (x1 - o.x) * (y2 - o.y) - (x2 - o.x) * (y1 - o.y) AS c"
     " FROM sg JOIN pt o ON o.vec_id = sg.vec_id AND o.i = 0) GROUP BY vec_id, ox, oy",
     "q09_validity": f"WITH a AS ({oracle_a()}) SELECT record_no AS row_id,"
-    " CASE WHEN geom_kind <> 'null' THEN geom_kind <> 'bowtie' END AS valid FROM a",
+    " CASE geom_kind WHEN 'null' THEN 'missing' WHEN 'bowtie' THEN 'invalid' ELSE 'valid' END AS verdict FROM a",
     "q09_validity_rings": _with(_RINGS) + """, x AS (SELECT DISTINCT p.vec_id FROM sg p JOIN sg q ON p.vec_id = q.vec_id
   AND q.i > p.i + 1 AND NOT (p.i = 0 AND q.i = 31)
   AND ((p.x2 - p.x1) * (q.y1 - p.y1) - (p.y2 - p.y1) * (q.x1 - p.x1)) * ((p.x2 - p.x1) * (q.y2 - p.y1) - (p.y2 - p.y1) * (q.x2 - p.x1)) <= 0
@@ -301,10 +301,10 @@ FROM (SELECT *, epoch(next_ts) - epoch(curr_ts) < 604800 AS near FROM l WHERE ne
             "incident_name", "fire_year", "unit_id", "perimeter_date_raw",
         )
     )
-    + ", CASE geom_kind WHEN 'null' THEN NULL WHEN 'empty' THEN 0 ELSE 5 END AS points,"
+    + ", CASE geom_kind WHEN 'null' THEN -1 WHEN 'empty' THEN 0 ELSE 5 END AS points,"
     " CASE WHEN geom_kind IN ('box', 'bowtie') THEN cx - half END AS xmin,"
     " CASE WHEN geom_kind IN ('box', 'bowtie') THEN cx + half END AS xmax,"
-    " CASE geom_kind WHEN 'null' THEN NULL WHEN 'empty' THEN 0 ELSE 4 END AS corners FROM a",
+    " CASE geom_kind WHEN 'null' THEN -1 WHEN 'empty' THEN 0 ELSE 4 END AS corners FROM a",
     "q30_sinks_roundtrip": _A + f"SELECT {_UNIFIED_COLUMNS}, CASE WHEN geom_kind = 'box' THEN cy + half END AS ymax,"
     " CASE WHEN geom_kind = 'box' THEN cx - half END AS xmin, 4326 AS srid FROM u",
     "q30_rejects_roundtrip": _A

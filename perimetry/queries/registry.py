@@ -118,7 +118,8 @@ def q08_centroid_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q09_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalized(spark, sf_dir).select("row_id", is_valid("geom").alias("valid"))
+    judged = normalized(spark, sf_dir).select("row_id", is_valid("geom").alias("valid"))
+    return judged.selectExpr("row_id", "CASE WHEN valid THEN 'valid' WHEN NOT valid THEN 'invalid' ELSE 'missing' END AS verdict")
 
 
 def q09_validity_rings(spark: SparkSession, sf_dir: str) -> DataFrame:

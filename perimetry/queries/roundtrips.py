@@ -117,8 +117,8 @@ def q29_shapefile_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = F.expr("flatten(flatten(geom)).x")
     return records.select(
         "source_dataset", *[c for c in TEXT_COLUMNS if c != "state"],
-        F.size(x).alias("points"), F.array_min(x).alias("xmin"), F.array_max(x).alias("xmax"),
-        F.expr("size(array_distinct(flatten(flatten(geom))))").alias("corners"),
+        F.coalesce(F.size(x), F.lit(-1)).alias("points"), F.array_min(x).alias("xmin"), F.array_max(x).alias("xmax"),
+        F.expr("coalesce(size(array_distinct(flatten(flatten(geom)))), -1)").alias("corners"),
     )
 
 
