@@ -271,3 +271,20 @@ def test_shared_dir_and_spread(spark):
     assert spread(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     wide = spark.range(100, numPartitions=16)
     assert spread(wide) is wide
+
+
+class _Session:
+    """Just what ``shared_dir`` asks of a session that names no shared folder."""
+
+    def __init__(self, master):
+        self.sparkContext = self.conf = self
+        self.master = master
+
+    def get(self, key, default):
+        return default
+
+
+def test_no_local_folder_on_a_cluster():
+    assert shared_dir(_Session("local[2]")) == shared_dir(_Session("local[2]"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(_Session("spark://host:7077"))

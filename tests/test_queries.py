@@ -64,6 +64,13 @@ def test_pairs_keep_geometry_out_of_the_windows(spark):
     assert "NestedLoop" not in plan(timeline.timeline(pairs.elapsed_pairs(rows)))
 
 
+def test_both_link_levels_read_one_shuffle(spark):
+    df = pairs.consecutive(table(spark, SMALL, "orders"), "o_custkey", "o_orderdate", "o_orderkey").groupBy().sum()
+    df.collect()
+    final = plan(df).split("Initial Plan")[0]
+    assert "ReusedExchange" in final and final.count("Exchange hashpartitioning(o_custkey") <= 4
+
+
 def test_lookup_is_pushed_down(spark):
     rows = registry._unified_table(spark, SMALL)
     text = plan(pairs.elapsed_pairs(rows.filter("incident_id = 'F-7'")))
