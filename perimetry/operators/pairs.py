@@ -1,9 +1,9 @@
 """Consecutive perimeters of an incident.
 
 Nothing here puts an incident into one task. Records first shrink to distinct (incident, moment)
-rows with partial aggregation, moments are linked within an (incident, day), and an incident as a
-whole is only ever ordered by day: at most one row per calendar day between the years 1677 and
-2262, whatever number of records it has. Geometry stays out of all of this and is joined in by
+rows with partial aggregation, moments are linked within an (incident, hour), and an incident as a
+whole is only ever ordered by hour: at most one narrow row per hour of its life, whatever number of
+records it has. Geometry stays out of all of this and is joined in by
 ``row_id`` for the pairs that are left.
 """
 
@@ -26,13 +26,18 @@ def within_calendar_days(first: Column, second: Column, days: int) -> Column:
     return (first != second) & (F.date_diff(second, first) <= days)
 
 
+def hour_number(ts: str) -> Column:
+    """Hours since 1970 of a ``timestamp_ntz``, whatever the session zone."""
+    return F.expr(f"unix_date(to_date({ts})) * 24 + hour({ts})")
+
+
 def moments(df: DataFrame, key: str, ts: str, row: str) -> DataFrame:
     """Distinct (incident, moment) rows with the first and last record of each; nulls are dropped."""
     return (
         df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
         .groupBy(F.col(key), F.col(ts).alias("ts"))
         .agg(F.min(row).alias("first_row"), F.max(row).alias("last_row"))
-        .withColumn("day", F.to_date("ts"))
+        .withColumn("hour", hour_number("ts"))
     )
 
 
@@ -45,21 +50,21 @@ def consecutive(
     In the order (moment, record) the last record of a moment precedes the first of the next one;
     all other neighbours share their moment and are never a pair.
     """
-    # one shuffle serves both the order within a day and the summary of each day
-    at = moments(df, key, ts, row).repartition(key, "day")
-    in_day = f"OVER (PARTITION BY `{key}`, day ORDER BY ts)"
+    # one shuffle serves both the order within an hour and the summary of each hour
+    at = moments(df, key, ts, row).repartition(key, "hour")
+    in_hour = f"OVER (PARTITION BY `{key}`, hour ORDER BY ts)"
     within = at.selectExpr(
         f"`{key}`", "ts AS curr_ts", "last_row AS curr_row",
-        f"lead(ts) {in_day} AS next_ts", f"lead(first_row) {in_day} AS next_row",
+        f"lead(ts) {in_hour} AS next_ts", f"lead(first_row) {in_hour} AS next_row",
     )
-    days = at.groupBy(key, "day").agg(
+    hours = at.groupBy(key, "hour").agg(
         F.expr("min(ts) AS first_ts"), F.expr("min_by(first_row, ts) AS first_row"),
         F.expr("max(ts) AS curr_ts"), F.expr("max_by(last_row, ts) AS curr_row"),
     )
-    by_day = f"OVER (PARTITION BY `{key}` ORDER BY day)"
-    across = days.selectExpr(
+    by_hour = f"OVER (PARTITION BY `{key}` ORDER BY hour)"
+    across = hours.selectExpr(
         f"`{key}`", "curr_ts", "curr_row",
-        f"lead(first_ts) {by_day} AS next_ts", f"lead(first_row) {by_day} AS next_row",
+        f"lead(first_ts) {by_hour} AS next_ts", f"lead(first_row) {by_hour} AS next_row",
     )
     return within.unionByName(across).filter(F.col("next_row").isNotNull())
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from perimetry.functions.shapes import centroid
+from perimetry.operators.pairs import hour_number
 
 # Fixed value: about this many perimeters of a timeline carry a label.
 LABELS = 15
@@ -26,26 +27,26 @@ def timeline_items(pairs: DataFrame, key: str = "incident_id") -> DataFrame:
 def with_positions(items: DataFrame, key: str = "incident_id") -> DataFrame:
     """Add ``position`` from 0 and ``perimeters`` in order of ``ts``.
 
-    Items are numbered within a day; the days of an incident carry the running offset.
+    Items are numbered within an hour; the hours of an incident carry the running offset.
     """
-    dated = items.withColumn("day", F.to_date("ts")).repartition(key, "day")
-    by_day = Window.partitionBy(key).orderBy("day")
-    days = (
-        dated.groupBy(key, "day").agg(F.count("*").alias("n"))
-        .withColumn("upto", F.sum("n").over(by_day))
+    dated = items.withColumn("hour", hour_number("ts")).repartition(key, "hour")
+    by_hour = Window.partitionBy(key).orderBy("hour")
+    hours = (
+        dated.groupBy(key, "hour").agg(F.count("*").alias("n"))
+        .withColumn("upto", F.sum("n").over(by_hour))
         .select(
             key,
-            "day",
+            "hour",
             (F.col("upto") - F.col("n")).alias("offset"),
             F.sum("n").over(Window.partitionBy(key)).alias("perimeters"),
         )
     )
-    in_day = Window.partitionBy(key, "day").orderBy("ts", "row")
-    numbered = dated.withColumn("_no", F.row_number().over(in_day) - 1)
+    in_hour = Window.partitionBy(key, "hour").orderBy("ts", "row")
+    numbered = dated.withColumn("_no", F.row_number().over(in_hour) - 1)
     return (
-        numbered.join(days, [key, "day"])
+        numbered.join(hours, [key, "hour"])
         .withColumn("position", F.col("offset") + F.col("_no"))
-        .drop("_no", "offset", "day")
+        .drop("_no", "offset", "hour")
     )
 
 

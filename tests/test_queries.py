@@ -57,7 +57,7 @@ def test_pairs_keep_geometry_out_of_the_windows(spark):
     text = plan(pairs.consecutive(rows))
     assert "geom" not in text and "Python" not in text
     for spec in re.findall(r"Window \[.*?\], \[(.*?)\], \[", text):
-        assert "day" in spec or spec.count(",") == 0
+        assert "hour" in spec or spec.count(",") == 0
     text = plan(pairs.with_overlap(pairs.elapsed_pairs(rows), rows))
     assert text.index("ArrowEvalPython [intersects") < text.index("Join")  # geometry is looked at after the joins
     assert "NestedLoop" not in plan(pairs.with_overlap(pairs.elapsed_pairs(rows), rows))
