@@ -1,33 +1,77 @@
-"""Registered queries over the given tables, and the SQL of those that SQL can express."""
+"""Registered queries: each operator over its whole table, with production parameters."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from perimetry.llm import decontaminate, simhash, substrings
+from perimetry.llm import (
+    bpe, decontaminate, embeddings, html_blocks, licences, lines, quality, reputation, simhash, sql, substrings,
+)
+
+TOKENIZER = "word_bpe_49k.json"
+ACCEPTED = 0.3  # score from which a document counts as good
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    outcomes = reputation.page_outcomes(pages, _table(spark, sf_dir, "labels"))
+    return reputation.judged(pages, outcomes).drop("bound")
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return decontaminate.judged(found)
 
 
+def op3_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.labelled(licences.scan(_table(spark, sf_dir, "documents")))
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(TOKENIZER)
+    return bpe.digests(bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), path), path))
+
+
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(_table(spark, sf_dir, "pages"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digests(lines.drop_frequent_lines(_table(spark, sf_dir, "documents")))
+
+
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = quality.scored(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
+    return found.select(
+        "doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= ACCEPTED).cast("int").alias("predicted")
+    )
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
-    "op2_decontamination": op2_decontamination,
-    "op6_substring_dedup": op6_substring_dedup,
-    "op10_simhash": op10_simhash,
+    f.__name__: f
+    for f in (
+        op1_url_filter, op2_decontamination, op3_licence_scan, op4_bpe, op5_html_text, op6_substring_dedup,
+        op7_line_dedup, op8_embedding_near_dedup, op9_quality, op10_simhash,
+    )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = sql.ORACLES

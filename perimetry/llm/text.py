@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # words of `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+` after lower-casing A-Z
@@ -24,6 +24,13 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, _UPPER, _LOWER)
 
 
+def computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add ``columns`` (replacing same-named ones), evaluated once per row however often they are used:
+    the optimizer does not copy expressions through a generator."""
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def as_bytes(name: str = "text") -> Column:
     return F.col(name).cast("binary").alias(name)
 
