@@ -5,8 +5,8 @@ depth-first traversal of that trie, with one state per depth on a stack. The sta
 last token of its encoding: a token t that ends the prefix is that token exactly if it is compatible
 with the last token u of the prefix before it, that is if merging u + t on its own yields (u, t). So a
 shared prefix is encoded once for all words below it, and the tokens of a word are read off the states
-from its end to its start. Compatibility of two tokens is settled by running the merges on that pair
-once and remembering it.
+from its end to its start. Compatibility of two tokens is settled once and remembered: their own merges
+are taken back, the latest first, and at no time may the parts on both sides of the border merge earlier.
 
 Words come from the tokenizer's own rules: special tokens are cut out of the raw text, the rest is
 normalized (NFC, lower case) and split by pattern. The vocabulary file is read by the driver and sent
@@ -16,6 +16,7 @@ to the tasks as it is; it does not grow with the data.
 from __future__ import annotations
 
 import json
+import struct
 import unicodedata
 from collections.abc import Iterator
 
@@ -52,7 +53,10 @@ class WordBpe:
         self.end: str = bpe["end_of_word_suffix"] or ""
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in bpe["merges"]]
         self.ranks = {pair: rank for rank, pair in enumerate(pairs)}
-        self.longest = max(map(len, self.vocab))
+        self.made: dict[str, tuple[int, tuple[str, str]]] = {}  # the first merge that yields a token
+        for pair, rank in self.ranks.items():
+            self.made.setdefault("".join(pair), (rank, pair))
+        self.openings = {t[:n] for t in self.vocab for n in range(1, len(t) + 1)}
         self.special = {t["content"]: t["id"] for t in model["added_tokens"]}
         self.strings: list[str | None] = [None] * (max([*self.vocab.values(), *self.special.values()]) + 1)
         for token, number in [*self.vocab.items(), *self.special.items()]:
@@ -63,6 +67,7 @@ class WordBpe:
         self.bytes = byte_symbols()
         self.words: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.whole: dict[str, bool] = {}
 
     # merges, for single pairs of tokens
 
@@ -81,45 +86,77 @@ class WordBpe:
             symbols = [*symbols[:at], symbols[at] + symbols[at + 1], *symbols[at + 2 :]]
         return symbols
 
-    def _compatible(self, before: str, token: str) -> bool:
-        """Whether ``token`` stays a token after ``before`` (or at the start, if that is empty)."""
-        known = self.pairs.get((before, token))
+    def _is_whole(self, token: str) -> bool:
+        """Whether the merges build this entry of the vocabulary from its own symbols."""
+        known = self.whole.get(token)
         if known is None:
-            if len(self.pairs) > _REMEMBERED:
-                self.pairs.clear()
-            joined = (self._symbols(before) if before else []) + self._symbols(token)
-            known = self.pairs[before, token] = self._merge(joined) == ([before, token] if before else [token])
+            known = self.whole[token] = self._merge(self._symbols(token)) == [token]
         return known
 
+    def _compatible(self, before: str, token: str) -> bool:
+        """Whether ``token`` stays a token after ``before``; both are whole."""
+        ranks, made = self.ranks, self.made
+        left, right, latest = before, token, len(ranks)
+        while True:
+            # a pair merges before the parts beside it do, or, of one rank, if it stands further left
+            if ranks.get((left, right), latest) < latest:
+                return False
+            from_left, from_right = made.get(left), made.get(right)
+            if from_left and (not from_right or from_left[0] > from_right[0]):
+                latest, left = from_left[0], from_left[1][1]
+            elif from_right:
+                latest, right = from_right[0] + 1, from_right[1][0]
+            else:
+                return True
+
     # the trie
 
-    def _last(self, word: str, size: int, last: list[str], end: str) -> str:
-        """The last token of ``word[:size]`` (+ ``end``), given the last tokens of all shorter prefixes."""
-        vocab = self.vocab
-        for start in range(max(0, size - self.longest), size):
+    def _last(self, word: str, size: int, starts: list[int], last: list[str], end: str) -> str:
+        """The last token of ``word[:size]`` (+ ``end``), given the last tokens of all shorter prefixes;
+        it starts at one of ``starts``."""
+        vocab, pairs = self.vocab, self.pairs
+        for start in starts:
             token = word[start:size] + end
-            if token in vocab and self._compatible(last[start], token):
+            if token not in vocab or not self._is_whole(token):
+                continue
+            before = last[start]
+            if not before:
+                return token
+            known = pairs.get((before, token))
+            if known is None:
+                if len(pairs) > _REMEMBERED:
+                    pairs.clear()
+                known = pairs[before, token] = self._compatible(before, token)
+            if known:
                 return token
         raise ValueError(f"{word[:size]!r} has a symbol outside the vocabulary")
 
     def encode_words(self, words: set[str]) -> None:
         """Encode distinct words into ``self.words``; shared prefixes are walked once."""
-        mapped = sorted(("".join(map(self.bytes.__getitem__, w.encode())), w) for w in words)
-        last, previous = [""], ""  # last[i]: last token of the current word's first i symbols
+        spell, openings, vocab, end = self.bytes.__getitem__, self.openings, self.vocab, self.end
+        mapped = sorted(("".join(map(spell, w.encode())), w) for w in words)
+        # per prefix length of the current word: its last token, and where a token may have begun that goes on
+        last, open_, previous = [""], [[]], ""
         for spelled, word in mapped:
             shared, most = 0, min(len(last) - 1, len(spelled) - 1)
             while shared < most and spelled[shared] == previous[shared]:
                 shared += 1
-            del last[shared + 1 :]
-            for size in range(shared + 1, len(spelled)):
-                last.append(self._last(spelled, size, last, ""))
+            del last[shared + 1 :], open_[shared + 1 :]
+            length = len(spelled)
+            for size in range(shared + 1, length + 1):
+                starts = [s for s in open_[-1] if spelled[s:size] in openings]
+                starts.append(size - 1)
+                if size < length:
+                    open_.append(starts)
+                    last.append(self._last(spelled, size, starts, last, ""))
             previous = spelled
-            token = self._last(spelled, len(spelled), last, self.end)
-            tokens, left = [token], len(spelled) - (len(token) - len(self.end))
+            token = self._last(spelled, length, starts, last, end)
+            tokens, left = [token], length - (len(token) - len(end))
             while left:
                 tokens.append(last[left])
                 left -= len(last[left])
-            self.words[word] = np.array([self.vocab[t] for t in reversed(tokens)], dtype="<u4").tobytes()
+            ids = [vocab[t] for t in reversed(tokens)]
+            self.words[word] = struct.pack(f"<{len(ids)}I", *ids)
 
     # texts
 
