@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perimetry.llm.text import lower_ascii
-from perimetry.plans.storage import discard, scratch_path
+from perimetry.plans.storage import discard, scratch_path, written
 
 _BLANKS = " \t\n\x0b\x0c\r"
 _KEY = ["h1", "h2"]
@@ -67,8 +67,10 @@ class LineRuns:
         return runs.groupBy(*_KEY).agg(F.sum("docs").alias("docs"))
 
     def frequent(self) -> DataFrame:
-        """(h1, h2) of keys found in at least ``min_docs`` documents."""
-        return self._merged(self._runs()).where(F.col("docs") >= self.min_docs).select(*_KEY)
+        """(h1, h2) of keys found in at least ``min_docs`` documents, as a run of its own: a join against
+        a stored table can split a hot key, one against an aggregate cannot."""
+        last = self._merged(self._runs()).where(F.col("docs") >= self.min_docs).select(*_KEY)
+        return written(last, "line-run-last")
 
 
 def drop_frequent_lines(
