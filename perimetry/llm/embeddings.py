@@ -134,7 +134,9 @@ def near_duplicates(
     keys = classes.select("rep", "label", F.size("embedding").alias("size")).join(hashed, "rep").select(
         "rep", "label", "size", F.posexplode("names").alias("bucket_table", "name"))
     bucket = ["label", "size", "bucket_table", "name"]
-    sizes = keys.groupBy(*bucket).count().where("count > 1").withColumn("blocks", F.ceil(F.col("count") / block).cast("int"))
+    # stored, so that the join on a bucket of any size can be split
+    sizes = written(keys.groupBy(*bucket).count().where("count > 1"), "vector-buckets").withColumn(
+        "blocks", F.ceil(F.col("count") / block).cast("int"))
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     members = keys.join(sizes, bucket).withColumn("block", own).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perimetry.llm.text import lower_ascii
+from perimetry.plans.storage import written
 
 # The rules, as (verdict, host and path).
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -119,7 +120,8 @@ def judged(
     """
     host, path = host_and_path(F.col(url_col))
     rows = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
-    known = reputations(rows, outcomes, z).select("host", "bound")
+    # stored, so that the join on a host of any size can be split
+    known = written(reputations(rows, outcomes, z).select("host", "bound"), "hosts")
     rows = rows.withColumn("r", rule_of(F.col("host"), F.col("path"), rules))
     method = F.when(F.col("bound") >= least, "allow").otherwise("block")
     return rows.join(known, "host", "left").select(

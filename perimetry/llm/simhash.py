@@ -212,7 +212,7 @@ def near_edges(fps: DataFrame, radius: int = 3, limit: int = 4096) -> DataFrame:
             ),
             "simhash-buckets",
         )
-        sizes = rows.groupBy("bucket").count().where("count > 1")
+        sizes = written(rows.groupBy("bucket").count().where("count > 1"), "simhash-sizes")
         sized = rows.join(sizes, "bucket")
         compared = (
             sized.where(F.col("count") <= limit)
@@ -249,7 +249,8 @@ def simhash_components(
     rooted = classes.join(parts, classes.fp == parts.node, "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("root")
     )
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    # stored, so that the join on a component of any size can be split
+    smallest = written(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-smallest")
     named = rooted.join(smallest, "root").select("fp", "component_id")
     return marked.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
