@@ -30,7 +30,7 @@ from tokenizers import Tokenizer
 from perimetry.llm.text import as_bytes
 
 _SLICE_CHARS = 4 << 20  # texts handled at a time
-_REMEMBERED = 1_000_000  # words and pairs; bounds memory only
+_REMEMBERED = 500_000  # words and pairs; bounds memory only
 # letters of these blocks have been assigned for long, so every library splits them alike
 _COMMON = regex.compile(r"[\u0000-ɏ̀-ԯ֐-ۿ -⋿぀-ヿ一-龥]*")
 
@@ -58,13 +58,11 @@ class WordBpe:
             self.made.setdefault("".join(pair), (rank, pair))
         self.openings = {t[:n] for t in self.vocab for n in range(1, len(t) + 1)}
         self.special = {t["content"]: t["id"] for t in model["added_tokens"]}
-        self.strings: list[str | None] = [None] * (max([*self.vocab.values(), *self.special.values()]) + 1)
-        for token, number in [*self.vocab.items(), *self.special.items()]:
-            self.strings[number] = token
         steps = model["pre_tokenizer"]["pretokenizers"]
         self.split = regex.compile(steps[0]["pattern"]["Regex"])
         self.cut = regex.compile("(" + "|".join(regex.escape(s) for s in self.special) + ")") if self.special else None
         self.bytes = byte_symbols()
+        self.symbols = {s: b for b, s in enumerate(self.bytes)}
         self.words: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.whole: dict[str, bool] = {}
@@ -166,9 +164,8 @@ class WordBpe:
             return [w for p in parts for w in ([p] if p in self.special else self.pieces(p))]
         if not _COMMON.fullmatch(text):  # the library's own tables for rarer scripts
             normal = self.library.normalizer.normalize_str(text)
-            symbol = {s: b for b, s in enumerate(self.bytes)}
             found = self.library.pre_tokenizer.pre_tokenize_str(normal)
-            return [bytes(symbol[c] for c in p).decode() for p, _ in found]
+            return [bytes(map(self.symbols.__getitem__, p)).decode() for p, _ in found]
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # no final form of sigma
         return self.split.findall(text.lower())
@@ -184,21 +181,31 @@ class WordBpe:
         self.encode_words(new.difference(self.words))
         return [b"".join(map(self.words.__getitem__, pieces)) for pieces in split]
 
+
+class Decoder:
+    """Token strings of one tokenizer file."""
+
+    def __init__(self, definition: str):
+        model = json.loads(definition)
+        tokens = {**model["model"]["vocab"], **{t["content"]: t["id"] for t in model["added_tokens"]}}
+        self.strings: list[str | None] = [None] * (max(tokens.values()) + 1)
+        for token, number in tokens.items():
+            self.strings[number] = token
+
     def decode(self, ids: bytes) -> str:
         """The tokens' strings, joined by blanks: the file names no decoder."""
         return " ".join([s for s in map(self.strings.__getitem__, np.frombuffer(ids, "<u4").tolist()) if s is not None])
 
 
-_LOADED: dict[int, WordBpe] = {}
+_LOADED: dict[type, tuple[int, WordBpe | Decoder]] = {}
 
 
-def _coder(definition) -> WordBpe:
-    """One coder per worker and broadcast: words stay encoded between tasks."""
+def _loaded(kind: type, definition) -> WordBpe | Decoder:
+    """One coder per worker and file: words stay encoded between tasks."""
     key = hash(definition.value)
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = WordBpe(definition.value)
-    return _LOADED[key]
+    if kind not in _LOADED or _LOADED[kind][0] != key:
+        _LOADED[kind] = (key, kind(definition.value))
+    return _LOADED[kind][1]
 
 
 def _slices(texts: Iterator[str]) -> Iterator[list[str]]:
@@ -230,7 +237,7 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
         for b in batches:
             start = 0
             for part in _slices((t.as_py() or b"").decode("utf-8", "replace") for t in b.column(1)):
-                ids = _coder(definition).encode(part)
+                ids = _loaded(WordBpe, definition).encode(part)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(start, len(part)), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
                 start += len(part)
@@ -245,7 +252,7 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            coder, start = _coder(definition), 0
+            coder, start = _loaded(Decoder, definition), 0
             sizes = [0, *np.cumsum([len(x.as_py() or b"") for x in b["ids"]]).tolist()]
             while start < b.num_rows:  # a few million tokens at a time
                 stop = start + 1

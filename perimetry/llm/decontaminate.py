@@ -169,6 +169,7 @@ def judged(found: DataFrame, share: int = 20) -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents that are not contaminated, all columns unchanged. Rows sharing a ``doc_id`` go together
     if one of them is contaminated; rows without ``doc_id`` are judged by their text alone."""
-    keyed = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("#"), F.sha2("text", 256))))
-    found = judged(contamination(keyed, benchmark, id_col="_key")).where("contaminated").select("doc_id").distinct()
-    return keyed.join(found, keyed["_key"] == found["doc_id"], "left_anti").drop("_key")
+    key = F.coalesce(docs["doc_id"].cast("string"), F.concat(F.lit("#"), F.sha2(docs["text"], 256)))
+    keyed = docs.select(key.alias("doc_id"), docs["text"])
+    found = judged(contamination(keyed, benchmark)).where("contaminated").select(F.col("doc_id").alias("_contaminated")).distinct()
+    return docs.join(found, key == found["_contaminated"], "left_anti")

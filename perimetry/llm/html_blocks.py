@@ -96,10 +96,10 @@ def blocks(page: str) -> list[Block]:
 
     def enter(name: str, attributes: str) -> None:
         article, apart = (open_[-1][1], open_[-1][2]) if open_ else (False, False)
-        names = _names(attributes) if "=" in attributes else set()
+        names = _names(attributes) if "=" in attributes and name not in ("body", "html") else set()
         main = name in ("article", "main") or bool(names & _MAIN_NAMES)
         against = names & _APART_NAMES - (_WEAK_NAMES if main else frozenset())
-        if name in _APART or (name == "header" and not article) or (against and name not in ("body", "html")):
+        if name in _APART or (name == "header" and not article) or against:
             apart = True
         open_.append((name, article or main, apart))
 

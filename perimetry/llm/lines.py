@@ -82,9 +82,9 @@ def drop_frequent_lines(
     A null or empty text is one empty line. Keys of fewer than ``min_chars`` code points are never
     dropped. A document is a ``doc_id``; rows without one are a document per distinct text. Rows that
     repeat a document count once and all lose their lines. If all lines of a text go, ``kept`` is
-    empty. An empty table gives an empty result. Columns of ``docs`` keep their names and values, so
-    they must not be called ``kept``, ``n_lines`` or ``n_dropped``; other names cannot clash.
-    ``batches`` and ``fanout`` do not change the result.
+    empty. An empty table gives an empty result. Columns of ``docs`` keep their names and values, but for
+    those called ``kept``, ``n_lines`` or ``n_dropped``, which the result replaces. ``batches`` and
+    ``fanout`` do not change the result.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -107,17 +107,17 @@ def drop_frequent_lines(
         places.join(runs.frequent(), _KEY).groupBy("k1", "k2").agg(F.collect_set("pos").alias("_dropped"))
         .select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "_dropped")
     )
-    found = docs.join(
-        dropped, F.col(id_col).cast("string").eqNullSafe(F.col("_k1")) & (F.xxhash64(text) == F.col("_k2")), "left"
-    )
+    text, gone = F.coalesce(docs[text_col], F.lit("")), dropped["_dropped"]
+    same = docs[id_col].cast("string").eqNullSafe(dropped["_k1"]) & (F.xxhash64(text) == dropped["_k2"])
+    found = docs.join(dropped, same, "left")
     split = F.split(text, "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("_dropped"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), gone)
     return found.select(
-        *[docs[c] for c in docs.columns],
-        F.when(F.col("_dropped").isNull(), text)
+        *[docs[c] for c in docs.columns if c not in ("kept", "n_lines", "n_dropped")],
+        F.when(gone.isNull(), text)
         .otherwise(F.array_join(F.transform(kept, lambda i: split[i]), "\n")).alias("kept"),
         F.size(split).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_dropped"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_dropped"),
     )
 
 
