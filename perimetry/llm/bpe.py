@@ -29,8 +29,8 @@ from tokenizers import Tokenizer
 
 from perimetry.llm.text import as_bytes
 
-_SLICE_CHARS = 4 << 20  # texts handled at a time
-_REMEMBERED = 500_000  # words and pairs; bounds memory only
+_SLICE_CHARS = 1 << 20  # texts handled at a time
+_REMEMBERED = 400_000  # words, and half as many pairs; bounds memory only
 # letters of these blocks have been assigned for long, so every library splits them alike
 _COMMON = regex.compile(r"[\u0000-ɏ̀-ԯ֐-ۿ -⋿぀-ヿ一-龥]*")
 
@@ -122,7 +122,7 @@ class WordBpe:
                 return token
             known = pairs.get((before, token))
             if known is None:
-                if len(pairs) > _REMEMBERED:
+                if 2 * len(pairs) > _REMEMBERED:
                     pairs.clear()
                 known = pairs[before, token] = self._compatible(before, token)
             if known:
@@ -225,25 +225,32 @@ def _read(path: str) -> str:
         return file.read()
 
 
-def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids) of every row; ``ids`` are little-endian unsigned 32-bit integers.
+def encode(
+    docs: DataFrame, tokenizer: str, decoded: bool = False, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(doc_id, ids[, decoded]) of every row; ``ids`` are little-endian unsigned 32-bit integers, ``decoded``
+    is the text that they decode to, special tokens included.
 
     ``tokenizer`` is the path of a ``tokenizers`` file on the driver. Null and empty texts have no ids.
     Repeated rows give repeated rows; other columns are not read.
     """
     definition = docs.sparkSession.sparkContext.broadcast(_read(tokenizer))
+    names = ["doc_id", "ids", *["decoded"] * decoded]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             start = 0
             for part in _slices((t.as_py() or b"").decode("utf-8", "replace") for t in b.column(1)):
                 ids = _loaded(WordBpe, definition).encode(part)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(start, len(part)), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+                columns = [b.column(0).slice(start, len(part)), pa.array(ids, pa.binary())]
+                if decoded:
+                    columns.append(pa.array(map(_loaded(Decoder, definition).decode, ids), pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
                 start += len(part)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col), as_bytes(text_col)).mapInArrow(run, f"doc_id {kind}, ids binary")
+    ddl = f"doc_id {kind}, ids binary" + ", decoded string" * decoded
+    return docs.select(F.col(id_col), as_bytes(text_col)).mapInArrow(run, ddl)
 
 
 def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
@@ -254,9 +261,9 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
         for b in batches:
             coder, start = _loaded(Decoder, definition), 0
             sizes = [0, *np.cumsum([len(x.as_py() or b"") for x in b["ids"]]).tolist()]
-            while start < b.num_rows:  # a few million tokens at a time
+            while start < b.num_rows:  # so many bytes at a time
                 stop = start + 1
-                while stop < b.num_rows and sizes[stop + 1] - sizes[start] <= 4 * _SLICE_CHARS:
+                while stop < b.num_rows and sizes[stop + 1] - sizes[start] <= 2 * _SLICE_CHARS:
                     stop += 1
                 part = b.slice(start, stop - start)
                 texts = [coder.decode(x.as_py() or b"") for x in part["ids"]]
@@ -269,7 +276,7 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
 
 
 def digests(coded: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of ``decode``'s rows."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of encoded and decoded rows."""
     return coded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),

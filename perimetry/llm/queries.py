@@ -34,8 +34,8 @@ def op3_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path(TOKENIZER)
-    return bpe.digests(bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), path), path))
+    docs = _table(spark, sf_dir, "documents")
+    return bpe.digests(bpe.encode(docs, public_tokenizers.path(TOKENIZER), decoded=True))
 
 
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
