@@ -4,7 +4,7 @@ Method. Vectors are normalized; a cosine of at least c is a distance of at most
 of ``tables`` hash tables quantizes ``projections`` random Gaussian (2-stable) projections with cells of
 width ``cell * r``; vectors that agree in all cells of a table share its bucket. Per projection two
 vectors at distance r agree with probability p (0.90 for cell = 8), and closer ones more often, so a
-link is missed with probability (1 - p^projections)^tables at most: 3e-6 with the defaults. Candidates
+link is missed with probability (1 - p^projections)^tables at most: 2e-6 with the defaults. Candidates
 are compared by their cosine in double precision.
 
 Copies (equal label and vector) are one row from the start, with their number. Buckets with one row are
@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perimetry.llm.components import connected_components
-from perimetry.llm.simhash import _joined
+from perimetry.llm.simhash import joined
+from perimetry.llm.text import batch
 from perimetry.plans.storage import discard, scratch_path, written
 
 _ROWS = 1024  # compared at a time with all others of a task
@@ -68,46 +69,82 @@ def _hash(least: float, projections: int, tables: int, cell: float, seed: int):
     return run
 
 
-def _compare(least: float):
-    """One task of a bucket: rows of one block, or of two blocks against each other."""
-
-    def run(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        n = table.num_rows
-        own = int(table["bucket_table"][0].as_py())
-        first, second = table["first"][0].as_py(), table["second"][0].as_py()
-        rep = table["rep"].to_numpy()
-        weight = table["n"].to_numpy()
-        block = table["block"].to_numpy()
-        v = np.array(table["embedding"].to_pylist(), dtype=np.float64)
-        v /= np.linalg.norm(v, axis=1, keepdims=True)
-        names = np.array(table["names"].to_pylist(), dtype=np.int64)
-        left = np.flatnonzero(block == first)
-        right = np.flatnonzero(block == second)
-        links, root = np.zeros(n, dtype=np.int64), np.arange(n)
-        for low in range(0, len(left), _ROWS):
-            part = left[low : low + _ROWS]
-            near = v[part] @ v[right].T >= least
-            i, j = np.nonzero(near)
-            i, j = part[i], right[j]
-            if first == second:
-                i, j = i[i < j], j[i < j]
-            for start in range(0, len(i), 1 << 18):
-                a, b = i[start : start + (1 << 18)], j[start : start + (1 << 18)]
-                # met already in an earlier table: counted there
-                fresh = (names[a] == names[b]).argmax(axis=1) == own
-                a, b = a[fresh], b[fresh]
+def _matrix(lists: pa.Array) -> np.ndarray:
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(lists), -1)
+
+
+def _links_of_task(rows: dict[str, np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
+    """One task of a bucket, the rows of one block or of two blocks against each other: the number of links
+    of each row, and the first row of the task that each is connected with."""
+    own, first, second = (int(rows[k][0]) for k in ("bucket_table", "first", "second"))
+    n = len(rows["rep"])
+    left, right = np.flatnonzero(rows["block"] == first), np.flatnonzero(rows["block"] == second)
+    links, root = np.zeros(n, dtype=np.int64), np.arange(n)
+    v, names, weight = rows["unit"], rows["names"], rows["n"]
+    for low in range(0, len(left), _ROWS):
+        part = left[low : low + _ROWS]
+        i, j = np.nonzero(v[part] @ v[right].T >= least)
+        i, j = part[i], right[j]
+        if first == second:
+            i, j = i[i < j], j[i < j]
+        for start in range(0, len(i), 1 << 16):
+            a, b = i[start : start + (1 << 16)], j[start : start + (1 << 16)]
+            # met already in an earlier table: counted there
+            fresh = (names[a] == names[b]).argmax(axis=1) == own
+            a, b = a[fresh], b[fresh]
+            if len(a):
                 links += np.bincount(a, weights=weight[b], minlength=n).astype(np.int64)
                 links += np.bincount(b, weights=weight[a], minlength=n).astype(np.int64)
-                root = _joined(root, a, b)
-        out = np.flatnonzero(links)
-        return pa.Table.from_arrays([pa.array(rep[out]), pa.array(rep[root[out]]), pa.array(links[out])], schema=_FOUND)
+                root = joined(root, a, b)
+    return links, root
+
+
+def _compare(least: float):
+    """Over partitions sorted by length and task: links of each row of each task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: pa.Table | None = None
+        for b in batches:
+            table = pa.Table.from_batches([b])
+            table = table if kept is None else pa.concat_tables([kept, table])
+            task = table["task"].to_numpy()
+            cut = len(task) - int((task[::-1] != task[-1]).argmax()) if (task != task[-1]).any() else 0
+            yield from compared(table.slice(0, cut))
+            kept = table.slice(cut)
+        if kept is not None:
+            yield from compared(kept)
+
+    def compared(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        if not table.num_rows:
+            return
+        for size, part in _by_size(table):
+            part = part.combine_chunks()
+            rows = {k: part[k].to_numpy() for k in ("task", "bucket_table", "first", "second", "block", "rep", "n")}
+            rows["unit"] = _matrix(part["embedding"].chunk(0)).astype(np.float64)
+            rows["unit"] /= np.linalg.norm(rows["unit"], axis=1, keepdims=True)
+            rows["names"] = _matrix(part["names"].chunk(0))
+            starts = np.flatnonzero(np.r_[True, rows["task"][1:] != rows["task"][:-1]])
+            out = []
+            for low, high in zip(starts, np.r_[starts[1:], len(rows["task"])]):
+                if high - low > 1:
+                    links, root = _links_of_task({k: v[low:high] for k, v in rows.items()}, least)
+                    at = np.flatnonzero(links)
+                    if len(at):
+                        out.append((rows["rep"][low + at], rows["rep"][low + root[at]], links[at]))
+            if out:
+                yield batch(_FOUND, *map(np.concatenate, zip(*out)))
+
+    def _by_size(table: pa.Table) -> Iterator[tuple[int, pa.Table]]:
+        sizes = table["size"].to_numpy()
+        for size in np.unique(sizes):
+            yield int(size), table.filter(pa.array(sizes == size))
 
     return run
 
 
 def near_duplicates(
-    vectors: DataFrame, least: float = 0.98, projections: int = 10, tables: int = 32, cell: float = 8.0,
+    vectors: DataFrame, least: float = 0.98, projections: int = 12, tables: int = 40, cell: float = 8.0,
     block: int = 512, seed: int = 11, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row.
@@ -142,12 +179,12 @@ def near_duplicates(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tasks = members.select(
         "rep", "block", "bucket_table", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"),
-        F.xxhash64(*bucket, F.least("block", "other"), F.greatest("block", "other")).alias("task"), *[c for c in bucket if c != "bucket_table"])
+        F.xxhash64(*bucket, F.least("block", "other"), F.greatest("block", "other")).alias("task"), "size")
     whole = tasks.join(classes.select("rep", "n", "embedding"), "rep").join(hashed, "rep")
-    group = ["task", *bucket, "first", "second"]
+    group = ["size", "task", "bucket_table", "first", "second"]
     path = scratch_path(spark, "vector-links")
-    compared = whole.groupBy(*group).applyInArrow(_compare(least), "a long, b long, links long")
-    compared.write.parquet(path)
+    rows_of_task = whole.select(*group, "block", "rep", "n", "embedding", "names").repartition("task").sortWithinPartitions(*group)
+    rows_of_task.mapInArrow(_compare(least), "a long, b long, links long").write.parquet(path)
     found = spark.read.parquet(path)
     counts = found.groupBy("a").agg(F.sum("links").alias("links")).withColumnRenamed("a", "rep")
     parts = connected_components(found.select("a", "b"))

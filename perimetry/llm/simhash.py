@@ -122,11 +122,11 @@ def close_within_buckets(fps: np.ndarray, bucket: np.ndarray, radius: int) -> np
         if len(row):
             near = np.unpackbits((~over).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             k, bit = np.nonzero(near)
-            root = _joined(root, row[k], word[k] * 64 + bit)
+            root = joined(root, row[k], word[k] * 64 + bit)
     return root
 
 
-def _joined(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def joined(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Merge the trees of ``root`` along the links (a, b); every row then points to its smallest one."""
     while True:
         low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
@@ -145,7 +145,7 @@ def _joined(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 _EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _bucket_edges(radius: int, rows_at_once: int):
+def _bucket_edges(radius: int):
     """Over partitions sorted by bucket: edges from each fingerprint to the first one it is close to."""
 
     def edges(fps: np.ndarray, bucket: np.ndarray) -> pa.RecordBatch:
@@ -156,13 +156,10 @@ def _bucket_edges(radius: int, rows_at_once: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept_fps, kept_bucket = np.empty(0, np.int64), np.empty(0, np.int64)
         for b in batches:
-            # (depth, fixed bits, their values) in sorted order: equal rows are one bucket
             fps = np.r_[kept_fps, b.column("fp").to_numpy(zero_copy_only=False)]
             bucket = np.r_[kept_bucket, b.column("bucket").to_numpy(zero_copy_only=False)]
-            cut = len(fps)
-            while cut and bucket[cut - 1] == bucket[-1]:
-                cut = int(np.searchsorted(bucket, bucket[-1]))
-            if cut >= rows_at_once or cut:
+            cut = int(np.searchsorted(bucket, bucket[-1])) if len(bucket) else 0  # the last bucket may go on
+            if cut:
                 yield edges(fps[:cut], bucket[:cut])
             kept_fps, kept_bucket = fps[cut:], bucket[cut:]
         yield edges(kept_fps, kept_bucket)
@@ -219,7 +216,7 @@ def near_edges(fps: DataFrame, radius: int = 3, limit: int = 4096) -> DataFrame:
             .select("bucket", "fp")
             .repartition("bucket")
             .sortWithinPartitions("bucket", "fp")
-            .mapInArrow(_bucket_edges(radius, limit), "a bigint, b bigint")
+            .mapInArrow(_bucket_edges(radius), "a bigint, b bigint")
         )
         found = compared if found is None else found.union(compared)
         large = sized.where(F.col("count") > limit).select("fp", "fixed")
