@@ -39,7 +39,7 @@ PRIORITIES: dict[str, int] = {
 DEFAULT_PRIORITY = 99
 
 # Source field names accepted for each normalized column, best first.
-# Names are compared after `normalize_field_name`, so case variants need no entry of their own.
+# Names are compared after `plain_name`, so case variants need no entry of their own.
 ALIASES: dict[str, tuple[str, ...]] = {
     "incident_id_raw": (
         "uniquefireidentifier", "unqe_fire_", "uniquefire", "uniquefir",
@@ -83,5 +83,5 @@ class Settings:
     max_gap_days: int = 6
     # Round the centroid in the duplicate key to this many decimals; None compares exactly.
     key_decimals: int | None = None
-    # Read NAD83 coordinates as if they were WGS84.
-    nad83_as_wgs84: bool = False
+    # Read NAD83 coordinates as WGS84, which differ by about a metre; else such files are refused.
+    nad83_as_wgs84: bool = True

@@ -34,5 +34,5 @@ def to_number(c: str) -> str:
 
 
 def normalize_name(c: str) -> str:
-    """Data-side twin of ``operators.fields.normalize_field_name``."""
+    """Data-side twin of ``operators.fields.plain_name``."""
     return f"replace({strip(f'lower({c})')}, ' ', '_')"

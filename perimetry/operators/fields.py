@@ -13,18 +13,34 @@ from perimetry.config import ALIASES
 from perimetry.schema import GEOM, ID_COLUMNS, NORMALIZED_COLUMNS, NORMALIZED_DDL, TEXT_COLUMNS
 
 
-def normalize_field_name(name: str) -> str:
-    return name.lower().strip().replace(" ", "_")
+def plain_name(name: str) -> str:
+    """Spelling under which field names are compared."""
+    return "_".join(name.casefold().strip().split(" "))
 
 
-def resolve_field(fields: Sequence[str], candidates: Sequence[str]) -> str | None:
-    """The field that matches the best candidate, by name only: whether it holds nulls is no matter.
+class AliasIndex:
+    """Which columns a field name may fill, and how good an alias it is for them.
 
-    Of two fields that normalize alike the later one counts.
+    Built once from the aliases; a file's fields are then walked once. Names alone count, whether a field
+    holds nulls is no matter. Of two fields that are spelled alike the later one counts.
     """
-    known = {normalize_field_name(f): f for f in fields}
-    wanted = (normalize_field_name(c) for c in candidates)
-    return next((known[w] for w in wanted if w in known), None)
+
+    def __init__(self, aliases: Mapping[str, Sequence[str]], exact: bool = False) -> None:
+        self.spelling = str if exact else plain_name
+        self.uses: dict[str, list[tuple[str, int]]] = {}
+        self.columns = list(aliases)
+        for column, names in aliases.items():
+            for rank, name in enumerate(names):
+                self.uses.setdefault(self.spelling(name), []).append((column, rank))
+
+    def resolve(self, fields: Sequence[str]) -> dict[str, str | None]:
+        """Column -> field, None where no field fits."""
+        best: dict[str, tuple[int, str]] = {}
+        for field in fields:
+            for column, rank in self.uses.get(self.spelling(field), ()):
+                if column not in best or rank <= best[column][0]:
+                    best[column] = (rank, field)
+        return {c: best[c][1] if c in best else None for c in self.columns}
 
 
 def first_present(df: DataFrame, names: Sequence[str], type_: str = "string") -> Column:
@@ -51,7 +67,8 @@ def normalize(
 ) -> DataFrame:
     """One projection: every normalized column as text, absent ones null, plus the source name."""
     attributes = [c for c in df.columns if c not in (geom, row_id)]
-    text = [_as_text(df, c, resolve_field(attributes, aliases.get(c, ()))) for c in TEXT_COLUMNS]
+    found = AliasIndex(aliases).resolve(attributes)
+    text = [_as_text(df, c, found.get(c)) for c in TEXT_COLUMNS]
     return df.select(
         *text,
         F.lit(source).alias("source_dataset"),

@@ -89,6 +89,8 @@ def pair_counts(
 
     Neighbours within one day always satisfy both gap rules, so only day-to-day gaps are looked at.
     """
+    if max_gap_days < 0:
+        raise ValueError("max_gap_days must not be negative")
     at = df.groupBy(F.col(key), F.col(ts).alias("ts")).agg(F.count("*").alias("n"))
     days = at.groupBy(key, F.to_date("ts").alias("day")).agg(
         F.expr("sum(n) AS n"), F.expr("count(ts) AS n_ts"), F.expr("min(ts) AS first_ts"), F.expr("max(ts) AS last_ts")
@@ -115,47 +117,55 @@ def sequences(df: DataFrame, max_gap_days: int = 6, key: str = "incident_id", ts
     )
 
 
-def with_geometries(pairs: DataFrame, table: DataFrame, geom: str = "geom", row: str = "row_id") -> DataFrame:
-    """Add ``curr_geom`` and ``next_geom``, and the boxes if the table stores them. ``row_id`` is
-    unique, so no join key is ever hot."""
+def _with_sides(pairs: DataFrame, table: DataFrame, value: Column, name: str, row: str) -> DataFrame:
+    """Add ``curr_<name>`` and ``next_<name>``. ``row_id`` is unique, so no join key is ever hot."""
     for side in ("curr", "next"):
-        columns = [F.col(row).alias(f"{side}_row"), F.col(geom).alias(f"{side}_geom")]
-        if "bbox" in table.columns:
-            columns.append(F.col("bbox").alias(f"{side}_bbox"))
-        pairs = pairs.join(table.select(*columns), f"{side}_row")
+        pairs = pairs.join(table.select(F.col(row).alias(f"{side}_row"), value.alias(f"{side}_{name}")), f"{side}_row")
     return pairs
 
 
-def with_bbox_overlap(pairs: DataFrame) -> DataFrame:
-    """Add ``bbox_overlap``: false if the boxes are apart or one geometry is empty."""
-    stored = "curr_bbox" in pairs.columns
-    curr, following = (
-        F.col(f"{side}_bbox") if stored else bbox(F.col(f"{side}_geom")) for side in ("curr", "next")
-    )
-    return pairs.withColumn("bbox_overlap", F.coalesce(bboxes_meet(curr, following), F.lit(False)))
+def with_geometries(pairs: DataFrame, table: DataFrame, geom: str = "geom", row: str = "row_id") -> DataFrame:
+    """Add ``curr_geom`` and ``next_geom`` to every pair."""
+    return _with_sides(pairs, table, F.col(geom), "geom", row)
+
+
+def with_bbox_overlap(pairs: DataFrame, table: DataFrame, geom: str = "geom", row: str = "row_id") -> DataFrame:
+    """Add ``bbox_overlap``: false if the boxes are apart or one geometry is empty. Only boxes are
+    joined; a table that stores them is not asked for its geometry."""
+    box = F.col("bbox") if "bbox" in table.columns else bbox(F.col(geom))
+    boxed = _with_sides(pairs, table, box, "bbox", row)
+    meet = F.coalesce(bboxes_meet(F.col("curr_bbox"), F.col("next_bbox")), F.lit(False))
+    return boxed.withColumn("bbox_overlap", meet).drop("curr_bbox", "next_bbox")
 
 
-def _where_boxes_meet(predicate, first: str, second: str) -> Column:
-    near = F.col("bbox_overlap")
-    found = predicate(F.when(near, F.col(first)), F.when(near, F.col(second)))
+def _decided(pairs: DataFrame, table: DataFrame, geom: str, row: str, flags: dict[str, Column]) -> DataFrame:
+    """Add ``bbox_overlap`` and the flags, which are false where the boxes are apart. Geometry is fetched
+    only for pairs whose boxes meet, and only their records' leaves the scan."""
+    near = with_bbox_overlap(pairs, table, geom, row)
+    meeting = near.filter("bbox_overlap")
+    wanted = meeting.select(F.explode(F.array("curr_row", "next_row")).alias(row)).distinct()
+    shapes = table.select(row, geom).join(wanted, row, "left_semi")
+    looked_at = with_geometries(meeting, shapes, geom, row).withColumns(flags).drop("curr_geom", "next_geom")
+    apart = near.filter("NOT bbox_overlap").withColumns({name: F.lit(False) for name in flags})
+    return looked_at.unionByName(apart)
+
+
+def _holds(found: Column) -> Column:
     return F.coalesce(found, F.lit(False))
 
 
 def with_overlap(pairs: DataFrame, table: DataFrame, geom: str = "geom", row: str = "row_id") -> DataFrame:
     """Add ``bbox_overlap`` and ``overlaps`` (closed intersection, which containment implies)."""
-    near = with_bbox_overlap(with_geometries(pairs, table, geom, row))
-    return near.withColumn("overlaps", _where_boxes_meet(intersects, "curr_geom", "next_geom"))
+    return _decided(pairs, table, geom, row, {"overlaps": _holds(intersects(F.col("curr_geom"), F.col("next_geom")))})
 
 
 def with_containment(pairs: DataFrame, table: DataFrame, geom: str = "geom", row: str = "row_id") -> DataFrame:
-    """Add ``curr_contains`` and ``next_contains``."""
-    near = with_bbox_overlap(with_geometries(pairs, table, geom, row))
-    return near.withColumns(
-        {
-            "curr_contains": _where_boxes_meet(contains, "curr_geom", "next_geom"),
-            "next_contains": _where_boxes_meet(contains, "next_geom", "curr_geom"),
-        }
-    )
+    """Add ``bbox_overlap``, ``curr_contains`` and ``next_contains``."""
+    flags = {
+        "curr_contains": _holds(contains(F.col("curr_geom"), F.col("next_geom"))),
+        "next_contains": _holds(contains(F.col("next_geom"), F.col("curr_geom"))),
+    }
+    return _decided(pairs, table, geom, row, flags)
 
 
 def overlap_counts(overlapping: DataFrame) -> DataFrame:

@@ -81,7 +81,8 @@ def training_pairs(spark: SparkSession, table: str, settings: Settings | None =
     """Consecutive pairs within the gap, with both geometries and whether they overlap."""
     settings = settings or Settings()
     rows = read_unified(spark, table)
-    return pairing.with_overlap(pairing.elapsed_pairs(rows, settings.max_gap_days), rows, "geometry")
+    found = pairing.with_overlap(pairing.elapsed_pairs(rows, settings.max_gap_days), rows, "geometry")
+    return pairing.with_geometries(found, rows, "geometry")
 
 
 def roster_of(spark: SparkSession, raw_dir: str, pattern: str = "WFIGS_Interagency_Perimeters_YearToDate_*") -> DataFrame:

@@ -1,44 +1,32 @@
-"""Where intermediate tables go."""
+"""Where intermediate tables go, and how they are deleted."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-@cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="perimetry-")
+_MADE: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``. Only a local session that names
-    none gets a temporary folder of this machine."""
+    """The folder the cluster names in ``spark.checkpoint.dir``."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return _local_dir()
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/perimetry/{name}-{uuid.uuid4().hex}"
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out to all cores if the scan has fewer partitions than cores (one row group, one
-    archive). A scan with enough partitions is returned as it is, without a shuffle."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    path = f"{shared_dir(spark)}/perimetry/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back: cuts the lineage, survives lost executors, and every
-    later use reads only the columns it needs."""
+    later use reads only the columns it needs. The table stays until ``release``."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
@@ -49,3 +37,17 @@ def discard(spark: SparkSession, path: str) -> None:
     """Delete a table made at ``scratch_path`` once its outputs are written."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    if path in _MADE:
+        _MADE.remove(path)
+
+
+def made() -> frozenset[str]:
+    """Tables of this process that are still there."""
+    return frozenset(_MADE)
+
+
+def release(spark: SparkSession, keep: Collection[str] = ()) -> None:
+    """Delete the tables of this process that are still there, but for ``keep``. Call it when the results
+    of queries that wrote some have been read or stored: frames are lazy, so the queries cannot know."""
+    for path in made().difference(keep):
+        discard(spark, path)

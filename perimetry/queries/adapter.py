@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perimetry.config import Settings
-from perimetry.plans.storage import spread
 from perimetry.schema import GEOM
 
 SETTINGS = Settings(max_year=2027)
@@ -73,9 +72,14 @@ GEOM_SQL = f"""CASE geom_kind
   WHEN 'empty' THEN cast(array() AS {GEOM}) END"""
 
 
+def dealt_out(df: DataFrame) -> DataFrame:
+    """Rows over all shuffle partitions: the given tables are files of one row group."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def adapter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``A`` with the raw text columns, the box parameters and ``geom``."""
-    raw = spark.sql(A_SQL, orders=spread(table(spark, sf_dir, "orders")))
+    raw = spark.sql(A_SQL, orders=dealt_out(table(spark, sf_dir, "orders")))
     return raw.withColumn("geom", F.expr(GEOM_SQL))
 
 

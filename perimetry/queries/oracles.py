@@ -307,6 +307,6 @@ FROM (SELECT *, epoch(next_ts) - epoch(curr_ts) < 604800 AS near FROM l WHERE ne
     " CASE geom_kind WHEN 'null' THEN -1 WHEN 'empty' THEN 0 ELSE 4 END AS corners FROM a",
     "q30_sinks_roundtrip": _A + f"SELECT {_UNIFIED_COLUMNS}, CASE WHEN geom_kind = 'box' THEN cy + half END AS ymax,"
     " CASE WHEN geom_kind = 'box' THEN cx - half END AS xmin, 4326 AS srid FROM u",
-    "q30_rejects_roundtrip": _A
-    + "SELECT row_id, incident_name, fire_year, source_dataset, id_type FROM q WHERE id_type = 'none'",
 }
+# the file of refused records keeps every column
+ORACLES["q30_rejects_roundtrip"] = ORACLES["q07_rejects_no_id"]

@@ -12,11 +12,12 @@ from perimetry.functions.shapes import centroid, is_valid
 from perimetry.functions.text import is_valid_id
 from perimetry.operators import dedup, fields, funnel, identity, pairs, quality, report, roster, timeline
 from perimetry.functions.dates import with_parsed_date
-from perimetry.plans.storage import spread, written
+from perimetry.plans.storage import scratch_path, written
 from perimetry.plans.unify import classified, unified
 from perimetry.queries import roundtrips
-from perimetry.queries.adapter import SETTINGS, adapter, normalized, table
-from perimetry.schema import ID_COLUMNS, TEXT_COLUMNS
+from perimetry.queries.adapter import SETTINGS, adapter, dealt_out, normalized, table
+from perimetry.schema import GEOM, ID_COLUMNS, TEXT_COLUMNS
+from perimetry.sinks.outputs import read_unified, write_unified
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -141,7 +142,14 @@ def _unified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _unified_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The unified table written and read back, as the later jobs find it."""
-    return written(_unified(spark, sf_dir), "unified")
+    path = scratch_path(spark, "unified")
+    write_unified(_unified(spark, sf_dir), path)
+    return read_unified(spark, path)
+
+
+def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What pairs are made of. Pairs alone need no stored table and no geometry."""
+    return _unified(spark, sf_dir).select("row_id", "incident_id", "perimeter_date")
 
 
 def q11_unified_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,8 +169,9 @@ def q13_id_type_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q14_overall_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = written(_classified(spark, sf_dir), "classified")
-    whole = report.processing_report(rows, unified(rows, SETTINGS), SETTINGS.sources)
+    rows = written(_classified(spark, sf_dir).drop("geom"), "classified")
+    no_shapes = rows.withColumn("geom", F.lit(None).cast(GEOM))  # the duplicate key needs the centroid alone
+    whole = report.processing_report(rows, unified(no_shapes, SETTINGS), SETTINGS.sources)
     return whole.select(
         "overall.total_records", "overall.unique_incidents",
         F.col("overall.date_range.min").alias("min_date"), F.col("overall.date_range.max").alias("max_date"),
@@ -199,11 +208,11 @@ def _readable(found: DataFrame) -> DataFrame:
 
 
 def q18_pairs_elapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _readable(pairs.elapsed_pairs(_unified_table(spark, sf_dir)))
+    return _readable(pairs.elapsed_pairs(_dated(spark, sf_dir)))
 
 
 def q19_pairs_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _readable(pairs.calendar_pairs(_unified_table(spark, sf_dir)))
+    return _readable(pairs.calendar_pairs(_dated(spark, sf_dir)))
 
 
 def q20_gap_rule_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,24 +224,24 @@ def q20_gap_rule_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q21_bbox_overlap_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _unified_table(spark, sf_dir)
-    near = pairs.with_bbox_overlap(pairs.with_geometries(pairs.consecutive(rows), rows))
+    near = pairs.with_bbox_overlap(pairs.consecutive(rows), rows)
     return near.select("incident_id", "curr_row", "next_row", "bbox_overlap")
 
 
 def q22_overlap_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _unified_table(spark, sf_dir)
-    return pairs.overlap_counts(pairs.with_overlap(pairs.elapsed_pairs(rows), rows))
+    return pairs.overlap_counts(pairs.with_overlap(pairs.elapsed_pairs(rows), rows, "geometry"))
 
 
 def q22_overlap_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _unified_table(spark, sf_dir)
-    found = pairs.with_overlap(pairs.consecutive(rows), rows)
+    found = pairs.with_overlap(pairs.consecutive(rows), rows, "geometry")
     return found.select("incident_id", "curr_row", "next_row", "overlaps")
 
 
 def q23_contains_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _unified_table(spark, sf_dir)
-    found = pairs.with_containment(pairs.consecutive(rows), rows)
+    found = pairs.with_containment(pairs.consecutive(rows), rows, "geometry")
     return found.select("incident_id", "curr_row", "next_row", "curr_contains", "next_contains")
 
 
@@ -243,7 +252,7 @@ def q24_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q25_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _unified_table(spark, sf_dir)
     items = timeline.timeline(written(pairs.elapsed_pairs(rows), "pairs"))
-    placed = timeline.with_label_points(items, rows)
+    placed = timeline.with_label_points(items, rows, "geometry")
     return _timeline_columns(placed, "incident_id", F.col("label_point.x").alias("x"), F.col("label_point.y").alias("y"))
 
 
@@ -255,7 +264,7 @@ def _timeline_columns(items: DataFrame, key: str, *more) -> DataFrame:
 
 
 def q25_timeline_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _unified_table(spark, sf_dir)
+    rows = _unified(spark, sf_dir).select("row_id", "incident_id", "incident_name", "perimeter_date")
     titled = timeline.timeline_title(timeline.timeline_summary(pairs.elapsed_pairs(rows)), rows)
     dates = {c: F.col(c).cast("string") for c in ("first_date", "last_date")}
     return titled.withColumns(dates)
@@ -276,7 +285,7 @@ def _roster(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("value") * 1000).alias("poly_Acres"),
         F.col("event_id").alias("row_id"),
     )
-    return roster.roster(roster.roster_input(spread(raw)))
+    return roster.roster(roster.roster_input(dealt_out(raw)))
 
 
 def q26_roster(spark: SparkSession, sf_dir: str) -> DataFrame:

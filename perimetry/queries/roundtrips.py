@@ -19,7 +19,7 @@ from perimetry.plans.storage import scratch_path, written
 from perimetry.plans.unify import classified, unified
 from perimetry.queries.adapter import SETTINGS, adapter, normalized
 from perimetry.schema import TEXT_COLUMNS
-from perimetry.sinks.outputs import read_unified, with_geom, write_rejects, write_unified
+from perimetry.sinks.outputs import read_rejects, read_unified, with_geom, write_rejects, write_unified
 from perimetry.sources.files import open_fs
 from perimetry.sources.perimeters import readable, scan_all
 
@@ -141,6 +141,4 @@ def q30_rejects_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rejected = quality.without_id(classified(normalized(spark, sf_dir), SETTINGS))
     if not write_rejects(rejected, path):
         return rejected
-    return spark.read.option("header", True).csv(path).select(
-        F.col("row_id").cast("bigint").alias("row_id"), "incident_name", "fire_year", "source_dataset", "id_type"
-    )
+    return read_rejects(spark, path, rejected.schema).withColumn("perimeter_date", F.col("perimeter_date").cast("string"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from perimetry.functions.geometry import bbox
 from perimetry.functions.wkb import from_wkb, to_wkb
@@ -12,11 +13,13 @@ SRID = 4326
 
 
 def write_unified(df: DataFrame, path: str) -> None:
-    """Parquet with ``geometry`` as WKB, its ``bbox`` and ``srid``. Files are sorted by incident and
-    date, so a lookup of one incident skips row groups."""
+    """Parquet with ``geometry`` as WKB, its ``bbox`` and ``srid``. Rows are dealt out by ranges of
+    incident and date and sorted by them, so a lookup of one incident opens few files and skips row
+    groups; a hot incident is split by its dates."""
     (
         df.withColumns({"geometry": to_wkb("geom"), "bbox": bbox(F.col("geom")), "srid": F.lit(SRID)})
         .drop("geom")
+        .repartitionByRange("incident_id", "perimeter_date")
         .sortWithinPartitions("incident_id", "perimeter_date")
         .write.mode("overwrite")
         .parquet(path)
@@ -34,14 +37,40 @@ def with_geom(table: DataFrame) -> DataFrame:
     return table.withColumn("geom", from_wkb("geometry")).drop("geometry")
 
 
+# Quotes are doubled as other CSV readers expect, outer blanks and line breaks stay. Null is the text \\N;
+# a text that starts with a backslash gets one more, so that no text equals null.
+_NULL = "\\N"
+_CSV = {
+    "header": "true", "quote": '"', "escape": '"', "nullValue": _NULL, "emptyValue": "", "lineSep": "\n",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
+
+
+def _texts(df: DataFrame, change) -> DataFrame:
+    """``change`` applied to the text columns that start with a backslash."""
+    columns = {
+        f.name: F.when(F.startswith(F.col(f.name), F.lit("\\")), change(F.col(f.name))).otherwise(F.col(f.name))
+        for f in df.schema if isinstance(f.dataType, T.StringType)
+    }
+    return df.withColumns(columns)
+
+
 def write_rejects(df: DataFrame, path: str) -> bool:
-    """CSV with a header; nothing is written when there are no rejects."""
+    """CSV with a header that ``read_rejects`` reads back unchanged; nothing is written when there are
+    no rejects."""
     if df.isEmpty():
         return False
-    df.write.mode("overwrite").option("header", True).csv(path)
+    escaped = _texts(df, lambda c: F.concat(F.lit("\\"), c))
+    escaped.write.mode("overwrite").options(**_CSV, quoteAll="true").csv(path)
     return True
 
 
+def read_rejects(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The records that ``write_rejects`` wrote, with their types."""
+    found = spark.read.schema(schema).options(**_CSV, multiLine="true", enforceSchema="false", mode="FAILFAST").csv(path)
+    return _texts(found, lambda c: F.substring(c, 2, 2**31 - 1))
+
+
 def write_report(report: DataFrame, path: str) -> None:
     """The one-row report as one JSON document, nulls included, with the time of writing."""
     stamp = F.replace(F.current_timestamp().cast("string"), F.lit(" "), F.lit("T"))

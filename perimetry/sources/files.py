@@ -9,6 +9,8 @@ def open_fs(path: str) -> tuple[fs.FileSystem, str]:
     """(file system, path on it) for a plain path or a URI."""
     if path.startswith("file:"):
         path = "/" + path[len("file:") :].lstrip("/")
+    if path.startswith(("s3a://", "s3n://")):  # Hadoop's names of Arrow's s3
+        path = "s3" + path[3:]
     if "://" in path:
         return fs.FileSystem.from_uri(path)
     return fs.LocalFileSystem(), path

@@ -53,6 +53,8 @@ def scan(
 
 def scan_all(spark: SparkSession, raw_dir: str, settings: Settings, mode: str = "PERMISSIVE") -> DataFrame:
     """All datasets of ``settings`` in read order, one bag."""
+    if len(settings.sources) > 127:
+        raise ValueError("record numbers hold 127 sources")
     frames = [scan(spark, raw_dir, s, rank, settings, mode) for rank, s in enumerate(settings.sources)]
     if not frames:
         return union_all(spark, []).selectExpr(*NORMALIZED_COLUMNS, "'' AS file", "cast(NULL AS string) AS error")
@@ -69,7 +71,7 @@ def readable(rows: DataFrame) -> DataFrame:
 
 def unreadable(rows: DataFrame) -> DataFrame:
     """``file, error`` of the files that could not be read."""
-    return rows.filter("error IS NOT NULL").select("file", "error")
+    return rows.filter("error IS NOT NULL").select("file", "error").distinct()
 
 
 def scan_roster(spark: SparkSession, raw_dir: str, pattern: str) -> DataFrame:

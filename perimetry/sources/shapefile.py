@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from perimetry.operators.fields import resolve_field
+from perimetry.operators.fields import AliasIndex
 from perimetry.schema import GEOM, ID_COLUMNS
 from perimetry.sources.files import children, open_fs
 
@@ -39,6 +39,9 @@ _FILE_CODE = 9994
 _POLYGONS = (5, 15, 25)
 _NO_SHAPE = 0
 
+# places of a record in ``row_id``
+_MOST_FILES, _MOST_RECORDS = 1 << 24, 1 << 32
+
 _BATCH_RECORDS = 1024
 _BATCH_BYTES = 32 << 20
 _SPLIT_BYTES = 128 << 20
@@ -56,6 +59,10 @@ class _Range(InputPartition):
     stop: int
 
 
+def _newer(archive, folder) -> bool:
+    return archive.mtime_ns is not None and folder.mtime_ns is not None and archive.mtime_ns > folder.mtime_ns
+
+
 class UnsupportedFile(ValueError):
     """A file that cannot be read; its text is the reject reason."""
 
@@ -201,23 +208,28 @@ class ShapefileReader(DataSourceReader):
         self.root, self.pattern = options["path"], options.get("pattern", "*")
         self.columns = options["columns"].split(",")
         self.aliases = json.loads(options.get("aliases", "{}"))
-        self.exact = options.get("match", "normalized") == "exact"
+        wanted = {c: self.aliases.get(c, [c]) for c in self.columns}
+        self.names = AliasIndex(wanted, exact=options.get("match", "normalized") == "exact")
         self.fail_fast = options.get("mode", "PERMISSIVE").upper() == "FAILFAST"
-        self.nad83 = options.get("nad83_as_wgs84", "false").lower() == "true"
+        self.nad83 = options.get("nad83_as_wgs84", "true").lower() == "true"
         self.split_bytes = int(options.get("split_bytes", _SPLIT_BYTES))
 
     # On the driver: only listings are looked at, never file contents.
     def partitions(self) -> list[_Range]:
         system, root = open_fs(self.root)
         entries = children(system, root)
-        folders = {e.base_name for e in entries if not e.is_file}
+        folders = {e.base_name: e for e in entries if not e.is_file}
+        archives = {e.base_name.removesuffix(".zip"): e for e in entries if e.is_file and e.base_name.endswith(".zip")}
         ranges: list[_Range] = []
         file_no = 0
         for entry in entries:
             stem = entry.base_name.removesuffix(".zip")
-            archive = entry.is_file and entry.base_name.endswith(".zip") and stem not in folders
+            archive = entry is archives.get(stem)
             if not (archive or not entry.is_file) or not fnmatch.fnmatchcase(stem, self.pattern):
                 continue
+            # an archive replaces a folder of its name that is older, as unpacking it would
+            if stem in archives and stem in folders and archive != _newer(archives[stem], folders[stem]):
+                continue
             if archive:
                 ranges.append(_Range(entry.path, file_no, 0, -1))
                 file_no += 1
@@ -231,6 +243,8 @@ class ShapefileReader(DataSourceReader):
                 starts = range(0, max(records, 1), step)
                 ranges += [_Range(path, file_no, a, min(a + step, records)) for a in starts]
                 file_no += 1
+        if file_no > _MOST_FILES or any(r.stop > _MOST_RECORDS for r in ranges):
+            raise ValueError(f"{self.root}: record numbers hold {_MOST_FILES} files of {_MOST_RECORDS} records")
         return ranges or [_Range("", 0, 0, 0)]
 
     # In a task.
@@ -266,14 +280,7 @@ class ShapefileReader(DataSourceReader):
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
     def _resolve(self, table: _Attributes) -> dict[str, str | None]:
-        found = {}
-        for column in self.columns:
-            candidates = self.aliases.get(column, [column])
-            if self.exact:
-                found[column] = next((c for c in candidates if c in table.fields), None)
-            else:
-                found[column] = resolve_field(list(table.fields), candidates)
-        return found
+        return self.names.resolve(list(table.fields))
 
     def _decode(self, table, fields, rows, contents, partition, first, srid) -> pa.RecordBatch:
         alive = np.flatnonzero(rows[:, 0] != ord("*"))

@@ -1,20 +1,25 @@
 """Shapefile source, sinks and the five jobs on files written by the tests."""
 
+import itertools
 import json
+import os
 import struct
 import zipfile
+from datetime import datetime
 from glob import glob
+from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from perimetry.config import Settings, SourceSpec
 from perimetry.plans import jobs
-from perimetry.plans.storage import shared_dir, spread
+from perimetry.plans.storage import release, shared_dir, written
 from perimetry.queries.roundtrips import WGS84, shapefile_parts
-from perimetry.sinks.outputs import read_unified, with_geom
+from perimetry.sinks.outputs import read_rejects, read_unified, with_geom, write_rejects
 from perimetry.sources.perimeters import readable, scan, scan_all, unreadable
-from perimetry.sources.shapefile import ShapefileSource, polygons_of, srid_of, UnsupportedFile
+from perimetry.sources.shapefile import ShapefileReader, ShapefileSource, polygons_of, srid_of, UnsupportedFile
 
 HISTORY = "InterAgencyFirePerimeterHistory_"
 GEOMAC = "Historic_Geomac_"
@@ -59,6 +64,7 @@ def test_scan_matches_folders_files_and_archives(spark, tmp_path):
     put(tmp_path / "z", *simple(2, 20))
     pack(tmp_path / "z", raw / f"{GEOMAC}b.zip")
     pack(tmp_path / "z", raw / f"{GEOMAC}a.zip")  # lies unpacked beside itself
+    os.utime(raw / f"{GEOMAC}a.zip", (0, 0))
     put(raw / f"{GEOMAC}c" / "nested", *simple(1, 30))  # not a direct file of the folder
     (raw / f"{GEOMAC}plain").write_text("no folder")
     put(raw / "Other_a", *simple(1, 40))
@@ -266,25 +272,48 @@ def test_roster_job(spark, tmp_path):
     assert [r.line.split() for r in rows] == [["Name", "2025-02-01", "a", "2,500"]]
 
 
-def test_shared_dir_and_spread(spark):
-    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
-    assert spread(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(100, numPartitions=16)
-    assert spread(wide) is wide
-
-
 class _Session:
     """Just what ``shared_dir`` asks of a session that names no shared folder."""
 
-    def __init__(self, master):
-        self.sparkContext = self.conf = self
-        self.master = master
+    def __init__(self):
+        self.conf = self
 
     def get(self, key, default):
         return default
 
 
-def test_no_local_folder_on_a_cluster():
-    assert shared_dir(_Session("local[2]")) == shared_dir(_Session("local[2]"))
+def test_the_scratch_folder_must_be_named(spark):
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_dir(_Session("spark://host:7077"))
+        shared_dir(_Session())
+
+
+def test_release_deletes_scratch_tables(spark):
+    kept = written(spark.range(5), "numbers")
+    assert kept.count() == 5
+    folder = Path(shared_dir(spark).removeprefix("file:")) / "perimetry"
+    assert any(folder.iterdir())
+    release(spark)
+    assert not any(folder.iterdir())
+
+
+def test_rejects_keep_their_data(spark, tmp_path):
+    texts = [None, "", " ", " F-7 ", "None", 'say "hi"', '"', '""', "a,b", "two\nlines", "win\r\nlines", "\\N", "\\\\N", "\\", "#x", "é\t", "'", "a\\"]
+    rows = [(i, a, b, i % 2 == 0, datetime(2020, 1, 1, 5, i)) for i, (a, b) in enumerate(itertools.product(texts, texts[:9]), 0) if i < 60] + [
+        (100 + i, t, t, None, None) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "i long, a string, b string, c boolean, d timestamp_ntz")
+    assert write_rejects(df, str(tmp_path / "out"))
+    back = read_rejects(spark, str(tmp_path / "out"), df.schema)
+    assert back.schema == df.schema and sorted(back.collect()) == sorted(df.collect())
+    assert not write_rejects(df.limit(0), str(tmp_path / "none"))
+    table = pd.concat(pd.read_csv(f, keep_default_na=False, na_values=[]) for f in (tmp_path / "out").glob("*.csv"))
+    assert set(table["b"]) >= {'say "hi"', "two\nlines", " F-7 "}
+
+
+def test_a_newer_archive_replaces_a_folder(spark, tmp_path):
+    pack(put(tmp_path / "Set_1", {"uniquefire": ["a"]}, [[box(0, 0)]]), tmp_path / "Set_1.zip")
+    reader = ShapefileReader({"path": str(tmp_path), "pattern": "Set_*", "columns": "uniquefire"})
+    for age, archive in ((0, True), (1, False)):
+        now = os.stat(tmp_path / "Set_1").st_mtime
+        os.utime(tmp_path / "Set_1.zip", (now + 10 - 20 * age,) * 2)
+        assert [p.stop < 0 for p in reader.partitions()] == [archive]

@@ -1,12 +1,14 @@
 """Registered queries against DuckDB, and the plans they run with."""
 
 import re
+from pathlib import Path
 
 import pytest
 
 import __spark_entry__ as registered
 import check
 from perimetry.operators import funnel, pairs, timeline
+from perimetry.plans.storage import release, shared_dir
 from perimetry.plans.unify import classified, unified
 from perimetry.queries import registry
 from perimetry.queries.adapter import SETTINGS, normalized, table
@@ -19,14 +21,18 @@ def con():
     return check.connect(SMALL)
 
 
-@pytest.mark.parametrize("name", list(registered.queries()))
+@pytest.mark.parametrize("name", list(registry.QUERIES))
 def test_query_matches_sql(spark, con, name):
     assert check.compare(spark, con, SMALL, name) == ""
+    release(spark)
+    folder = Path(shared_dir(spark).removeprefix("file:")) / "perimetry"
+    assert not folder.exists() or not any(folder.iterdir())
 
 
 def test_entry_and_keys(spark):
     assert registered.entry(spark).count() == 1
-    assert set(registered.oracle_sql()) == set(registered.queries())
+    assert set(registry.QUERIES) <= set(registered.queries())
+    assert set(registry.QUERIES) <= set(registered.oracle_sql())
 
 
 def plan(df):
@@ -58,9 +64,12 @@ def test_pairs_keep_geometry_out_of_the_windows(spark):
     assert "geom" not in text and "Python" not in text
     for spec in re.findall(r"Window \[.*?\], \[(.*?)\], \[", text):
         assert "hour" in spec or spec.count(",") == 0
-    text = plan(pairs.with_overlap(pairs.elapsed_pairs(rows), rows))
+    near = plan(pairs.with_bbox_overlap(pairs.consecutive(rows), rows))
+    assert "bbox" in near and "geometry" not in near  # boxes alone are read
+    text = plan(pairs.with_overlap(pairs.elapsed_pairs(rows), rows, "geometry"))
     assert text.index("ArrowEvalPython [intersects") < text.index("Join")  # geometry is looked at after the joins
-    assert "NestedLoop" not in plan(pairs.with_overlap(pairs.elapsed_pairs(rows), rows))
+    assert "LeftSemi" in text  # and leaves the scan for meeting pairs only
+    assert "NestedLoop" not in text
     assert "NestedLoop" not in plan(timeline.timeline(pairs.elapsed_pairs(rows)))
 
 

@@ -8,7 +8,7 @@ from perimetry.config import ALIASES, PRIORITIES, Settings
 from perimetry.functions.dates import with_parsed_date
 from perimetry.functions.text import canonical_year, normalize_name, to_number
 from perimetry.operators import dedup, identity, quality, report, roster
-from perimetry.operators.fields import normalize, normalize_field_name, resolve_field, union_all
+from perimetry.operators.fields import AliasIndex, normalize, plain_name, union_all
 from perimetry.plans.unify import classified, unified
 from perimetry.schema import NORMALIZED_DDL, OUTPUT_COLUMNS, TEXT_COLUMNS
 
@@ -32,11 +32,11 @@ def records(spark, rows):
 
 
 def test_field_names():
-    assert normalize_field_name(" Unit ID ") == "unit_id"
-    assert resolve_field(["A", "IncidentNa", "incident"], ALIASES["incident_name"]) == "incident"
-    assert resolve_field(["Unit ID", "UNIT_ID"], ALIASES["unit_id"]) == "UNIT_ID"
-    assert resolve_field(["attr_Uniqu", "incident_name"], ALIASES["incident_name"]) is None
-    assert resolve_field(["attr_Uniqu"], ALIASES["incident_id_raw"]) is None
+    assert plain_name(" Unit ID ") == "unit_id"
+    assert AliasIndex(ALIASES).resolve(["A", "IncidentNa", "incident"])["incident_name"] == "incident"
+    assert AliasIndex(ALIASES).resolve(["Unit ID", "UNIT_ID"])["unit_id"] == "UNIT_ID"
+    assert AliasIndex(ALIASES).resolve(["attr_Uniqu", "incident_name"])["incident_name"] is None
+    assert AliasIndex(ALIASES).resolve(["attr_Uniqu"])["incident_id_raw"] is None
 
 
 def test_normalize_is_by_column_and_nulls_numeric_zero_ids(spark):
