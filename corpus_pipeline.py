@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from perimetry.llm import bpe, decontaminate, lines, quality, simhash
 from perimetry.llm.queries import ACCEPTED, TOKENIZER
-from perimetry.plans.storage import written
+from perimetry.plans.storage import made, release, scratch_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -65,8 +65,12 @@ ORACLE_SQL = None  # the classifier, SimHash and the tokenizer are not expressib
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    earlier = made()
     for place, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if place < len(STAGES) - 1:
-            docs = written(docs, f"pipeline-{name}")
+            path = scratch_path(spark, f"pipeline-{name}")
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
+            release(spark, keep=earlier | {path})  # what the stage itself had stored
     return docs
