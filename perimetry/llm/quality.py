@@ -100,7 +100,7 @@ def sampled_chunks(text: bytes) -> list[bytes]:
     return [text[i * step : i * step + size] for i in picked]
 
 
-def fit(rows: list[tuple[list[bytes], int]], epochs: int = 12, seed: int = 7, rate: float = 0.01) -> Network:
+def fit(rows: list[tuple[list[bytes], int]], epochs: int = 15, seed: int = 7, rate: float = 0.015) -> Network:
     """Train on (chunks, label) rows by Adam on the log loss. Classes weigh as in the given rows; without
     rows every score is one half."""
     rng = np.random.default_rng(seed)
@@ -166,7 +166,7 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = 1500) -> list[tuple[list[bytes], int]]:
+def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = 3000) -> list[tuple[list[bytes], int]]:
     """A bounded sample of labelled texts outside the held-out fold."""
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
     picked = None
@@ -188,7 +188,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = 1500) ->
             for r in sorted(joined.limit(4 * per_class).collect(), key=lambda r: (r.doc_id, r.chunks, r.quality))]
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 1500) -> Network:
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 3000) -> Network:
     return fit(training_rows(docs, labels, per_class))
 
 
