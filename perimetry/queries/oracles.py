@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from perimetry.config import SOURCES
 from perimetry.queries.adapter import oracle_a
+from perimetry.queries.roundtrips import LOOKED_UP
 
 _SHAPES = """CASE
   WHEN regexp_full_match(s, '\\d{14}') THEN try_strptime(s, '%Y%m%d%H%M%S')
@@ -310,3 +312,60 @@ FROM (SELECT *, epoch(next_ts) - epoch(curr_ts) < 604800 AS near FROM l WHERE ne
 }
 # the file of refused records keeps every column
 ORACLES["q30_rejects_roundtrip"] = ORACLES["q07_rejects_no_id"]
+
+# every other ring in the order of its points' angles
+_TURNED = _RINGS.replace(
+    "pt AS (", "raw AS (", 1
+).replace("sg AS (", """pt AS (SELECT vec_id, x, y,
+  row_number() OVER (PARTITION BY vec_id ORDER BY CASE WHEN vec_id % 2 = 0 THEN atan2(y, x) ELSE i END, x, y) - 1 AS i FROM raw),
+sg AS (""", 1)
+ORACLES["q09_validity_by_angle"] = ORACLES["q09_validity_rings"].replace(_with(_RINGS), _with(_TURNED))
+
+
+def _side(point: str, segment: str) -> str:
+    x, y = {"": ("x", "y"), "1": ("x1", "y1"), "2": ("x2", "y2")}[point[1:]]
+    s, p = segment, point[0]
+    return f"(({s}.x2 - {s}.x1) * ({p}.{y} - {s}.y1) - ({s}.y2 - {s}.y1) * ({p}.{x} - {s}.x1))"
+
+
+def _triangle(name: str, first: int, scale: str) -> str:
+    return f"""p{name} AS (SELECT vec_id, i, CAST(embedding[2 * i + {first}] AS DOUBLE) * {scale} AS x,
+  CAST(embedding[2 * i + {first + 1}] AS DOUBLE) * {scale} AS y FROM embeddings, range(3) t(i)),
+s{name} AS (SELECT p.vec_id, p.i, p.x AS x1, p.y AS y1, q.x AS x2, q.y AS y2
+  FROM p{name} p JOIN p{name} q ON p.vec_id = q.vec_id AND q.i = (p.i + 1) % 3),
+x{name} AS (SELECT vec_id, min(x) AS x1, max(x) AS x2, min(y) AS y1, max(y) AS y2 FROM p{name} GROUP BY vec_id)"""
+
+
+def _inside(name: str, inner: str, outer: str) -> str:
+    """Corners of one triangle that lie on one side of all segments of the other."""
+    return f"""{name} AS (SELECT vec_id, bool_or(inside) AS some, bool_and(inside) AS whole FROM (
+  SELECT q.vec_id, q.i, min({_side("q", "p")}) >= 0 OR max({_side("q", "p")}) <= 0 AS inside
+  FROM p{inner} q JOIN s{outer} p ON q.vec_id = p.vec_id GROUP BY q.vec_id, q.i) GROUP BY vec_id)"""
+
+
+ORACLES["q35_triangles"] = "WITH " + ", ".join([
+    _triangle("a", 1, "1"), _triangle("b", 7, "0.25"), _inside("b_in_a", "b", "a"), _inside("a_in_b", "a", "b"),
+    f"""crossing AS (SELECT DISTINCT p.vec_id FROM sa p JOIN sb q ON p.vec_id = q.vec_id
+  WHERE {_side("q1", "p")} * {_side("q2", "p")} <= 0 AND {_side("p1", "q")} * {_side("p2", "q")} <= 0)""",
+]) + """
+SELECT e.vec_id, xa.x1 <= xb.x2 AND xb.x1 <= xa.x2 AND xa.y1 <= xb.y2 AND xb.y1 <= xa.y2 AS boxes_meet,
+  b_in_a.some OR a_in_b.some OR e.vec_id IN (SELECT vec_id FROM crossing) AS overlaps, b_in_a.whole AS a_contains_b
+FROM embeddings e JOIN xa ON xa.vec_id = e.vec_id JOIN xb ON xb.vec_id = e.vec_id
+  JOIN b_in_a ON b_in_a.vec_id = e.vec_id JOIN a_in_b ON a_in_b.vec_id = e.vec_id"""
+
+# the files hold texts without outer blanks, no empty ones, and unlisted records as records of the last source
+_STORED = ", ".join(f"nullif(trim({c}), '') AS {c}" for c in (
+    "incident_id_raw", "irwin_id_raw", "local_incident_id", "for_id", "geo_id", "global_id",
+    "incident_name", "fire_year", "unit_id", "perimeter_date_raw",
+))
+_FILED = _A.replace(oracle_a(), f"SELECT * REPLACE ({_STORED}) FROM ({oracle_a()})").replace("'Unlisted source'", f"'{SOURCES[-1].name}'")
+ORACLES["q31_unify_job"] = _FILED + "SELECT incident_id, fire_year, source_dataset, id_type, 4326 AS srid FROM u"
+ORACLES["q32_unify_job_report"] = (
+    "SELECT total_records, unique_incidents, total_input, missing_required_fields, invalid_dates, invalid_geometry, passed,"
+    " duplicates_removed, years_filled, single_perimeter_incidents, multi_perimeter_incidents, max_perimeters, formal_ids FROM ("
+    + ORACLES["q14_overall_report"].replace(_A, _FILED) + ")"
+)
+ORACLES["q33_training_pairs_job"] = _with(CTES, LINKS, BOXES) + (
+    f"SELECT incident_id, curr_row, next_row, {_MEET} AS overlaps, true AS both_shapes FROM b WHERE epoch(next_ts) - epoch(curr_ts) < 604800"
+)
+ORACLES["q34_incident_lookup_job"] = f"SELECT * FROM ({ORACLES['q25_timeline']}) WHERE incident_id = '{LOOKED_UP}'"

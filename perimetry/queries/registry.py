@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perimetry.functions.geometry import point_text
-from perimetry.functions.shapes import centroid, is_valid
+from perimetry.functions.geometry import bbox, bboxes_meet, point_text
+from perimetry.functions.shapes import centroid, contains, intersects, is_valid
 from perimetry.functions.text import is_valid_id
 from perimetry.operators import dedup, fields, funnel, identity, pairs, quality, report, roster, timeline
 from perimetry.functions.dates import with_parsed_date
@@ -127,6 +127,32 @@ def q09_validity_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rings(spark, sf_dir).select("vec_id", is_valid("geom").alias("valid"))
 
 
+def q09_validity_by_angle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rings with the points of every other one in the order of their angles, which makes them valid."""
+    points = "transform(sequence(0, 31), i -> named_struct('x', cast(embedding[2 * i] AS double), 'y', cast(embedding[2 * i + 1] AS double)))"
+    turned = f"transform(array_sort(transform({points}, (p, i) -> named_struct('a', if(vec_id % 2 = 0, atan2(p.y, p.x), i), 'p', p))), s -> s.p)"
+    ring = f"concat({turned}, slice({turned}, 1, 1))"
+    shaped = table(spark, sf_dir, "embeddings").selectExpr("vec_id", f"array(array({ring})) AS geom")
+    return shaped.select("vec_id", is_valid("geom").alias("valid"))
+
+
+def q35_triangles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two triangles per embedding, the second a quarter as large: their boxes often meet where they do not."""
+
+    def triangle(first: int, scale: str) -> str:
+        corners = ", ".join(
+            f"named_struct('x', cast(embedding[{i}] AS double) * {scale}, 'y', cast(embedding[{i + 1}] AS double) * {scale})"
+            for i in (first, first + 2, first + 4, first)
+        )
+        return f"array(array(array({corners})))"
+
+    shaped = table(spark, sf_dir, "embeddings").selectExpr("vec_id", f"{triangle(0, '1D')} AS a", f"{triangle(6, '0.25D')} AS b")
+    return shaped.select(
+        "vec_id", bboxes_meet(bbox(F.col("a")), bbox(F.col("b"))).alias("boxes_meet"),
+        intersects(F.col("a"), F.col("b")).alias("overlaps"), contains(F.col("a"), F.col("b")).alias("a_contains_b"),
+    )
+
+
 def q10_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup.deduplicate(quality.passed(_classified(spark, sf_dir)), SETTINGS)
     return kept.select("row_id", "incident_id", "fire_year", "source_dataset")
@@ -321,13 +347,14 @@ QUERIES: dict[str, Query] = {
     for f in (
         q01_normalize_schema, q02_valid_id, q03_unify_id, q04_parse_date, q05_year_fill,
         q06_quality_reasons, q07_rejects_no_id, q08_centroid, q08_centroid_rings, q09_validity,
-        q09_validity_rings, q10_dedup, q11_unified_table, q12_dataset_counts,
+        q09_validity_rings, q09_validity_by_angle, q10_dedup, q11_unified_table, q12_dataset_counts,
         q13_id_type_distribution, q14_overall_report, q15_incident_stats, q16_funnel,
         q16_funnel_steps, q17_funnel_with_missing_dates, q18_pairs_elapsed, q19_pairs_calendar,
         q20_gap_rule_difference, q21_bbox_overlap_pairs, q22_overlap_count, q22_overlap_pairs,
         q23_contains_pairs, q24_sequences, q25_timeline, q25_timeline_summary,
         q25_timeline_events, q26_roster, q27_roster_report, q28_pairs_lineitem,
         q28_pair_counts_lineitem, roundtrips.q29_shapefile_roundtrip, roundtrips.q30_sinks_roundtrip,
-        roundtrips.q30_rejects_roundtrip,
+        roundtrips.q30_rejects_roundtrip, roundtrips.q31_unify_job, roundtrips.q32_unify_job_report,
+        roundtrips.q33_training_pairs_job, roundtrips.q34_incident_lookup_job, q35_triangles,
     )
 }

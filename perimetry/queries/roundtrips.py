@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from perimetry.config import SOURCES
 from perimetry.operators import quality
+from perimetry.plans import jobs
 from perimetry.plans.storage import scratch_path, written
 from perimetry.plans.unify import classified, unified
 from perimetry.queries.adapter import SETTINGS, adapter, normalized
@@ -31,6 +32,8 @@ FIELDS = {
 }
 WGS84 = 'GEOGCS["GCS_WGS_1984",DATUM["D_WGS_1984",SPHEROID["WGS_1984",6378137.0,298.257223563]]]'
 
+LOOKED_UP = "GEO144"
+
 
 def shapefile_parts(attributes: dict[str, list[str | None]], shapes: list[list[np.ndarray] | None]) -> dict[str, bytes]:
     """Suffix -> content of a shapefile of text attributes and single polygons (rings of points)."""
@@ -103,8 +106,8 @@ def _rings(row) -> list[np.ndarray] | None:
     return [np.array([box[i] for i in order])]
 
 
-def q29_shapefile_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The adapter as zipped shapefiles of the five sources, scanned by the shapefile reader."""
+def _raw_files(spark: SparkSession, sf_dir: str) -> str:
+    """The adapter as zipped shapefiles of the five sources; unlisted ones become the last source."""
     raw_dir = scratch_path(spark, "raw")
     last = SOURCES[-1].name
     known = [s.name for s in SOURCES[:-1]]
@@ -113,7 +116,12 @@ def q29_shapefile_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     folders = {s.name: s.pattern.rstrip("*") for s in SOURCES}
     rows.mapInPandas(_write_archives(raw_dir, folders), "records bigint").write.format("noop").mode("overwrite").save()
-    records = readable(written(scan_all(spark, raw_dir, SETTINGS), "scanned"))
+    return raw_dir
+
+
+def q29_shapefile_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The adapter as zipped shapefiles of the five sources, scanned by the shapefile reader."""
+    records = readable(written(scan_all(spark, _raw_files(spark, sf_dir), SETTINGS), "scanned"))
     x = F.expr("flatten(flatten(geom)).x")
     return records.select(
         "source_dataset", *[c for c in TEXT_COLUMNS if c != "state"],
@@ -142,3 +150,48 @@ def q30_rejects_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     if not write_rejects(rejected, path):
         return rejected
     return read_rejects(spark, path, rejected.schema).withColumn("perimeter_date", F.col("perimeter_date").cast("string"))
+
+
+def _unify_job(spark: SparkSession, sf_dir: str) -> jobs.UnifyOutputs:
+    return jobs.unify(spark, _raw_files(spark, sf_dir), scratch_path(spark, "outputs"), SETTINGS)
+
+
+def q31_unify_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unify job as users call it, from archives to the stored table. Which of several equal records
+    stays depends on their order in the files, so the columns that they share are compared."""
+    table = read_unified(spark, _unify_job(spark, sf_dir).table)
+    return table.select("incident_id", "fire_year", "source_dataset", "id_type", "srid")
+
+
+def q32_unify_job_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report file of the unify job, read back."""
+    report = spark.read.json(_unify_job(spark, sf_dir).report)
+    counts = [f"overall.quality_filter_stats.{c}" for c in ("total_input", "missing_required_fields", "invalid_dates", "invalid_geometry", "passed")]
+    return report.select(
+        "overall.total_records", "overall.unique_incidents", *counts, "overall.deduplication_stats.duplicates_removed", "overall.years_filled",
+        "overall.incident_stats.single_perimeter_incidents", "overall.incident_stats.multi_perimeter_incidents",
+        "overall.incident_stats.max_perimeters", F.col("overall.id_type_distribution.formal").alias("formal_ids"),
+    )
+
+
+def _stored(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_path(spark, "perimeters")
+    write_unified(unified(classified(normalized(spark, sf_dir), SETTINGS), SETTINGS), path)
+    return path
+
+
+def q33_training_pairs_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training pairs job on a stored table; both geometries come along."""
+    found = jobs.training_pairs(spark, _stored(spark, sf_dir), SETTINGS)
+    both = F.col("curr_geom").isNotNull() & F.col("next_geom").isNotNull()
+    return found.select("incident_id", "curr_row", "next_row", "overlaps", both.alias("both_shapes"))
+
+
+def q34_incident_lookup_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The timeline job: one incident looked up in a stored table."""
+    items, _ = jobs.incident_timeline(spark, _stored(spark, sf_dir), LOOKED_UP, SETTINGS)
+    return items.select(
+        "incident_id", F.col("ts").cast("string").alias("ts"), "row", "position", "perimeters",
+        F.round("progress", 6).alias("progress"), "is_label", "label",
+        F.col("label_point.x").alias("x"), F.col("label_point.y").alias("y"),
+    )
