@@ -317,7 +317,7 @@ class ShapefileReader(DataSourceReader):
             offset, size = index.reshape(-1, 2).astype(np.int64).T * 2
             dbf.seek(table.begin + partition.start * table.width)
             for a, b in _batches(size):
-                contents = [shp.read_at(int(n), int(o) + 8) for o, n in zip(offset[a:b], size[a:b])]
+                contents = _contents(shp, offset[a:b], size[a:b])
                 rows = table.read(b - a)
                 yield self._decode(table, fields, rows, contents, partition, partition.start + a, srid)
 
@@ -346,6 +346,16 @@ class ShapefileReader(DataSourceReader):
                         first += len(contents)
 
 
+def _contents(shp, offset: np.ndarray, size: np.ndarray) -> list[bytes]:
+    """The records of a batch. They lie next to each other, so one read gets all of them; only a file that
+    scatters them is read record by record."""
+    low, high = int(offset.min()), int((offset + 8 + size).max())
+    if high - low > 2 * int((size + 8).sum()):
+        return [shp.read_at(int(n), int(o) + 8) for o, n in zip(offset, size)]
+    span = shp.read_at(high - low, low)
+    return [span[o + 8 - low : o + 8 - low + n] for o, n in zip(offset.tolist(), size.tolist())]
+
+
 def _encoding(cpg: str | None) -> str:
     name = (cpg or "").strip().lower()
     return "utf-8" if name in ("utf-8", "utf8", "65001") else "latin-1"

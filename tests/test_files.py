@@ -19,7 +19,7 @@ from perimetry.plans.storage import release, shared_dir, written
 from perimetry.queries.roundtrips import WGS84, shapefile_parts
 from perimetry.sinks.outputs import read_rejects, read_unified, with_geom, write_rejects
 from perimetry.sources.perimeters import readable, scan, scan_all, unreadable
-from perimetry.sources.shapefile import ShapefileReader, ShapefileSource, polygons_of, srid_of, UnsupportedFile
+from perimetry.sources.shapefile import ShapefileReader, ShapefileSource, _contents, polygons_of, srid_of, UnsupportedFile
 
 HISTORY = "InterAgencyFirePerimeterHistory_"
 GEOMAC = "Historic_Geomac_"
@@ -317,3 +317,21 @@ def test_a_newer_archive_replaces_a_folder(spark, tmp_path):
         now = os.stat(tmp_path / "Set_1").st_mtime
         os.utime(tmp_path / "Set_1.zip", (now + 10 - 20 * age,) * 2)
         assert [p.stop < 0 for p in reader.partitions()] == [archive]
+
+
+class _Counted:
+    def __init__(self, data):
+        self.data, self.reads = data, 0
+
+    def read_at(self, size, at):
+        self.reads += 1
+        return self.data[at : at + size]
+
+
+def test_a_batch_of_records_is_one_read():
+    size = np.array([4, 8, 6])
+    offset = np.array([100, 112, 128])
+    file = _Counted(bytes(range(200)))
+    assert _contents(file, offset, size) == [file.data[o + 8 : o + 8 + n] for o, n in zip(offset, size)] and file.reads == 1
+    scattered = _Counted(bytes(2000))
+    assert len(_contents(scattered, np.array([1500, 100, 900]), size)) == 3 and scattered.reads == 3
