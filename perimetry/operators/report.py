@@ -101,6 +101,7 @@ def processing_report(
         classified.agg(F.count_if("year_filled").alias("years_filled")),
         dataset_report(classified, sources),
     )
+    # fixed values: the field names of the report
     overall = F.struct(
         "total_records",
         "unique_incidents",

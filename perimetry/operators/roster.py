@@ -61,9 +61,3 @@ def roster_lines(rows: DataFrame) -> DataFrame:
     )
     padded = [F.rpad(c, width, " ") for c, (_, width) in zip(cells, REPORT_COLUMNS)]
     return rows.withColumn("line", F.concat_ws(" ", *padded))
-
-
-def roster_heading() -> str:
-    """The two heading lines above the report rows."""
-    heads = " ".join(f"{name:<{width}}" for name, width in REPORT_COLUMNS)
-    return f"{heads}\n{'-' * 100}"

@@ -90,6 +90,7 @@ def timeline_summary(pairs: DataFrame, key: str = "incident_id") -> DataFrame:
 def timeline_title(summary: DataFrame, table: DataFrame, key: str = "incident_id") -> DataFrame:
     """Add ``incident_name`` (of the first perimeter) and the three-line ``title``."""
     names = table.select(F.col("row_id").alias("first_row"), "incident_name")
+    # fixed value: the wording of the title
     title = F.format_string(
         "%s (%s)\nPerimeter Growth: %s to %s\n%d training pairs, %d unique perimeters",
         F.col("incident_name"), F.col(key), F.col("first_date").cast("string"),

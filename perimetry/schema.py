@@ -10,6 +10,7 @@ GEOM = f"array<array<array<{POINT}>>>"
 POINT_TYPE = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
 GEOM_TYPE = T.ArrayType(T.ArrayType(T.ArrayType(POINT_TYPE)))
 
+# The column names below.
 ID_COLUMNS = (
     "incident_id_raw",
     "irwin_id_raw",
