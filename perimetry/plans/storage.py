@@ -11,8 +11,11 @@ _MADE: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``."""
+    """The folder the cluster names in ``spark.checkpoint.dir``. A local session that names none uses its
+    warehouse folder; on a cluster that is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master:
+        folder = spark.conf.get("spark.sql.warehouse.dir")
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return folder.rstrip("/")

@@ -275,17 +275,20 @@ def test_roster_job(spark, tmp_path):
 class _Session:
     """Just what ``shared_dir`` asks of a session that names no shared folder."""
 
-    def __init__(self):
-        self.conf = self
+    def __init__(self, master):
+        self.sparkContext = self.conf = self
+        self.master = master
 
-    def get(self, key, default):
-        return default
+    def get(self, key, default=None):
+        return "file:/warehouse" if key == "spark.sql.warehouse.dir" else default
 
 
 def test_the_scratch_folder_must_be_named(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_dir(_Session())
+    assert shared_dir(_Session("local[2]")) == "file:/warehouse"
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(_Session(master))
 
 
 def test_release_deletes_scratch_tables(spark):
