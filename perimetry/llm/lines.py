@@ -111,11 +111,16 @@ def drop_frequent_lines(
     same = docs[id_col].cast("string").eqNullSafe(dropped["_k1"]) & (F.xxhash64(text) == dropped["_k2"])
     found = docs.join(dropped, same, "left")
     split = F.split(text, "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), gone)
+
+    def rest(own: Column) -> Column:
+        """``own`` lines without the dropped ones."""
+        left = F.array_except(F.sequence(F.lit(0), F.size(own) - 1), gone)
+        return F.array_join(F.transform(left, lambda i: own[i]), "\n")
+
     return found.select(
         *[docs[c] for c in docs.columns if c not in ("kept", "n_lines", "n_dropped")],
         F.when(gone.isNull(), text)
-        .otherwise(F.array_join(F.transform(kept, lambda i: split[i]), "\n")).alias("kept"),
+        .otherwise(F.transform(F.array(split), rest)[0]).alias("kept"),  # bound, so that a text is split once
         F.size(split).cast("long").alias("n_lines"),
         F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_dropped"),
     )
