@@ -272,28 +272,44 @@ def _interior_left(s: _Shapes) -> np.ndarray:
     return ((area > 0) == s.is_shell)[s.seg_ring]
 
 
+def _boundary_probes(s: _Shapes, touched: np.ndarray, middles: np.ndarray, rings: np.ndarray):
+    """Points (x, y, row) that stand for the boundary of ``rings``: the first point of each run of segments
+    that the other side does not touch, as such a run lies on one side of it as a whole; the ends of touched
+    segments and the middles of those asked for; and points that are on no segment."""
+    own = rings[s.seg_ring]
+    goes_on = np.zeros(len(s.seg), bool)
+    goes_on[1:] = (s.seg_ring[1:] == s.seg_ring[:-1]) & (s.seg[1:, :2] == s.seg[:-1, 2:]).all(axis=1) & ~touched[:-1]
+    first, met = np.flatnonzero(own & ~touched & ~goes_on), np.flatnonzero(own & touched)
+    middles = np.flatnonzero(own & middles)
+    alone = np.flatnonzero(rings[s.point_ring] & ((s.seg_count[s.point_ring] == 0) | ~s.finite))
+    x, y = np.concatenate([
+        s.seg[first, :2], s.seg[met, :2], s.seg[met, 2:], (s.seg[middles, :2] + s.seg[middles, 2:]) / 2,
+        np.column_stack([s.x[alone], s.y[alone]]),
+    ]).T
+    return x, y, np.concatenate([s.seg_row[first], s.seg_row[met], s.seg_row[met], s.seg_row[middles], s.ring_row[s.point_ring[alone]]])
+
+
 def containing_rows(a: _Shapes, b: _Shapes) -> np.ndarray:
     """Every point of the second geometry lies in the first (boundaries may coincide)."""
     fails = (np.bincount(a.seg_row, minlength=a.rows) == 0) | (np.bincount(b.seg_row, minlength=b.rows) == 0)
     along = np.zeros(len(b.seg), bool)
+    touched_a, touched_b = np.zeros(len(a.seg), bool), np.zeros(len(b.seg), bool)
     left_a, left_b = _interior_left(a), _interior_left(b)
-    for i, j, (_, cross, stretch, _turns) in _between(a, b):
+    for i, j, (share, cross, stretch, _turns) in _between(a, b):
         ahead = ((a.seg[i, 2:] - a.seg[i, :2]) * (b.seg[j, 2:] - b.seg[j, :2])).sum(axis=1) > 0
         apart = stretch & (ahead != (left_a[i] == left_b[j]))
         fails[a.seg_row[i[cross | apart]]] = True
         along[j[stretch]] = True
-    free = np.flatnonzero(~along)
-    middle = (b.seg[free, :2] + b.seg[free, 2:]) / 2
-    x, y = np.concatenate([b.x, middle[:, 0]]), np.concatenate([b.y, middle[:, 1]])
-    row = np.concatenate([b.ring_row[b.point_ring], b.seg_row[free]])
+        touched_a[i[share]], touched_b[j[share]] = True, True
+    x, y, row = _boundary_probes(b, touched_b, touched_b & ~along, np.ones(len(b.ring_len), bool))
     undecided = ~fails[row]
     x, y, row = x[undecided], y[undecided], row[undecided]
     inside, on = _locate(x, y, row, a)
     fails[row[~inside & ~on]] = True
-    hole = np.flatnonzero(~a.is_shell[a.point_ring])
-    hole = hole[~fails[a.ring_row[a.point_ring[hole]]]]
-    row = a.ring_row[a.point_ring[hole]]
-    inside, on = _locate(a.x[hole], a.y[hole], row, b)
+    x, y, row = _boundary_probes(a, touched_a, np.zeros(len(a.seg), bool), ~a.is_shell)
+    undecided = ~fails[row]
+    x, y, row = x[undecided], y[undecided], row[undecided]
+    inside, on = _locate(x, y, row, b)
     fails[row[inside & ~on]] = True
     return ~fails
 

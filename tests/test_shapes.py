@@ -273,3 +273,17 @@ def test_reference_systems(spark):
     for g in out[:3]:
         assert (g[0][0][0].x, g[0][0][0].y) == pytest.approx((10.0, 20.0))
     assert out[3] is None
+
+
+def test_containment_looks_at_few_points(monkeypatch):
+    """Nested rings of many sides: one point stands for a boundary that the other does not touch."""
+    def circle(radius, sides, at=0.0):
+        return ring(*[(at + radius * math.cos(2 * math.pi * k / sides), radius * math.sin(2 * math.pi * k / sides)) for k in range(sides)])
+
+    located, locate = [], shapes._locate
+    monkeypatch.setattr(shapes, "_locate", lambda x, *rest: located.append(len(x)) or locate(x, *rest))
+    big = [[circle(10, 20_000), circle(2, 5_000)]]
+    for inner, expected in (([[circle(1, 20_000, 5.0)]], True), ([[circle(1, 20_000)]], False), ([[circle(9, 20_000)]], False)):
+        located.clear()
+        assert holds(big, inner) == expected
+        assert sum(located) <= 4
