@@ -318,7 +318,9 @@ def remove_repeats(
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(1).to_pylist()
-            keys = np.array([(i or 0, _tag(t or b"")) for i, t in zip(b.column(0).to_pylist(), texts)], dtype=_DOC)
+            # rows without id meet no others and are spread, equal texts too
+            keys = np.array([(n if i is None else i, _tag(t or b""))
+                             for n, (i, t) in enumerate(zip(b.column(0).to_pylist(), texts))], dtype=_DOC)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(_part(keys, parts))], names=["doc_id", "text", "part"]
             )

@@ -144,6 +144,13 @@ def test_repeats_cases(docs, no_docs):
     assert substrings.remove_repeats(no_docs).count() == 0
 
 
+def test_repeats_without_id_are_spread(spark):
+    docs = spark.range(120).select(F.lit(None).cast("long").alias("doc_id"), F.lit(LONG).alias("text")).repartition(2)
+    found = substrings.remove_repeats(docs, bytes_per_group=1 << 20).select("n_words", "n_removed", F.spark_partition_id().alias("part"))
+    rows = found.collect()
+    assert len(rows) == 120 and {(r.n_words, r.n_removed) for r in rows} == {(30_000, 0)} and len({r.part for r in rows}) > 1
+
+
 def test_covers():
     for period in range(1, 40):
         cover = substrings.difference_cover(period)
