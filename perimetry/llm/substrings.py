@@ -26,10 +26,11 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perimetry.llm.text import as_bytes, blank_words, word_hashes
+from perimetry.llm.text import WordHashes, as_bytes, blank_words, word_hashes
 
 _BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd, so each has an inverse modulo 2^64
 _INVERSE = tuple(pow(b, -1, 1 << 64) for b in _BASE)
@@ -72,25 +73,21 @@ def _powers(which: int, inverse: bool, length: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def _window_hashes(hashes: np.ndarray, which: int, length: int) -> np.ndarray:
-    """A hash of every ``length`` consecutive words, from prefix sums modulo 2^64."""
+def _window_hashes(hashes: np.ndarray, which: int, length: int, at: np.ndarray | slice = slice(None)) -> np.ndarray:
+    """A hash of every ``length`` consecutive words, or of those that start ``at``, from prefix sums modulo 2^64."""
     n = len(hashes)
     room = 1 << max(10, n.bit_length())
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(hashes[:, which] * _powers(which, False, room)[:n], out=sums[1:])
     count = n - length + 1
-    found = (sums[length:] - sums[:count]) * _powers(which, True, room)[:count]
+    found = (sums[length:][at] - sums[:count][at]) * _powers(which, True, room)[:count][at]
     found ^= found >> np.uint64(33)
     found *= _MIX
     return found ^ (found >> np.uint64(29))
 
 
 def _tag(text: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little")
-
-
-def _first_of_each(hashes: np.ndarray) -> np.ndarray:
-    return np.unique(hashes, return_index=True)[1]
+    return xxhash.xxh3_64_intdigest(text)
 
 
 class _Batch:
@@ -101,19 +98,24 @@ class _Batch:
 
     def add(self, doc_id: int, tag: int, place: np.ndarray, hashes: np.ndarray, pos: np.ndarray) -> None:
         """``place`` chooses the bucket, ``hashes`` identifies within it."""
-        first = _first_of_each(hashes)
-        self.parts.append((place[first], hashes[first], np.full(len(first), len(self.docs), np.uint32),
-                           pos[first].astype(np.uint32)))
+        self.parts.append((place, hashes, np.full(len(hashes), len(self.docs), np.uint32), pos.astype(np.uint32)))
         self.docs.append((doc_id, tag))
 
     def packed(self) -> Iterator[pa.RecordBatch]:
         if not self.parts:
             return
-        place, hashes, doc, pos = (np.concatenate(c) for c in zip(*self.parts))
         docs = np.array(self.docs, dtype=_DOC)
-        bucket = (place % np.uint64(self.buckets)).astype(np.int64)
-        order = np.lexsort((docs["id"][doc], hashes, bucket))
+        by_id = np.argsort(docs["id"], kind="stable")
+        place, hashes, doc, pos = (np.concatenate(c) for c in zip(*(self.parts[i] for i in by_id)))
+        # by bucket, hash and id; sorts are stable, and few buckets are sorted by counting
+        bucket = (place % np.uint64(self.buckets)).astype(np.uint16 if self.buckets <= 1 << 16 else np.int64)
+        order = np.argsort(hashes, kind="stable")
+        order = order[np.argsort(bucket[order], kind="stable")]
         bucket, hashes, doc, pos = bucket[order], hashes[order], doc[order], pos[order]
+        # a document counts once per hash, at its first position
+        once = np.ones(len(doc), bool)
+        once[1:] = (doc[1:] != doc[:-1]) | (hashes[1:] != hashes[:-1]) | (bucket[1:] != bucket[:-1])
+        bucket, hashes, doc, pos = bucket[once], hashes[once], doc[once], pos[once]
         starts = np.flatnonzero(np.r_[True, (hashes[1:] != hashes[:-1]) | (bucket[1:] != bucket[:-1])])
         lengths = np.diff(np.r_[starts, len(hashes)])
         ids = docs["id"][doc]
@@ -256,10 +258,10 @@ def remove_repeats(
         count = len(hashes) - anchor + 1
         at = (np.arange(0, count, period)[:, None] + cover[None, :]).ravel()
         at = at[at < count]
-        return at, _window_hashes(hashes, 0, anchor)[at], _window_hashes(hashes, 1, anchor)[at]
+        return at, _window_hashes(hashes, 0, anchor, at), _window_hashes(hashes, 1, anchor, at)
 
     def hash_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, bytes] = {}
+        known = WordHashes()
         for b in batches:
             out = _Batch(buckets)
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1)):
@@ -272,7 +274,7 @@ def remove_repeats(
             yield from out.packed()
 
     def hash_windows(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        told, known, out = _told(answers), {}, _Batch(buckets)
+        told, known, out = _told(answers), WordHashes(), _Batch(buckets)
         for doc_id, text in zip(texts["doc_id"].to_pylist(), texts["text"]) if told else ():
             text = text.as_py()
             shared = told.get((doc_id, _tag(text))) if text and doc_id is not None else None
@@ -281,13 +283,13 @@ def remove_repeats(
             hashes = word_hashes(blank_words(text), known)
             count = len(hashes) - window + 1
             at, place, _ = anchors_of(hashes)
-            at = at[np.isin(place, _window_hashes(hashes, 0, anchor)[shared])]  # repeats in the document as well
+            at = at[np.isin(place, _window_hashes(hashes, 0, anchor, shared))]  # repeats in the document as well
             near = np.zeros(len(hashes) + 1, dtype=np.int64)  # +1 at each first, -1 after each last window
             np.add.at(near, np.maximum(at - period + 1, 0), 1)
             np.add.at(near, at + 1, -1)
             starts = np.flatnonzero(np.cumsum(near)[:count] > 0)
-            out.add(doc_id, _tag(text), _window_hashes(hashes, 0, window)[starts],
-                    _window_hashes(hashes, 1, window)[starts], starts)
+            out.add(doc_id, _tag(text), _window_hashes(hashes, 0, window, starts),
+                    _window_hashes(hashes, 1, window, starts), starts)
         return pa.Table.from_batches(list(out.packed()), schema=_PACK)
 
     fields = [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())]
@@ -296,7 +298,7 @@ def remove_repeats(
     schema = pa.schema(fields)
 
     def cut(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        told, known, out = _told(answers), {}, []
+        told, known, out = _told(answers), WordHashes(), []
         for doc_id, text in zip(texts["doc_id"].to_pylist(), texts["text"]):
             text = text.as_py()
             found = blank_words(text)

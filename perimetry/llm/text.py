@@ -45,17 +45,20 @@ def blank_words(text: bytes | None) -> list[bytes]:
     return text.split() if text else []
 
 
-def word_hashes(words: list[bytes], known: dict[bytes, bytes]) -> np.ndarray:
+class WordHashes(dict):
+    """Two 64-bit hashes per word, as 16 bytes, computed when first asked for."""
+
+    def __missing__(self, word: bytes) -> bytes:
+        digest = self[word] = xxhash.xxh3_128_digest(word)
+        return digest
+
+
+def word_hashes(words: list[bytes], known: WordHashes) -> np.ndarray:
     """Two 64-bit hashes per word as an (n, 2) array; ``known`` keeps those already computed."""
-    out = []
-    for word in words:
-        digest = known.get(word)
-        if digest is None:
-            digest = known[word] = xxhash.xxh3_128_digest(word)
-        out.append(digest)
+    found = b"".join(map(known.__getitem__, words))
     if len(known) > 500_000:  # bounds memory only
         known.clear()
-    return np.frombuffer(b"".join(out), dtype=np.uint64).reshape(-1, 2)
+    return np.frombuffer(found, dtype=np.uint64).reshape(-1, 2)
 
 
 def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
