@@ -107,6 +107,7 @@ class _Batch:
         docs = np.array(self.docs, dtype=_DOC)
         by_id = np.argsort(docs["id"], kind="stable")
         place, hashes, doc, pos = (np.concatenate(c) for c in zip(*(self.parts[i] for i in by_id)))
+        self.parts.clear()  # not held a second time
         # by bucket, hash and id; sorts are stable, and few buckets are sorted by counting
         bucket = (place % np.uint64(self.buckets)).astype(np.uint16 if self.buckets <= 1 << 16 else np.int64)
         order = np.argsort(hashes, kind="stable")
