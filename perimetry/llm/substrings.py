@@ -12,9 +12,10 @@ stands in two documents has an anchor which both of them hash: with v = 31, 6 of
 
 Scale. Hashes travel packed, as arrays per (batch, bucket of the hash space); buckets hold a fixed
 expected number of hashes, so their count follows the size of the corpus. Before each shuffle a batch
-keeps one document per hash: all its other documents are decided on the spot. A passage that stands in
-a third of all documents thus sends one entry per batch. Texts are shuffled once, into groups of a
-fixed size, and both later steps read that exchange.
+sends one id per hash to the bucket: all its other documents are decided on the spot, and their answers
+travel by the group of texts they go to, which has a fixed size. A passage that stands in a third of all
+documents thus puts one entry per batch into its bucket (more only if different texts there share the
+smallest id). Texts are shuffled once, into groups of a fixed size, and both later steps read that exchange.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,9 +38,10 @@ _BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd, so each has an inverse
 _INVERSE = tuple(pow(b, -1, 1 << 64) for b in _BASE)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 _DOC = np.dtype([("id", "<i8"), ("tag", "<u8")])
-_PACK = pa.schema([("bucket", pa.int64()), ("answer", pa.bool_()), ("docs", pa.binary()), ("hash", pa.binary()),
+# ``bucket`` is -1 - part in rows of answers, which hold no hashes
+_PACK = pa.schema([("bucket", pa.int64()), ("docs", pa.binary()), ("hash", pa.binary()),
                    ("doc", pa.binary()), ("pos", pa.binary()), ("shared", pa.binary())])
-_PACK_DDL = "bucket long, answer boolean, docs binary, hash binary, doc binary, pos binary, shared binary"
+_PACK_DDL = "bucket long, docs binary, hash binary, doc binary, pos binary, shared binary"
 _ANSWER = pa.schema([("part", pa.int64()), ("docs", pa.binary()), ("doc", pa.binary()), ("pos", pa.binary())])
 _ANSWER_DDL = "part long, docs binary, doc binary, pos binary"
 
@@ -93,11 +96,14 @@ def _tag(text: bytes) -> int:
 class _Batch:
     """Hashes of several documents, packed by bucket."""
 
-    def __init__(self, buckets: int):
-        self.buckets, self.docs, self.parts = buckets, [], []
+    def __init__(self, buckets: int, groups: int):
+        self.buckets, self.groups, self.docs, self.parts, self.known = buckets, groups, [], [], set()
 
     def add(self, doc_id: int, tag: int, place: np.ndarray, hashes: np.ndarray, pos: np.ndarray) -> None:
-        """``place`` chooses the bucket, ``hashes`` identifies within it."""
+        """``place`` chooses the bucket, ``hashes`` identifies within it. Answers name (id, tag), so a repeat adds none."""
+        if (doc_id, tag) in self.known:
+            return
+        self.known.add((doc_id, tag))
         self.parts.append((place, hashes, np.full(len(hashes), len(self.docs), np.uint32), pos.astype(np.uint32)))
         self.docs.append((doc_id, tag))
 
@@ -123,13 +129,12 @@ class _Batch:
         several = ids[starts] != ids[starts + lengths - 1]  # sorted by id within a hash
         # of each hash the documents with the smallest id go on, the others are answered here
         smallest = ids == np.repeat(ids[starts], lengths)
+        yield from _answer_rows(_answers(docs, doc[~smallest], pos[~smallest], self.groups))
+        shared = np.repeat(several, lengths)[smallest]
+        bucket, hashes, doc, pos = bucket[smallest], hashes[smallest], doc[smallest], pos[smallest]
         for b, low, high in _runs(bucket):
-            keep = smallest[low:high]
             part = slice(low, high)
-            yield _pack_row(b, False, docs, hashes[part][keep], doc[part][keep], pos[part][keep],
-                            np.repeat(several, lengths)[part][keep])
-            if not keep.all():
-                yield _pack_row(b, True, docs, hashes[part][~keep], doc[part][~keep], pos[part][~keep], None)
+            yield _pack_row(b, docs, hashes[part], doc[part], pos[part], shared[part])
 
 
 def _runs(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -138,13 +143,12 @@ def _runs(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
         yield int(values[low]), int(low), int(high)
 
 
-def _pack_row(bucket, answer, docs, hashes, doc, pos, shared) -> pa.RecordBatch:
+def _pack_row(bucket, docs, hashes, doc, pos, shared) -> pa.RecordBatch:
     used, renumbered = np.unique(doc, return_inverse=True)
     return pa.RecordBatch.from_arrays(
-        [pa.array([bucket], pa.int64()), pa.array([answer]), pa.array([docs[used].tobytes()], pa.binary()),
+        [pa.array([bucket], pa.int64()), pa.array([docs[used].tobytes()], pa.binary()),
          pa.array([hashes.tobytes()], pa.binary()), pa.array([renumbered.astype(np.uint32).tobytes()], pa.binary()),
-         pa.array([pos.tobytes()], pa.binary()),
-         pa.array([shared.astype(np.uint8).tobytes() if shared is not None else b""], pa.binary())],
+         pa.array([pos.tobytes()], pa.binary()), pa.array([shared.astype(np.uint8).tobytes()], pa.binary())],
         schema=_PACK,
     )
 
@@ -165,6 +169,15 @@ def _answers(docs: np.ndarray, doc: np.ndarray, pos: np.ndarray, parts: int) ->
     return out
 
 
+def _answer_rows(answers: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Answers as rows that pass ``_meet`` in a group of their own."""
+    for b in answers:
+        part, docs, doc, pos = b.columns
+        none = pa.array([b""] * len(b), pa.binary())
+        key = pa.compute.subtract(pa.scalar(-1, pa.int64()), part)
+        yield pa.RecordBatch.from_arrays([key, docs, none, doc, pos, none], schema=_PACK)
+
+
 def _part(docs: np.ndarray, parts: int) -> np.ndarray:
     mixed = (docs["id"].view(np.uint64) if docs["id"].flags.c_contiguous else docs["id"].astype(np.uint64)) * _MIX
     return ((mixed ^ docs["tag"]) % np.uint64(parts)).astype(np.int64)
@@ -188,15 +201,14 @@ def _unpacked(table: pa.Table):
 
 def _meet(parts: int, windows: bool):
     """Within a bucket: which entries have a hash that another document has too (anchors), or that a
-    document with a smaller id has (windows)."""
+    document with a smaller id has (windows). Answers already given are passed on."""
 
     def run(table: pa.Table) -> pa.Table:
+        if len(table) and table["bucket"][0].as_py() < 0:  # one group of texts
+            key = pa.compute.subtract(pa.scalar(-1, pa.int64()), table["bucket"])
+            return pa.Table.from_arrays([key, table["docs"], table["doc"], table["pos"]], schema=_ANSWER)
         out = []
-        decided = table.filter(table["answer"])
-        for row in decided.to_pylist():
-            out += _answers(np.frombuffer(row["docs"], _DOC), np.frombuffer(row["doc"], np.uint32).astype(np.int64),
-                            np.frombuffer(row["pos"], np.uint32), parts)
-        docs, hashes, doc, pos, shared = _unpacked(table.filter(pa.compute.invert(table["answer"])))
+        docs, hashes, doc, pos, shared = _unpacked(table)
         ids = docs["id"][doc]
         order = np.lexsort((ids, hashes))
         hashes, doc, pos, shared, ids = hashes[order], doc[order], pos[order], shared[order], ids[order]
@@ -264,7 +276,7 @@ def remove_repeats(
     def hash_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for b in batches:
-            out = _Batch(buckets)
+            out = _Batch(buckets, parts)
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1)):
                 text = text.as_py()
                 found = blank_words(text)
@@ -275,7 +287,7 @@ def remove_repeats(
             yield from out.packed()
 
     def hash_windows(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        told, known, out = _told(answers), WordHashes(), _Batch(buckets)
+        told, known, out = _told(answers), WordHashes(), _Batch(buckets, parts)
         for doc_id, text in zip(texts["doc_id"].to_pylist(), texts["text"]) if told else ():
             text = text.as_py()
             shared = told.get((doc_id, _tag(text))) if text and doc_id is not None else None

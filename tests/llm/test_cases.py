@@ -151,6 +151,27 @@ def test_repeats_without_id_are_spread(spark):
     assert len(rows) == 120 and {(r.n_words, r.n_removed) for r in rows} == {(30_000, 0)} and len({r.part for r in rows}) > 1
 
 
+def test_a_hot_passage_does_not_fill_a_bucket(spark, monkeypatch):
+    meet = substrings._meet
+
+    def bounded(parts, windows):
+        run = meet(parts, windows)
+
+        def checked(table):
+            entries = sum(len(d) for d in table["doc"].to_pylist()) // 4
+            if entries > 400:
+                raise ValueError(f"{entries} entries in one group")
+            return run(table)
+
+        return checked
+
+    monkeypatch.setattr(substrings, "_meet", bounded)
+    passage = " ".join(f"p{k}" for k in range(60))
+    docs = spark.createDataFrame([(i, f"{passage} own{i}") for i in range(800)], "doc_id long, text string").repartition(2)
+    rows = by_id(substrings.remove_repeats(docs, entries_per_bucket=100, bytes_per_group=2000), "n_words", "n_removed")
+    assert rows.pop(0) == [(61, 0)] and len(rows) == 799 and all(r == [(61, 60)] for r in rows.values())
+
+
 def test_covers():
     for period in range(1, 40):
         cover = substrings.difference_cover(period)
