@@ -22,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from perimetry.llm.components import connected_components
 from perimetry.llm.text import as_bytes, batch, blank_words
@@ -236,16 +237,8 @@ def simhash_components(
     smallest unless the component holds no other. Repeated rows give repeated rows. Other columns of
     ``docs`` are not read, whatever their names.
     """
-    spark = docs.sparkSession
     marked = written(fingerprints(docs, shingle, id_col, text_col), "simhash-fingerprints")
-    classes = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    path = scratch_path(spark, "simhash-edges")
-    near_edges(classes.select("fp"), radius).write.parquet(path)
-    parts = connected_components(spark.read.parquet(path))
-    discard(spark, path)
-    rooted = classes.join(parts, classes.fp == parts.node, "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("root")
-    )
+    rooted = _rooted(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), radius)
     # stored, so that the join on a component of any size can be split
     smallest = written(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-smallest")
     named = rooted.join(smallest, "root").select("fp", "component_id")
@@ -254,12 +247,56 @@ def simhash_components(
     )
 
 
+def _rooted(classes: DataFrame, radius: int) -> DataFrame:
+    """``classes``, one row per ``fp``, with the ``root`` of the component each belongs to."""
+    spark = classes.sparkSession
+    path = scratch_path(spark, "simhash-edges")
+    near_edges(classes.select("fp"), radius).write.parquet(path)
+    parts = connected_components(spark.read.parquet(path))
+    discard(spark, path)
+    return classes.join(parts, classes.fp == parts.node, "left").select(
+        *classes.columns, F.coalesce("component", "fp").alias("root")
+    )
+
+
+def _whole_rows(docs: DataFrame, shingle: int) -> DataFrame:
+    """(row, fp, doc_id, content, place) of every row, stored: ``row`` has all columns; ``place`` tells equal
+    rows apart, but only among those without ``doc_id``, as rows that repeat one are the same document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [fingerprint(t.as_py(), shingle) for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(np.array(found, dtype=np.uint64).view(np.int64))], names=["row", "fp"]
+            )
+
+    rows = docs.select(F.struct("*").alias("row"), as_bytes("text"))
+    schema = T.StructType([rows.schema["row"], T.StructField("fp", T.LongType())])
+    place = F.when(F.col("row.doc_id").isNull(), F.monotonically_increasing_id()).otherwise(0)
+    return written(
+        rows.mapInArrow(run, schema).select(
+            "row", "fp", "row.doc_id", F.xxhash64("row.text").alias("content"), place.alias("place")
+        ),
+        "simhash-rows",
+    )
+
+
 def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
-    """The document with the smallest ``doc_id`` of each component, all columns unchanged.
+    """One document of each component, all columns unchanged: the one with the smallest ``doc_id``, of
+    different texts under that id the one with the smallest hash.
 
-    Documents without ``doc_id`` are kept only where a component has no document with one; rows that
-    repeat a kept ``doc_id`` with the same fingerprint are that document and stay.
+    Rows that repeat the kept document's ``doc_id`` and text are that document and stay. A component in
+    which no row has a ``doc_id`` keeps one row, with the smallest hash of its text.
     """
-    marked = simhash_components(docs, shingle, radius)
-    kept = marked.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    marked = _whole_rows(docs, shingle)
+    # in this order; rows without id come last
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "content", "place", "fp")
+    rooted = _rooted(marked.groupBy("fp").agg(F.min(first).alias("first")), radius)
+    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select(
+        *[F.col(f"first.{c}").alias(f"_{c}") for c in ("doc_id", "content", "place", "fp")]
+    )
+    # stored, so that the join can be split where one document is repeated
+    kept = written(kept, "simhash-kept")
+    same = [marked["fp"] == kept["_fp"], marked["content"] == kept["_content"], marked["place"] == kept["_place"],
+            marked["doc_id"].eqNullSafe(kept["_doc_id"])]
+    return marked.join(kept, same, "left_semi").select("row.*")

@@ -223,6 +223,18 @@ def test_simhash(docs, no_docs):
     assert simhash.keep_one(no_docs).count() == 0
 
 
+def test_simhash_keeps_one_of_each_group(spark):
+    texts = [" ".join(f"{start}{k}" for k in range(40)) for start in "abcde"]
+    rows = [(1, texts[0]), (2, texts[0]), (None, texts[0]),  # the copies of 1 go, with and without id
+            (None, texts[1]), (None, texts[1]),  # no id at all: one row
+            (None, texts[2]),
+            (3, texts[3]), (4, texts[3]), (4, texts[4]), (4, texts[4])]  # 4 is a copy of 3, and a document of its own
+    for parts in (1, 4):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        found = sorted(((r.doc_id or 0, r.text) for r in simhash.keep_one(docs).collect()))
+        assert found == sorted([(1, texts[0]), (0, texts[1]), (0, texts[2]), (3, texts[3]), (4, texts[4]), (4, texts[4])])
+
+
 @pytest.mark.parametrize("radius, limit", [(3, 4096), (3, 8), (1, 8), (4, 16), (0, 4)])
 def test_simhash_buckets(spark, radius, limit):
     rng = np.random.default_rng(radius)
