@@ -25,7 +25,7 @@ from perimetry.llm.text import as_bytes
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(script|style|noscript|template|textarea|iframe|svg|math|object|canvas|audio|video|select)(?=[\s/>])[^>]*+>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|noscript|textarea|iframe)(?=[\s/>])[^>]*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)[^>]*>"
     r"|</?[a-zA-Z][^>]*\Z",
@@ -39,6 +39,8 @@ _BLOCK = frozenset(
     " footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option optgroup p pre"
     " search section summary table tbody td tfoot th thead title tr ul".split()
 )
+# Never article text from their start tag to their own end tag; without that, or closed at once, they hold nothing.
+_HIDDEN = frozenset("svg canvas audio video select template".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _APART = frozenset("nav footer aside form head title button menu dialog search legend option".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -76,6 +78,40 @@ def _names(attributes: str) -> set[str]:
     return found
 
 
+def _tag(token: re.Match) -> tuple[str, bool]:
+    """Name, empty for comments and raw text, and whether it is an end tag."""
+    return (token[3] or token[6] or "").lower(), bool(token[2] or token[5])
+
+
+def _opened(open_: list[str], name: str) -> int | None:
+    """Depth of the innermost open element of that name."""
+    return next((d for d in range(len(open_) - 1, -1, -1) if open_[d] == name), None)
+
+
+def _hidden(tokens: list[re.Match]) -> dict[int, int]:
+    """Start tags of ``_HIDDEN`` elements that have an end tag of their own, with its place. An element that is
+    still open where the one around it ends has none."""
+    found: dict[int, int] = {}
+    open_: list[str] = []
+    places: list[int] = []
+    if not any(_tag(t)[0] in _HIDDEN for t in tokens):
+        return found
+    for place, token in enumerate(tokens):
+        name, closing = _tag(token)
+        if name not in _HIDDEN and name not in _BLOCK or name in _VOID:
+            continue
+        if closing:
+            depth = _opened(open_, name)
+            if depth is not None:
+                if name in _HIDDEN:
+                    found[places[depth]] = place
+                del open_[depth:], places[depth:]
+        elif name != "svg" or not (token[4] or "").endswith("/"):
+            open_.append(name)
+            places.append(place)
+    return found
+
+
 def blocks(page: str) -> list[Block]:
     """The page's text blocks in order; character references decoded, white space turned into one blank."""
     out: list[Block] = []
@@ -109,16 +145,23 @@ def blocks(page: str) -> list[Block]:
                 del open_[depth:]
                 return
 
-    at = 0
-    for token in _TOKEN.finditer(page):
+    at, resume = 0, 0
+    tokens = list(_TOKEN.finditer(page))
+    hidden = _hidden(tokens)
+    for place, token in enumerate(tokens):
+        if place < resume:
+            continue
         if token.start() > at:
             piece = page[at : token.start()]
             parts.append(piece)
             if links:
                 linked.append(piece)
         at = token.end()
-        name = (token[3] or token[6] or "").lower()
-        closing = bool(token[2] or token[5])
+        if place in hidden:
+            resume = hidden[place] + 1
+            at = tokens[hidden[place]].end()
+            continue
+        name, closing = _tag(token)
         if not name:
             continue
         if name == "a":
@@ -243,8 +286,9 @@ def extract(
 ) -> DataFrame:
     """(page_id, url, text, n_chars) of every row.
 
-    Null and empty pages and pages without main text have an empty text. Unclosed tags, comments and
-    scripts run to the end of the page; a cut-off tag at the end is dropped. Repeated rows give repeated
+    Null and empty pages and pages without main text have an empty text. Unclosed comments and
+    raw text (scripts, styles, text areas, frames) run to the end of the page; an unclosed video, select or
+    the like holds nothing; a cut-off tag at the end is dropped. Repeated rows give repeated
     rows, an empty table an empty result; other columns are not read.
     """
     tree = tree or trained()

@@ -108,6 +108,17 @@ def test_html_cases(spark):
     assert (html_blocks.trained().decide(table[:, :-1].astype(float)) == (table[:, -1] == 1)).mean() > 0.95
 
 
+@pytest.mark.parametrize("inner, kept", [
+    ("<svg class=x/>", ""), ("<svg viewBox='0 0 1 1' />", ""), ("<math/>", ""), ("<video src=x>", ""), ("<object data=x>", ""), ("<select>", ""),
+    ("<svg><svg><text>no</text></svg><text>nor this</text></svg>", ""), ("<video><p>no player</p></video>", ""),
+    ("<select><option>no</select>", ""), ("<template><p>no</p></template>", ""), ("<canvas>no</canvas>", ""),
+    ("<math><mi>x</mi></math>", "x"), ("<object data=x>words instead</object>", "words instead"),
+])
+def test_html_embedded(inner, kept):
+    page = f"<body><article><div><p>first words {inner} second words</p></div><p>third words</p></article></body>"
+    assert html_blocks.main_text(page, html_blocks.trained()).split() == f"first words {kept} second words third words".split()
+
+
 def brute_repeats(rows, window):
     first = {}
     for i, words in rows:
