@@ -10,7 +10,9 @@ Everything happens within one page, so pages are rows of a map and nothing is sh
 
 from __future__ import annotations
 
+import heapq
 import html
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -54,6 +56,10 @@ _APART_NAMES = frozenset(
     " sponsored subscribe subscription tags teaser toc toolbar topbar widget widgets complementary contentinfo alert".split()
 )
 _WEAK_NAMES = frozenset("header meta banner widget toc teaser tags share social promo".split())  # also within main parts
+# parts that hold articles of their own
+_LIST_NAMES = frozenset(
+    "comment comments commentlist disqus replies reply respond recommendations recommended related teaser".split()
+)
 _MAIN_NAMES = frozenset("article articlebody content entry main post story text body".split())
 
 
@@ -64,7 +70,7 @@ class Block:
     linked: int  # words inside links
     heading: bool
     article: bool  # inside an article or the page's main part
-    apart: bool  # inside a part made for navigation, notices, adverts, forms or comments
+    apart: bool  # inside a part made for navigation, notices, adverts, forms or comments; not if it wraps the article
 
     @property
     def density(self) -> float:
@@ -112,6 +118,119 @@ def _hidden(tokens: list[re.Match]) -> dict[int, int]:
     return found
 
 
+def _marks(name: str, attributes: str) -> tuple[bool, set[str]]:
+    """Whether an element is an article or the main part, and its names that speak against it."""
+    names = _names(attributes) if "=" in attributes and name not in ("body", "html") else set()
+    main = name in ("article", "main") or bool(names & _MAIN_NAMES)
+    return main, names & _APART_NAMES - (_WEAK_NAMES if main else frozenset())
+
+
+@dataclass
+class _Part:
+    """An element with a mark against it, and what is known of the main parts in it."""
+
+    start: int
+    outer: _Part | None
+    fixed: bool  # by its element; only names, forms and searches can be wrappers
+    form: bool
+    lists: bool
+    before: int  # characters of text
+    end: int = 0
+    size: int = 0
+    main: bool = False  # holds a <main>
+    article: bool = False  # an <article>
+    named: bool = False  # an element named like a main part
+    first: float = math.inf  # of the main parts in it: where the first one ends and the last one starts
+    last: float = -math.inf
+
+    def take(self, inner: _Part) -> None:
+        self.main |= inner.main
+        self.article |= inner.article
+        self.named |= inner.named
+        self.first, self.last = min(self.first, inner.first), max(self.last, inner.last)
+
+
+def _wrappers(page: str, tokens: list[re.Match], hidden: dict[int, int]) -> set[int]:
+    """Start tags whose mark does not count, as they hold the page's article: a form around the page, or
+    a class like ``has-sidebar`` on its outer element.
+
+    Such an element holds the <main>; or an <article>, and no main part stands elsewhere, or it holds half of
+    the page's text; or half of the text and a part named like a main one (a form needs none). An article in
+    a list of its own kind, as of comments, counts only if the page has no other main part. Larger elements
+    are judged first; what a wrapper holds then belongs to the marked part around it, or to the page.
+    """
+    found: list[_Part] = []
+    free = _Part(-1, None, True, False, False, 0)  # the page outside marked parts
+    open_: list[str] = []
+    held: list[tuple[_Part, int | None]] = []  # innermost marked part; place if it is a main part
+    chars = at = resume = 0
+
+    def close(depth: int, place: int) -> None:
+        for level in range(len(open_) - 1, depth - 1, -1):
+            part, article = held[level]
+            if part is not (held[level - 1][0] if level else free):
+                part.end, part.size = place, chars - part.before
+            if article is not None:
+                part.first, part.last = min(part.first, place), max(part.last, article)
+        del open_[depth:], held[depth:]
+
+    for place, token in enumerate(tokens):
+        if place < resume:
+            continue
+        chars += len(page[at : token.start()].strip())
+        at = token.end()
+        if place in hidden:
+            resume = hidden[place] + 1
+            at = tokens[hidden[place]].end()
+            continue
+        name, closing = _tag(token)
+        if name not in _BLOCK or name in _VOID:
+            continue
+        if closing:
+            depth = _opened(open_, name)
+            if depth is not None:
+                close(depth, place)
+            continue
+        while open_ and name in _OWN_CLOSERS.get(open_[-1], ()):
+            close(len(open_) - 1, place)
+        main, against = _marks(name, token[4] or "")
+        outer, article = held[-1][0] if held else free, None
+        if against or name in _APART:
+            form = name in ("form", "search")
+            found.append(_Part(place, outer, name in _APART and not form, name == "form", bool(against & _LIST_NAMES), chars))
+            outer = found[-1]
+        elif main:
+            outer.main |= name == "main"
+            outer.article |= name == "article"
+            outer.named = True
+            article = place
+        open_.append(name)
+        held.append((outer, article))
+    chars += len(page[at:].strip())
+    close(0, len(tokens))
+    out: set[int] = set()
+    parts = {part.start: part for part in found}
+    waiting = [(-part.size, part.start) for part in found if not part.fixed]
+    heapq.heapify(waiting)
+    while waiting:
+        part = parts[heapq.heappop(waiting)[1]]
+        half = 2 * part.size >= chars
+        elsewhere = free.first < part.start or free.last > part.end or (part.lists and free.named)
+        if part.start in out or not (
+            part.main or (part.article and (not elsewhere or (half and not part.lists)))
+            or (half and not part.lists and (part.named or part.form))
+        ):
+            continue
+        out.add(part.start)
+        outer = part.outer
+        while outer.start in out:
+            outer = outer.outer
+        outer.take(part)
+        if not outer.fixed:
+            heapq.heappush(waiting, (-outer.size, outer.start))
+    return out
+
+
 def blocks(page: str) -> list[Block]:
     """The page's text blocks in order; character references decoded, white space turned into one blank."""
     out: list[Block] = []
@@ -130,12 +249,10 @@ def blocks(page: str) -> list[Block]:
         parts.clear()
         linked.clear()
 
-    def enter(name: str, attributes: str) -> None:
+    def enter(name: str, attributes: str, wraps: bool) -> None:
         article, apart = (open_[-1][1], open_[-1][2]) if open_ else (False, False)
-        names = _names(attributes) if "=" in attributes and name not in ("body", "html") else set()
-        main = name in ("article", "main") or bool(names & _MAIN_NAMES)
-        against = names & _APART_NAMES - (_WEAK_NAMES if main else frozenset())
-        if name in _APART or (name == "header" and not article) or against:
+        main, against = _marks(name, attributes)
+        if not wraps and (name in _APART or (name == "header" and not article) or against):
             apart = True
         open_.append((name, article or main, apart))
 
@@ -148,6 +265,7 @@ def blocks(page: str) -> list[Block]:
     at, resume = 0, 0
     tokens = list(_TOKEN.finditer(page))
     hidden = _hidden(tokens)
+    wrappers = _wrappers(page, tokens, hidden)
     for place, token in enumerate(tokens):
         if place < resume:
             continue
@@ -179,7 +297,7 @@ def blocks(page: str) -> list[Block]:
                 heading = name in _HEADINGS
                 links = 0
                 if name not in _VOID:
-                    enter(name, token[4] or "")
+                    enter(name, token[4] or "", place in wrappers)
     if at < len(page):
         parts.append(page[at:])
     end()

@@ -119,6 +119,25 @@ def test_html_embedded(inner, kept):
     assert html_blocks.main_text(page, html_blocks.trained()).split() == f"first words {kept} second words third words".split()
 
 
+@pytest.mark.parametrize("wrapper", [
+    "form id=aspnetForm", "div class='layout has-sidebar'", "div class=no-sidebar", "div id=search-results", "div class='content-with-sidebar'",
+    "div class=page-widget", "section class='has-comments'",
+])
+@pytest.mark.parametrize("inner", ["article", "main", "div class=content"])
+def test_html_wrappers(wrapper, inner):
+    end = lambda start: f"</{start.split()[0]}>"
+    text = "A sentence of the article with many plain words in it."
+    side = "<div class=sidebar><article><p>A teaser of another article stands here.</p></article></div>"
+    after = "<section class=comments><article class=comment><div class=content><p>A reader says many things here.</p></div></article></section>"
+    for page in (f"<{wrapper}><{inner}><p>{text}</p><p>{text}</p></{inner.split()[0]}>{side}{end(wrapper)}",
+                 f"<form><{wrapper}><{inner}><p>{text}</p><p>{text}</p>{after}</{inner.split()[0]}></form>{side}"):
+        if inner.startswith("div") and "comments" in wrapper:
+            continue  # nothing tells this from a list of comments
+        assert html_blocks.main_text(f"<body><nav><a>Home</a></nav>{page}</body>", html_blocks.trained()) == f"{text}\n{text}"
+    page = f"<body><article><p>{text}</p></article>{side}{after}<form><p>Name and address please.</p></form></body>"
+    assert html_blocks.main_text(page, html_blocks.trained()) == text
+
+
 def brute_repeats(rows, window):
     first = {}
     for i, words in rows:
