@@ -7,7 +7,9 @@ offset, which equals a convolution over one-hot bytes and needs no multiplicatio
 
 Training. The network is fitted on the driver on a bounded sample of labelled rows: at most
 ``per_class`` rows of each label, chosen by a hash of their id, each with at most ``_TRAIN_CHUNKS``
-chunks spread evenly over its text. Scoring reads every byte of every text.
+chunks spread evenly over its text. A sampled row weighs as many rows of its label as it stands for, so the
+share of good rows, and with it what a score means, does not depend on ``per_class`` or the size of the
+input. Scoring reads every byte of every text.
 """
 
 from __future__ import annotations
@@ -100,9 +102,14 @@ def sampled_chunks(text: bytes) -> list[bytes]:
     return [text[i * step : i * step + size] for i in picked]
 
 
-def fit(rows: list[tuple[list[bytes], int]], epochs: int = 15, seed: int = 7, rate: float = 0.015) -> Network:
-    """Train on (chunks, label) rows by Adam on the log loss. Classes weigh as in the given rows; without
-    rows every score is one half."""
+def fit(
+    rows: list[tuple[list[bytes], int]], epochs: int = 15, seed: int = 7, rate: float = 0.015,
+    weights: dict[int, float] | None = None,
+) -> Network:
+    """Train on (chunks, label) rows by Adam on the log loss. Rows weigh the same, or in proportion to the
+    ``weights`` of their labels; without rows every score is one half."""
+    weight = np.array([weights[label] if weights else 1 for _, label in rows], np.float32)
+    weight *= len(rows) / weight.sum() if rows else 1
     rng = np.random.default_rng(seed)
     shapes = {"filters": (WIDTH, 256, FILTERS), "bias": (FILTERS,), "w1": (2 * FILTERS, HIDDEN), "b1": (HIDDEN,),
               "w2": (HIDDEN,), "b2": (1,)}
@@ -136,7 +143,7 @@ def fit(rows: list[tuple[list[bytes], int]], epochs: int = 15, seed: int = 7, ra
             features = np.concatenate([mean, top], axis=1)
             hidden = np.maximum(features @ p["w1"] + p["b1"], 0)
             out = 1 / (1 + np.exp(-np.clip(hidden @ p["w2"] + p["b2"], -30, 30)))
-            d_out = (out - label) / len(part)
+            d_out = weight[part] * (out - label) / len(part)
             d_hidden = d_out[:, None] * p["w2"] * (hidden > 0)
             d_features = d_hidden @ p["w1"].T
             highest = act == top[owner]
@@ -166,14 +173,18 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = 3000) -> list[tuple[list[bytes], int]]:
-    """A bounded sample of labelled texts outside the held-out fold."""
+def training_rows(
+    docs: DataFrame, labels: DataFrame, per_class: int = 3000
+) -> tuple[list[tuple[list[bytes], int]], dict[int, float]]:
+    """A bounded sample of labelled texts outside the held-out fold, and how many labelled rows each sampled
+    row of a label stands for."""
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
     picked = None
     for label in (0, 1):
         own = known.where(F.col("quality") == label).select("doc_id", "quality")
         own = own.orderBy(F.xxhash64(F.lit("sample"), "doc_id"), "doc_id").limit(per_class)
         picked = own if picked is None else picked.union(own)
+    weights = {r["quality"]: max(1.0, r["count"] / per_class) for r in known.groupBy("quality").count().collect()}
     texts = docs.select("doc_id", as_bytes("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,12 +195,14 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = 3000) ->
 
     # at most 2 * per_class ids are broadcast
     joined = texts.join(F.broadcast(picked), "doc_id").mapInArrow(run, "doc_id long, chunks array<binary>, quality int")
-    return [([bytes(c) for c in r.chunks], r.quality)
+    rows = [([bytes(c) for c in r.chunks], r.quality)
             for r in sorted(joined.limit(4 * per_class).collect(), key=lambda r: (r.doc_id, r.chunks, r.quality))]
+    return rows, weights
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = 3000) -> Network:
-    return fit(training_rows(docs, labels, per_class))
+    rows, weights = training_rows(docs, labels, per_class)
+    return fit(rows, weights=weights)
 
 
 def scored(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -298,6 +298,14 @@ def test_quality(spark, docs, no_docs):
     assert kept.columns == docs.columns and kept.count() == docs.count() and quality.accepted(docs, network, 1.1).count() == 0
 
 
+@pytest.mark.parametrize("per_class", [3000, 200])
+def test_quality_does_not_move_with_the_sample(spark, per_class):
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit("the same words in every text").alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 5 > 0).cast("int").alias("quality"))  # four in five are good
+    score = quality.train(docs, labels, per_class).score([b"the same words in every text"])[0]
+    assert 0.7 < score < 0.9
+
+
 def test_quality_reads_the_whole_text():
     rng = np.random.default_rng(0)
     word = lambda: bytes(rng.integers(97, 123, 5).tolist())
