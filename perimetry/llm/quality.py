@@ -86,8 +86,9 @@ class Network:
             yield np.maximum(pooled, 0)
 
     def combine(self, features: np.ndarray) -> np.ndarray:
-        hidden = np.maximum(features @ self.w1 + self.b1, 0)
-        return 1 / (1 + np.exp(-np.clip(hidden @ self.w2 + self.b2, -30, 30)))
+        # not by a matrix library, whose last digits depend on the other rows
+        hidden = np.maximum(np.einsum("ij,jk->ik", features, self.w1) + self.b1, 0)
+        return 1 / (1 + np.exp(-np.clip(np.einsum("ij,j->i", hidden, self.w2) + self.b2, -30, 30)))
 
     def score(self, texts: list[bytes]) -> np.ndarray:
         features = np.array([np.r_[p.mean(axis=0), p.max(axis=0)] for p in self.pooled(texts)], dtype=np.float64)
@@ -176,27 +177,32 @@ def held_out(id_col: str = "doc_id"):
 def training_rows(
     docs: DataFrame, labels: DataFrame, per_class: int = 3000
 ) -> tuple[list[tuple[list[bytes], int]], dict[int, float]]:
-    """A bounded sample of labelled texts outside the held-out fold, and how many labelled rows each sampled
+    """A bounded sample of labelled texts outside the held-out fold, one text of each id and label (the one with
+    the smallest hash, where rows repeat an id), and how many labelled rows each sampled
     row of a label stands for."""
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
+    known = known.select("doc_id", "quality").distinct()
     picked = None
     for label in (0, 1):
-        own = known.where(F.col("quality") == label).select("doc_id", "quality")
+        own = known.where(F.col("quality") == label)
         own = own.orderBy(F.xxhash64(F.lit("sample"), "doc_id"), "doc_id").limit(per_class)
         picked = own if picked is None else picked.union(own)
     weights = {r["quality"]: max(1.0, r["count"] / per_class) for r in known.groupBy("quality").count().collect()}
-    texts = docs.select("doc_id", as_bytes("text"))
+    texts = docs.select("doc_id", as_bytes("text"), F.xxhash64("text").alias("content"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            chunks = [sampled_chunks(t.as_py() or b"") for t in b["text"]]
+            found = [sampled_chunks(t.as_py() or b"") for t in b["text"]]
             yield pa.RecordBatch.from_arrays(
-                [b["doc_id"], pa.array(chunks, pa.list_(pa.binary())), b["quality"]], names=["doc_id", "chunks", "quality"])
+                [b["doc_id"], b["quality"], b["content"], pa.array(found, pa.list_(pa.binary()))],
+                names=["doc_id", "quality", "content", "chunks"])
 
     # at most 2 * per_class ids are broadcast
-    joined = texts.join(F.broadcast(picked), "doc_id").mapInArrow(run, "doc_id long, chunks array<binary>, quality int")
+    joined = texts.join(F.broadcast(picked), "doc_id").mapInArrow(
+        run, "doc_id long, quality int, content long, chunks array<binary>")
+    one = joined.groupBy("doc_id", "quality").agg(F.min(F.struct("content", "chunks")).alias("text"))
     rows = [([bytes(c) for c in r.chunks], r.quality)
-            for r in sorted(joined.limit(4 * per_class).collect(), key=lambda r: (r.doc_id, r.chunks, r.quality))]
+            for r in sorted(one.select("doc_id", "quality", "text.chunks").collect(), key=lambda r: (r.doc_id, r.chunks, r.quality))]
     return rows, weights
 
 

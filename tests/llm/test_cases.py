@@ -306,6 +306,14 @@ def test_quality_does_not_move_with_the_sample(spark, per_class):
     assert 0.7 < score < 0.9
 
 
+def test_quality_takes_one_text_of_each_id(spark):
+    docs = spark.range(300).select(F.greatest(F.col("id") - 250, F.lit(1)).alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    labels = spark.range(1, 50).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    learned = labels.where(~quality.held_out())
+    rows, _ = quality.training_rows(docs.repartition(3), labels.union(labels), per_class=30)
+    assert len(rows) == learned.count() and rows == quality.training_rows(docs.repartition(5), labels, per_class=30)[0]
+
+
 def test_quality_reads_the_whole_text():
     rng = np.random.default_rng(0)
     word = lambda: bytes(rng.integers(97, 123, 5).tolist())
