@@ -119,7 +119,7 @@ def contamination(
     an empty benchmark marks nothing, and other columns are not read.
     """
     spark = docs.sparkSession
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), as_bytes(item_text_col).alias("text"))
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), as_bytes(item_text_col).alias("text")).distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total / 6 / block_words))
     rows = docs.select(
@@ -167,9 +167,9 @@ def judged(found: DataFrame, share: int = 20) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents that are not contaminated, all columns unchanged. Rows sharing a ``doc_id`` go together
-    if one of them is contaminated; rows without ``doc_id`` are judged by their text alone."""
-    key = F.coalesce(docs["doc_id"].cast("string"), F.concat(F.lit("#"), F.sha2(docs["text"], 256)))
-    keyed = docs.select(key.alias("doc_id"), docs["text"])
-    found = judged(contamination(keyed, benchmark)).where("contaminated").select(F.col("doc_id").alias("_contaminated")).distinct()
+    """Documents that are not contaminated, all columns unchanged. Each row is judged by its own text."""
+    # never null, and apart for rows that share a text
+    key = F.concat_ws("#", F.sha2(docs["text"], 256), docs["doc_id"].cast("string"))
+    found = judged(contamination(docs.select(key.alias("doc_id"), docs["text"]), benchmark))
+    found = found.where("contaminated").select(F.col("doc_id").alias("_contaminated")).distinct()
     return docs.join(found, key == found["_contaminated"], "left_anti")

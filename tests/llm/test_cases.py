@@ -47,6 +47,20 @@ def test_decontamination(docs, no_docs, items):
     assert not {3, 5, 9, 10} & {r.doc_id for r in kept.collect()} and kept.where("doc_id is null").count() == 1
 
 
+def test_clean_rows_stay_beside_contaminated_ones(spark, items):
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j k l m n"), (1, "clean words"), (None, "clean words"), (None, "mit license"), (2, None)],
+                                 "doc_id long, text string")
+    assert sorted((r.doc_id or 0, r.text or "") for r in decontaminate.clean(docs, items).collect()) == [(0, "clean words"), (1, "clean words"), (2, "")]
+
+
+def test_benchmark_blocks_hold_no_repeats(spark, monkeypatch):
+    held, words = [], decontaminate.alnum_words
+    monkeypatch.setattr(decontaminate, "alnum_words", lambda text: held.append(text) or words(text))
+    items = spark.range(300).select(F.lit(1).alias("item_id"), F.lit("b c d").alias("text"))
+    found = decontaminate.contamination(spark.createDataFrame([(1, "a b c d e")], "doc_id long, text string"), items, window=3)
+    assert found.first()["spans"] == [1, 4] and held == [b"b c d"]
+
+
 def test_licences(docs, no_docs):
     columns = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
     rows = by_id(licences.labelled(licences.scan(docs)), *columns)
