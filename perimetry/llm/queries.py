@@ -7,10 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perimetry.llm import (
-    bpe, decontaminate, embeddings, html_blocks, licences, lines, quality, reputation, simhash, sql, substrings,
+    bpe, byte_bpe, conversations, decontaminate, embeddings, html_blocks, licences, lines, quality, reputation, runs,
+    simhash, sql, substrings,
 )
 
 TOKENIZER = "word_bpe_49k.json"
+RANKS = "byte_bpe_50k.tiktoken"
 ACCEPTED = 0.3  # score from which a document counts as good
 
 
@@ -66,11 +68,28 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(_table(spark, sf_dir, "documents"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path(RANKS)
+    return byte_bpe.digests(byte_bpe.decode(byte_bpe.encode(_table(spark, sf_dir, "documents"), ranks), ranks))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    made = docs.select("doc_id", runs.made_periodic(F.col("doc_id"), F.col("text")).alias("text"))
+    return runs.digests(runs.periodic_runs(made, min_length=6, repeats=4))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    return conversations.report(conversations.damaged(turns), turns)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_url_filter, op2_decontamination, op3_licence_scan, op4_bpe, op5_html_text, op6_substring_dedup,
-        op7_line_dedup, op8_embedding_near_dedup, op9_quality, op10_simhash,
+        op7_line_dedup, op8_embedding_near_dedup, op9_quality, op10_simhash, op11_byte_bpe, op12_periodic_runs,
+        op13_conversation_repair,
     )
 }
 
