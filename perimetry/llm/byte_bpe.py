@@ -186,7 +186,7 @@ class PairTable:
         else:
             raise ValueError("no factors tell all pairs apart")
         self.shift = np.zeros(self.groups, np.int64)
-        self.table = np.full(self.slots, -1 & ((1 << 62) - 1), np.int64)
+        self.table = np.full(self.slots, -1, np.int64)  # -1 differs from all pairs in its high bits
         free = np.ones(self.slots, bool)
         order = np.argsort(group, kind="stable")
         bounds = np.searchsorted(group[order], np.arange(self.groups + 1))
@@ -255,7 +255,7 @@ def fold(spelled: Column, pairs: PairTable) -> Column:
         group = F.shiftright(left * a + right * b, 13).bitwiseAND(pairs.groups - 1)
         slot = (F.shiftright(left * c + right * d, 11) + shift[group]).bitwiseAND(pairs.slots - 1)
         pair = F.shiftleft(F.shiftleft(left, 17).bitwiseOR(right), 20)
-        return _bound(table[slot].bitwiseXOR(pair), lambda x: F.when(x < _NONE, x).otherwise(none))
+        return _bound(table[slot].bitwiseXOR(pair), lambda x: F.when(F.shiftrightunsigned(x, 20) == 0, x).otherwise(none))
 
     def token(e: Column) -> Column:
         return e.bitwiseAND(_ID)
