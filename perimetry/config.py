@@ -83,5 +83,8 @@ class Settings:
     max_gap_days: int = 6
     # Round the centroid in the duplicate key to this many decimals; None compares exactly.
     key_decimals: int | None = None
+    # "joins" finds every invalid geometry by joins of edges; "in_place" shuffles nothing, but misses interiors
+    # cut off by a cycle of touching rings.
+    validity: str = "joins"
     # Read NAD83 coordinates as WGS84, which differ by about a metre; else such files are refused.
     nad83_as_wgs84: bool = True

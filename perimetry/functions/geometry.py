@@ -77,3 +77,19 @@ def to_wgs84(geom: Column, srid: Column, nad83_as_wgs84: bool = False) -> Column
     """Geometry in EPSG:4326. An undeclared system counts as 4326; an unsupported one gives null."""
     same = srid.isNull() | srid.isin(*([4326, 4269] if nad83_as_wgs84 else [4326]))
     return F.when(same, geom).when(srid == 3857, mercator_to_degrees(geom))
+
+
+def wgs84_srid(srid: Column, nad83_as_wgs84: bool = False) -> Column:
+    """The system that ``to_wgs84`` leaves a geometry in: 4326, or the source's where it cannot convert it."""
+    known = srid.isNull() | srid.isin(*([4326, 4269, 3857] if nad83_as_wgs84 else [4326, 3857]))
+    return F.when(known, F.lit(4326)).otherwise(srid)
+
+
+def degrees_to_mercator(geom: Column) -> Column:
+    """EPSG:4326 degrees to EPSG:3857 metres (closed form)."""
+
+    def project(p: Column) -> Column:
+        x = MERCATOR_RADIUS * F.radians(p["x"])
+        return point(x, MERCATOR_RADIUS * F.log(F.tan(math.pi / 4 + F.radians(p["y"]) / 2)))
+
+    return _map_points(geom, project)

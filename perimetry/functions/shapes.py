@@ -1,10 +1,9 @@
-"""Polygon functions over Arrow batches: centroid, valid, intersects, contains.
+"""Polygon functions over Arrow batches: the centroid, and validity in place.
 
-Whether a ring crosses itself is a question about one row. Asking it with joins would explode every
-vertex of the table into several shuffled rows, so it is asked in place: one vectorized sweep over
-the segments of a whole batch, with no Python loop over rows and no shuffle. The same holds for the
-centroid, where higher-order functions interpret every vertex (about 50 times slower). Which
-polygons meet which is decided by Spark joins before any of this runs (``operators.pairs``).
+The centroid is a question about one row, asked in one vectorized sweep over a whole batch; higher-order
+functions interpret every vertex (about 50 times slower). Validity in place is the cheaper of the two
+ways to clean records (``Settings.validity``): it shuffles nothing, but misses interiors that a cycle of
+touching rings cuts. The full rule, and what polygons have in common, are joins (``operators.polygons``).
 
 All functions take geometries as nested arrays or as WKB.
 """
@@ -223,97 +222,6 @@ def _probes(shapes: _Shapes, rings: np.ndarray, touch: np.ndarray):
     return owner, x, y
 
 
-def _between(a: _Shapes, b: _Shapes):
-    """Segment pairs, one of each side, whose boxes meet, with their relation."""
-    seg, row = np.concatenate([a.seg, b.seg]), np.concatenate([a.seg_row, b.seg_row])
-    low = np.full((2, a.rows, 2), np.inf)
-    high = np.full((2, a.rows, 2), -np.inf)
-    for side, s in enumerate((a, b)):
-        np.minimum.at(low[side], s.seg_row, np.minimum(s.seg[:, :2], s.seg[:, 2:]))
-        np.maximum.at(high[side], s.seg_row, np.maximum(s.seg[:, :2], s.seg[:, 2:]))
-    low, high = low.max(axis=0), high.min(axis=0)
-    near = (
-        (np.minimum(seg[:, :2], seg[:, 2:]) <= high[row]) & (low[row] <= np.maximum(seg[:, :2], seg[:, 2:]))
-    ).all(axis=1)
-    index = np.flatnonzero(near)
-    for i, j in _meeting(seg[index], row[index]):
-        i, j = np.minimum(index[i], index[j]), np.maximum(index[i], index[j])
-        across = (i < len(a.seg)) & (j >= len(a.seg))
-        i, j = i[across], j[across]
-        yield i, j - len(a.seg), _relation(seg[i], seg[j])
-
-
-def _shell_starts(s: _Shapes) -> np.ndarray:
-    return np.flatnonzero(s.is_shell & (s.ring_len > 0))
-
-
-def intersecting_rows(a: _Shapes, b: _Shapes) -> np.ndarray:
-    """Closed intersection: any shared point counts, also of boundaries only."""
-    hit = np.zeros(a.rows, bool)
-    for i, _, (share, *_rest) in _between(a, b):
-        hit[a.seg_row[i[share]]] = True
-    # Boundaries apart: then two parts meet only if one lies within the other.
-    for s, other in ((a, b), (b, a)):
-        shells = _shell_starts(s)
-        shells = shells[~hit[s.ring_row[shells]]]
-        at, row = s.ring_start[shells], s.ring_row[shells]
-        inside, _ = _locate(s.x[at], s.y[at], row, other)
-        hit[row[inside]] = True
-    return hit
-
-
-def _interior_left(s: _Shapes) -> np.ndarray:
-    """Per segment: whether the interior is on its left."""
-    area = np.zeros(len(s.ring_len))
-    start = s.ring_start[s.seg_ring]
-    dx, dy = s.x[start], s.y[start]
-    x1, y1, x2, y2 = s.seg.T
-    np.add.at(area, s.seg_ring, (x1 - dx) * (y2 - dy) - (x2 - dx) * (y1 - dy))
-    return ((area > 0) == s.is_shell)[s.seg_ring]
-
-
-def _boundary_probes(s: _Shapes, touched: np.ndarray, middles: np.ndarray, rings: np.ndarray):
-    """Points (x, y, row) that stand for the boundary of ``rings``: the first point of each run of segments
-    that the other side does not touch, as such a run lies on one side of it as a whole; the ends of touched
-    segments and the middles of those asked for; and points that are on no segment."""
-    own = rings[s.seg_ring]
-    goes_on = np.zeros(len(s.seg), bool)
-    goes_on[1:] = (s.seg_ring[1:] == s.seg_ring[:-1]) & (s.seg[1:, :2] == s.seg[:-1, 2:]).all(axis=1) & ~touched[:-1]
-    first, met = np.flatnonzero(own & ~touched & ~goes_on), np.flatnonzero(own & touched)
-    middles = np.flatnonzero(own & middles)
-    alone = np.flatnonzero(rings[s.point_ring] & ((s.seg_count[s.point_ring] == 0) | ~s.finite))
-    x, y = np.concatenate([
-        s.seg[first, :2], s.seg[met, :2], s.seg[met, 2:], (s.seg[middles, :2] + s.seg[middles, 2:]) / 2,
-        np.column_stack([s.x[alone], s.y[alone]]),
-    ]).T
-    return x, y, np.concatenate([s.seg_row[first], s.seg_row[met], s.seg_row[met], s.seg_row[middles], s.ring_row[s.point_ring[alone]]])
-
-
-def containing_rows(a: _Shapes, b: _Shapes) -> np.ndarray:
-    """Every point of the second geometry lies in the first (boundaries may coincide)."""
-    fails = (np.bincount(a.seg_row, minlength=a.rows) == 0) | (np.bincount(b.seg_row, minlength=b.rows) == 0)
-    along = np.zeros(len(b.seg), bool)
-    touched_a, touched_b = np.zeros(len(a.seg), bool), np.zeros(len(b.seg), bool)
-    left_a, left_b = _interior_left(a), _interior_left(b)
-    for i, j, (share, cross, stretch, _turns) in _between(a, b):
-        ahead = ((a.seg[i, 2:] - a.seg[i, :2]) * (b.seg[j, 2:] - b.seg[j, :2])).sum(axis=1) > 0
-        apart = stretch & (ahead != (left_a[i] == left_b[j]))
-        fails[a.seg_row[i[cross | apart]]] = True
-        along[j[stretch]] = True
-        touched_a[i[share]], touched_b[j[share]] = True, True
-    x, y, row = _boundary_probes(b, touched_b, touched_b & ~along, np.ones(len(b.ring_len), bool))
-    undecided = ~fails[row]
-    x, y, row = x[undecided], y[undecided], row[undecided]
-    inside, on = _locate(x, y, row, a)
-    fails[row[~inside & ~on]] = True
-    x, y, row = _boundary_probes(a, touched_a, np.zeros(len(a.seg), bool), ~a.is_shell)
-    undecided = ~fails[row]
-    x, y, row = x[undecided], y[undecided], row[undecided]
-    inside, on = _locate(x, y, row, b)
-    fails[row[inside & ~on]] = True
-    return ~fails
-
-
 def centroids(s: _Shapes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(x, y, whether there is one) per row. Shells weigh positive and holes negative, however they
     wind. Without area: the length-weighted middle; without length: the first point. Sums run in
@@ -354,24 +262,6 @@ def _with_nulls(result: np.ndarray, *inputs: pa.Array) -> pa.Array:
     return pa.array(result, pa.bool_(), mask=missing)
 
 
-@F.arrow_udf(T.BooleanType())
-def is_valid(geom: pa.Array) -> pa.Array:
-    """Validity of a polygon geometry; empty is valid, null is null."""
-    return _with_nulls(valid_rows(_Shapes(geom)), geom)
-
-
-@F.arrow_udf(T.BooleanType())
-def intersects(a: pa.Array, b: pa.Array) -> pa.Array:
-    """Closed intersection of two polygon geometries."""
-    return _with_nulls(intersecting_rows(_Shapes(a), _Shapes(b)), a, b)
-
-
-@F.arrow_udf(T.BooleanType())
-def contains(a: pa.Array, b: pa.Array) -> pa.Array:
-    """Whether the first polygon geometry contains the second."""
-    return _with_nulls(containing_rows(_Shapes(a), _Shapes(b)), a, b)
-
-
 def _points(x: np.ndarray, y: np.ndarray, known: np.ndarray) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(x), pa.array(y)], names=["x", "y"], mask=pa.array(~known))
 

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 # Texts that stand for "no identifier", compared in lower case without outer blanks.
 PLACEHOLDER_IDS = ("none", "nan", "", "null")
 
+# Field names are alike if these replacements make them equal, once in lower case.
+NAME_STEPS = ((r"^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", ""), (" ", "_"))
+
 
 def strip(c: str) -> str:
     """Remove any leading and trailing white space, Unicode included (``trim`` removes blanks only)."""
@@ -33,6 +39,11 @@ def to_number(c: str) -> str:
     return f"CASE WHEN {plain} THEN try_cast({strip(c)} AS double) END"
 
 
+def plain_name(name: str) -> str:
+    """Spelling under which field names are compared."""
+    return reduce(lambda text, step: re.sub(*step, text), NAME_STEPS, name.lower())
+
+
 def normalize_name(c: str) -> str:
-    """Data-side twin of ``operators.fields.plain_name``."""
-    return f"replace({strip(f'lower({c})')}, ' ', '_')"
+    """``plain_name`` of a column."""
+    return reduce(lambda sql, step: f"regexp_replace({sql}, r'(?U){step[0]}', '{step[1]}')", NAME_STEPS, f"lower({c})")

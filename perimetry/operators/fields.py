@@ -10,14 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perimetry.config import ALIASES
+from perimetry.functions.text import plain_name
 from perimetry.schema import GEOM, ID_COLUMNS, NORMALIZED_COLUMNS, NORMALIZED_DDL, TEXT_COLUMNS
 
 
-def plain_name(name: str) -> str:
-    """Spelling under which field names are compared."""
-    return "_".join(name.casefold().strip().split(" "))
-
-
 class AliasIndex:
     """Which columns a field name may fill, and how good an alias it is for them.
 

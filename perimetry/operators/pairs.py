@@ -11,9 +11,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from perimetry.functions.geometry import bbox, bboxes_meet
-from perimetry.functions.shapes import contains, intersects
+from perimetry.functions.wkb import from_wkb
+from perimetry.operators import polygons
+from perimetry.plans.storage import written
 
 
 def within_elapsed_days(first: Column, second: Column, days: int) -> Column:
@@ -138,34 +141,36 @@ def with_bbox_overlap(pairs: DataFrame, table: DataFrame, geom: str = "geom", ro
     return boxed.withColumn("bbox_overlap", meet).drop("curr_bbox", "next_bbox")
 
 
-def _decided(pairs: DataFrame, table: DataFrame, geom: str, row: str, flags: dict[str, Column]) -> DataFrame:
-    """Add ``bbox_overlap`` and the flags, which are false where the boxes are apart. Geometry is fetched
-    only for pairs whose boxes meet, and only their records' leaves the scan."""
-    near = with_bbox_overlap(pairs, table, geom, row)
-    meeting = near.filter("bbox_overlap")
-    wanted = meeting.select(F.explode(F.array("curr_row", "next_row")).alias(row)).distinct()
-    shapes = table.select(row, geom).join(wanted, row, "left_semi")
-    looked_at = with_geometries(meeting, shapes, geom, row).withColumns(flags).drop("curr_geom", "next_geom")
-    apart = near.filter("NOT bbox_overlap").withColumns({name: F.lit(False) for name in flags})
-    return looked_at.unionByName(apart)
+_PAIR = ["curr_row", "next_row"]
 
 
-def _holds(found: Column) -> Column:
-    return F.coalesce(found, F.lit(False))
+def _decided(pairs: DataFrame, table: DataFrame, geom: str, row: str, flags: dict[str, tuple]) -> DataFrame:
+    """Add ``bbox_overlap`` and the flags (predicate, geometries), which are false where the boxes are apart. Geometry
+    is fetched only for pairs whose boxes meet, and only their records' leaves the scan; the
+    predicates are joins of its edges."""
+    near = written(with_bbox_overlap(pairs, table, geom, row), "near-pairs")
+    meeting = near.filter("bbox_overlap").select(*_PAIR)
+    wanted = meeting.select(F.explode(F.array(*_PAIR)).alias(row)).distinct()
+    shapes = table.select(row, geom).join(wanted, row, "left_semi")
+    if isinstance(shapes.schema[geom].dataType, T.BinaryType):
+        shapes = shapes.withColumn(geom, from_wkb(geom))
+    looked_at = written(with_geometries(meeting, shapes, geom, row), "looked-at")
+    for name, (predicate, a, b) in flags.items():
+        near = polygons.with_flag(near, _PAIR, predicate(looked_at, _PAIR, a, b), name, F.lit(True))
+    return near
 
 
 def with_overlap(pairs: DataFrame, table: DataFrame, geom: str = "geom", row: str = "row_id") -> DataFrame:
-    """Add ``bbox_overlap`` and ``overlaps`` (closed intersection, which containment implies)."""
-    return _decided(pairs, table, geom, row, {"overlaps": _holds(intersects(F.col("curr_geom"), F.col("next_geom")))})
+    """Add ``bbox_overlap`` and ``overlaps`` (closed intersection, which containment implies). Pairs of rows are unique."""
+    return _decided(pairs, table, geom, row, {"overlaps": (polygons.intersecting, "curr_geom", "next_geom")})
 
 
 def with_containment(pairs: DataFrame, table: DataFrame, geom: str = "geom", row: str = "row_id") -> DataFrame:
-    """Add ``bbox_overlap``, ``curr_contains`` and ``next_contains``."""
-    flags = {
-        "curr_contains": _holds(contains(F.col("curr_geom"), F.col("next_geom"))),
-        "next_contains": _holds(contains(F.col("next_geom"), F.col("curr_geom"))),
-    }
-    return _decided(pairs, table, geom, row, flags)
+    """Add ``bbox_overlap``, ``curr_contains`` and ``next_contains``. Pairs of rows are unique."""
+    return _decided(pairs, table, geom, row, {
+        "curr_contains": (polygons.containing, "curr_geom", "next_geom"),
+        "next_contains": (polygons.containing, "next_geom", "curr_geom"),
+    })
 
 
 def overlap_counts(overlapping: DataFrame) -> DataFrame:

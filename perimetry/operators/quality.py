@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from perimetry.config import Settings
 from perimetry.functions.barrier import stage
 from perimetry.functions.dates import in_year_range
-from perimetry.functions.shapes import measure
+from perimetry.functions.shapes import centroid, measure
+from perimetry.operators import polygons
 from perimetry.operators.identity import NO_ID
+from perimetry.plans.storage import written
 
 
 def _missing(field: str) -> str:
@@ -34,6 +36,8 @@ def classify(df: DataFrame, settings: Settings) -> DataFrame:
     rules += [(_missing(field), f"missing_{field}") for field in settings.required_fields]
     first = " ".join(f"WHEN {rule} THEN '{reason}'" for rule, reason in rules)
     df = stage(df, _early=f"CASE {first} END")
+    if settings.validity == "joins":
+        return _classified_by_joins(df)
     looked_at = F.expr("CASE WHEN _early IS NULL THEN geom END")
     # the stage keeps a later filter on the reason from evaluating the function a second time
     return stage(
@@ -43,6 +47,16 @@ def classify(df: DataFrame, settings: Settings) -> DataFrame:
     ).drop("_early", "_measured")
 
 
+def _classified_by_joins(df: DataFrame) -> DataFrame:
+    """The geometry test as joins of edges: records are stored, and keys of invalid ones joined to them."""
+    looked_at = F.expr("CASE WHEN _early IS NULL THEN geom END")
+    rows = written(df.withColumn("centroid", centroid(looked_at)), "records")
+    shapes = rows.where("_early IS NULL AND geom IS NOT NULL").select("row_id", "geom")
+    marked = polygons.with_flag(rows, ["row_id"], polygons.invalid(shapes, ["row_id"], "geom"), "_invalid", F.lit(True))
+    return marked.withColumn(
+        "reject_reason", F.expr("coalesce(_early, CASE WHEN _invalid THEN 'invalid_geometry' END)")).drop("_early", "_invalid")
+
+
 def passed(df: DataFrame) -> DataFrame:
     return df.filter(F.col("reject_reason").isNull())
 

@@ -19,6 +19,7 @@ def classified(normalized: DataFrame, settings: Settings) -> DataFrame:
 
 
 def unified(classified_records: DataFrame, settings: Settings) -> DataFrame:
-    """The passing records, one per duplicate key, in the output schema. One shuffle."""
+    """The passing records, one per duplicate key, in the output schema; an ``srid`` comes along. One shuffle."""
     kept = deduplicate(passed(classified_records), settings)
-    return kept.withColumn("fire_year", F.expr(to_number("fire_year"))).select(*OUTPUT_COLUMNS)
+    return kept.withColumn("fire_year", F.expr(to_number("fire_year"))).select(
+        *OUTPUT_COLUMNS, *[c for c in ("srid",) if c in kept.columns])

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from perimetry.config import Settings
 from perimetry.schema import GEOM
 
-SETTINGS = Settings(max_year=2027)
+SETTINGS = Settings(max_year=2027, validity="in_place")
 
 A_SQL = """
 SELECT o_orderkey AS record_no,

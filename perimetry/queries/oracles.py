@@ -369,3 +369,12 @@ ORACLES["q33_training_pairs_job"] = _with(CTES, LINKS, BOXES) + (
     f"SELECT incident_id, curr_row, next_row, {_MEET} AS overlaps, true AS both_shapes FROM b WHERE epoch(next_ts) - epoch(curr_ts) < 604800"
 )
 ORACLES["q34_incident_lookup_job"] = f"SELECT * FROM ({ORACLES['q25_timeline']}) WHERE incident_id = '{LOOKED_UP}'"
+ORACLES["q36_mixed_systems"] = _A + (
+    "SELECT row_id, incident_id, CASE WHEN geom_kind = 'box' THEN CAST(round((cx - half) * 1024) AS BIGINT) END AS xmin,"
+    " CASE WHEN geom_kind = 'box' THEN CAST(round((cy + half) * 1024) AS BIGINT) END AS ymax, 4326 AS srid FROM q WHERE reject_reason IS NULL"
+)
+ORACLES["q37_ordered_output"] = _A + (
+    "SELECT row_id, priority, row_number() OVER (ORDER BY priority, row_id) - 1 AS place FROM (SELECT row_id,"
+    " CASE source_dataset WHEN 'Interagency Fire Perimeter History' THEN 1 WHEN 'Historic GeoMAC (2000-2018)' THEN 2"
+    " WHEN 'WFIGS Recent (2016-2025)' THEN 3 WHEN 'WFIGS Year to Date' THEN 4 WHEN 'WFIGS Current' THEN 5 ELSE 99 END AS priority FROM u)"
+)

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perimetry.functions.geometry import bbox, bboxes_meet, point_text
-from perimetry.functions.shapes import centroid, contains, intersects, is_valid
+from perimetry.functions.shapes import centroid
 from perimetry.functions.text import is_valid_id
-from perimetry.operators import dedup, fields, funnel, identity, pairs, quality, report, roster, timeline
+from perimetry.operators import dedup, fields, funnel, identity, pairs, polygons, quality, report, roster, timeline
 from perimetry.functions.dates import with_parsed_date
 from perimetry.plans.storage import scratch_path, written
 from perimetry.plans.unify import classified, unified
@@ -118,13 +118,19 @@ def q08_centroid_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _judged(shapes: DataFrame, key: str) -> DataFrame:
+    """(key, valid) of geometries; null for a missing one."""
+    found = polygons.with_flag(shapes, [key], polygons.invalid(shapes, [key], "geom"), "invalid", F.col("geom").isNotNull())
+    return found.select(key, (~F.col("invalid")).alias("valid"))
+
+
 def q09_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = normalized(spark, sf_dir).select("row_id", is_valid("geom").alias("valid"))
+    judged = _judged(normalized(spark, sf_dir).select("row_id", "geom"), "row_id")
     return judged.selectExpr("row_id", "CASE WHEN valid THEN 'valid' WHEN NOT valid THEN 'invalid' ELSE 'missing' END AS verdict")
 
 
 def q09_validity_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rings(spark, sf_dir).select("vec_id", is_valid("geom").alias("valid"))
+    return _judged(rings(spark, sf_dir), "vec_id")
 
 
 def q09_validity_by_angle(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,7 +139,7 @@ def q09_validity_by_angle(spark: SparkSession, sf_dir: str) -> DataFrame:
     turned = f"transform(array_sort(transform({points}, (p, i) -> named_struct('a', if(vec_id % 2 = 0, atan2(p.y, p.x), i), 'p', p))), s -> s.p)"
     ring = f"concat({turned}, slice({turned}, 1, 1))"
     shaped = table(spark, sf_dir, "embeddings").selectExpr("vec_id", f"array(array({ring})) AS geom")
-    return shaped.select("vec_id", is_valid("geom").alias("valid"))
+    return _judged(shaped, "vec_id")
 
 
 def q35_triangles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,10 +153,10 @@ def q35_triangles(spark: SparkSession, sf_dir: str) -> DataFrame:
         return f"array(array(array({corners})))"
 
     shaped = table(spark, sf_dir, "embeddings").selectExpr("vec_id", f"{triangle(0, '1D')} AS a", f"{triangle(6, '0.25D')} AS b")
-    return shaped.select(
-        "vec_id", bboxes_meet(bbox(F.col("a")), bbox(F.col("b"))).alias("boxes_meet"),
-        intersects(F.col("a"), F.col("b")).alias("overlaps"), contains(F.col("a"), F.col("b")).alias("a_contains_b"),
-    )
+    both = F.col("a").isNotNull() & F.col("b").isNotNull()
+    found = polygons.with_flag(shaped, ["vec_id"], polygons.intersecting(shaped, ["vec_id"], "a", "b"), "overlaps", both)
+    found = polygons.with_flag(found, ["vec_id"], polygons.containing(shaped, ["vec_id"], "a", "b"), "a_contains_b", both)
+    return found.select("vec_id", bboxes_meet(bbox(F.col("a")), bbox(F.col("b"))).alias("boxes_meet"), "overlaps", "a_contains_b")
 
 
 def q10_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -356,5 +362,6 @@ QUERIES: dict[str, Query] = {
         q28_pair_counts_lineitem, roundtrips.q29_shapefile_roundtrip, roundtrips.q30_sinks_roundtrip,
         roundtrips.q30_rejects_roundtrip, roundtrips.q31_unify_job, roundtrips.q32_unify_job_report,
         roundtrips.q33_training_pairs_job, roundtrips.q34_incident_lookup_job, q35_triangles,
+        roundtrips.q36_mixed_systems, roundtrips.q37_ordered_output,
     )
 }

@@ -6,6 +6,7 @@ import io
 import struct
 import zipfile
 from collections.abc import Iterator
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -14,13 +15,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perimetry.config import SOURCES
+from perimetry.functions.geometry import degrees_to_mercator, to_wgs84, wgs84_srid
 from perimetry.operators import quality
 from perimetry.plans import jobs
 from perimetry.plans.storage import scratch_path, written
 from perimetry.plans.unify import classified, unified
 from perimetry.queries.adapter import SETTINGS, adapter, normalized
-from perimetry.schema import TEXT_COLUMNS
-from perimetry.sinks.outputs import read_rejects, read_unified, with_geom, write_rejects, write_unified
+from perimetry.schema import OUTPUT_COLUMNS, TEXT_COLUMNS
+from perimetry.sinks.outputs import (
+    read_in_order, read_rejects, read_unified, with_geom, write_by_priority, write_rejects, write_unified,
+)
 from perimetry.sources.files import open_fs
 from perimetry.sources.perimeters import readable, scan_all
 
@@ -143,6 +147,25 @@ def q30_sinks_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q36_mixed_systems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records in degrees, in NAD83 and in mercator metres, brought to one system that the sink asserts."""
+    rows = normalized(spark, sf_dir).withColumn("srid", F.expr("element_at(array(4326, 4269, 3857), CAST(row_id % 3 AS INT) + 1)"))
+    given = rows.withColumn("geom", F.when(F.col("srid") == 3857, degrees_to_mercator(F.col("geom"))).otherwise(F.col("geom")))
+    same = given.withColumns({
+        "geom": to_wgs84(F.col("geom"), F.col("srid"), nad83_as_wgs84=True), "srid": wgs84_srid(F.col("srid"), nad83_as_wgs84=True)})
+    path = scratch_path(spark, "systems")
+    write_unified(quality.passed(classified(same, SETTINGS)).select(*OUTPUT_COLUMNS, "srid"), path)
+    steps = [F.round(F.col(f"bbox.{c}") * 1024).cast("long").alias(c) for c in ("xmin", "ymax")]  # corners are multiples of 1/1024
+    return read_unified(spark, path).select("row_id", "incident_id", *steps, "srid")
+
+
+def q37_ordered_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unified table written in the order of source priority and reading, and the place of each row in its files."""
+    path = scratch_path(spark, "ordered")
+    write_by_priority(unified(classified(normalized(spark, sf_dir), SETTINGS), SETTINGS), path, SETTINGS)
+    return read_in_order(spark, path).select("row_id", "priority", "place")
+
+
 def q30_rejects_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records without identifier written as CSV and read back."""
     path = scratch_path(spark, "no_id")
@@ -153,7 +176,8 @@ def q30_rejects_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _unify_job(spark: SparkSession, sf_dir: str) -> jobs.UnifyOutputs:
-    return jobs.unify(spark, _raw_files(spark, sf_dir), scratch_path(spark, "outputs"), SETTINGS)
+    settings = replace(SETTINGS, validity="joins")
+    return jobs.unify(spark, _raw_files(spark, sf_dir), scratch_path(spark, "outputs"), settings)
 
 
 def q31_unify_job(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,22 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from perimetry.config import Settings
 from perimetry.functions.geometry import bbox
 from perimetry.functions.wkb import from_wkb, to_wkb
+from perimetry.operators.dedup import source_priority
 
 SRID = 4326
 
 
-def write_unified(df: DataFrame, path: str) -> None:
+def in_system(srid: Column, expected: int, row: Column) -> Column:
+    """``srid``; the job fails at the first row that is in another system or in none."""
+    wrong = F.concat(F.lit("row "), F.coalesce(row.cast("string"), F.lit("?")), F.lit(" is in EPSG:"), F.coalesce(srid.cast("string"), F.lit("?")),
+                     F.lit(f", the table in EPSG:{expected}"))
+    return F.when(srid == expected, srid).otherwise(F.raise_error(wrong).cast("int"))
+
+
+def write_unified(df: DataFrame, path: str, srid: int = SRID) -> None:
     """Parquet with ``geometry`` as WKB, its ``bbox`` and ``srid``. Rows are dealt out by ranges of
     incident and date and sorted by them, so a lookup of one incident opens few files and skips row
-    groups; a hot incident is split by its dates."""
+    groups; a hot incident is split by its dates.
+
+    Rows bring their system as ``srid``; one in another system than ``srid`` fails the job before anything
+    is published. A table without that column says by calling this that it is in ``srid``.
+    """
+    own = in_system(F.col("srid"), srid, F.col("row_id")) if "srid" in df.columns else F.lit(srid)
     (
-        df.withColumns({"geometry": to_wkb("geom"), "bbox": bbox(F.col("geom")), "srid": F.lit(SRID)})
+        df.withColumns({"geometry": to_wkb("geom"), "bbox": bbox(F.col("geom")), "srid": own})
         .drop("geom")
         .repartitionByRange("incident_id", "perimeter_date")
         .sortWithinPartitions("incident_id", "perimeter_date")
@@ -26,6 +40,24 @@ def write_unified(df: DataFrame, path: str) -> None:
     )
 
 
+def write_by_priority(df: DataFrame, path: str, settings: Settings) -> None:
+    """The table in the order (priority of its source, place of reading): range partitions, one file after the
+    other, each sorted. No task holds more than its range."""
+    ranked = df.withColumn("priority", source_priority(F.col("source_dataset"), settings))
+    order = ["priority", "row_id"]
+    ranked.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+
+
+def read_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """A table of ordered files with ``place``, the number of its row from 0. Files count in the order of their
+    names, rows in the order within their file; only a count per file is put in one order."""
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    sizes = rows.groupBy("_file").agg(F.count("*").alias("_rows"))
+    before = F.sum("_rows").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("_file", F.coalesce(before, F.lit(0)).alias("_start"))
+    return rows.join(starts, "_file").withColumn("place", F.col("_start") + F.col("_at")).drop("_file", "_at", "_start")
+
+
 def read_unified(spark: SparkSession, path: str) -> DataFrame:
     """The unified table as stored. Joins and filters see ``geometry`` as WKB and ``bbox``; the
     polygon functions take WKB, so only geometries they look at are ever decoded."""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perimetry.config import ROSTER_ALIASES, Settings, SourceSpec
-from perimetry.functions.geometry import to_wgs84
+from perimetry.functions.geometry import to_wgs84, wgs84_srid
 from perimetry.operators.fields import union_all
 from perimetry.schema import NORMALIZED_COLUMNS, TEXT_COLUMNS
 from perimetry.sources.shapefile import ShapefileSource
@@ -27,7 +27,7 @@ def _load(spark: SparkSession, **options: str) -> DataFrame:
 def scan(
     spark: SparkSession, raw_dir: str, spec: SourceSpec, rank: int, settings: Settings, mode: str = "PERMISSIVE"
 ) -> DataFrame:
-    """One dataset in the normalized schema and WGS84, plus ``file`` and ``error``.
+    """One dataset in the normalized schema and WGS84, plus the ``srid`` of its geometry, ``file`` and ``error``.
 
     No matching folder or archive gives an empty frame. The reader resolves the aliases of each
     file, so this is a plain projection.
@@ -46,6 +46,7 @@ def scan(
         F.lit(spec.name).alias("source_dataset"),
         to_wgs84(F.col("geom"), F.col("srid")).alias("geom"),
         F.expr(_row_id(rank)).alias("row_id"),
+        wgs84_srid(F.col("srid")).alias("srid"),
         "file",
         "error",
     )
@@ -57,7 +58,7 @@ def scan_all(spark: SparkSession, raw_dir: str, settings: Settings, mode: str =
         raise ValueError("record numbers hold 127 sources")
     frames = [scan(spark, raw_dir, s, rank, settings, mode) for rank, s in enumerate(settings.sources)]
     if not frames:
-        return union_all(spark, []).selectExpr(*NORMALIZED_COLUMNS, "'' AS file", "cast(NULL AS string) AS error")
+        return union_all(spark, []).selectExpr(*NORMALIZED_COLUMNS, "4326 AS srid", "'' AS file", "cast(NULL AS string) AS error")
     whole = frames[0]
     for frame in frames[1:]:
         whole = whole.unionByName(frame)

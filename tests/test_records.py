@@ -1,18 +1,20 @@
 """Identifiers, dates, years, quality rules and duplicates on small literal tables."""
 
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from perimetry.config import ALIASES, PRIORITIES, Settings
 from perimetry.functions.dates import with_parsed_date
-from perimetry.functions.text import canonical_year, normalize_name, to_number
+from perimetry.functions.text import canonical_year, normalize_name, plain_name, to_number
 from perimetry.operators import dedup, identity, quality, report, roster
-from perimetry.operators.fields import AliasIndex, normalize, plain_name, union_all
+from perimetry.operators.fields import AliasIndex, normalize, union_all
 from perimetry.plans.unify import classified, unified
 from perimetry.schema import NORMALIZED_DDL, OUTPUT_COLUMNS, TEXT_COLUMNS
 
-SETTINGS = Settings(max_year=2027)
+SETTINGS = Settings(max_year=2027, validity="in_place")
 HISTORY, GEOMAC = "Interagency Fire Perimeter History", "Historic GeoMAC (2000-2018)"
 
 
@@ -31,6 +33,12 @@ def records(spark, rows):
     return spark.createDataFrame(data, NORMALIZED_DDL)
 
 
+def test_field_names_are_spelled_alike_in_both_places(spark):
+    names = [" Unit ID ", "\tUNIT_ID\u2003", "Straße  Nr", "a b c", "", "\x1cÀ\x1f", "ΣΑΣ x"]
+    found = spark.createDataFrame([(n,) for n in names], "n string").selectExpr(f"{normalize_name('n')} AS p").collect()
+    assert [r.p for r in found] == [plain_name(n) for n in names]
+
+
 def test_field_names():
     assert plain_name(" Unit ID ") == "unit_id"
     assert AliasIndex(ALIASES).resolve(["A", "IncidentNa", "incident"])["incident_name"] == "incident"
@@ -157,7 +165,7 @@ def test_reject_reasons(spark):
 def test_default_max_year_is_next_year(spark):
     year = datetime.now().year
     rows = [{"perimeter_date_raw": f"{year + 1}0101"}, {"perimeter_date_raw": f"{year + 2}0101"}]
-    out = classified(records(spark, rows), Settings()).orderBy("row_id").collect()
+    out = classified(records(spark, rows), Settings(validity="in_place")).orderBy("row_id").collect()
     assert [r.reject_reason for r in out] == [None, "invalid_date"]
 
 
@@ -185,13 +193,13 @@ def test_duplicates(spark):
 def test_duplicate_key_decimals(spark):
     rows = [{}, {"geom": box(1e-9, 0)}]
     for decimals, number in ((None, 2), (6, 1)):
-        settings = Settings(max_year=2027, key_decimals=decimals)
+        settings = Settings(validity="in_place", max_year=2027, key_decimals=decimals)
         assert unified(classified(records(spark, rows), settings), settings).count() == number
 
 
 def test_priorities_are_not_the_read_order(spark):
     assert PRIORITIES[HISTORY] < PRIORITIES[GEOMAC]
-    settings = Settings(max_year=2027, priorities={}, default_priority=5)
+    settings = Settings(validity="in_place", max_year=2027, priorities={}, default_priority=5)
     rows = [{"source_dataset": "b"}, {"source_dataset": "a"}]
     assert unified(classified(records(spark, rows), settings), settings).first().row_id == 0
 
@@ -238,3 +246,41 @@ def test_result_does_not_depend_on_partitions(spark, partitions):
     rows = [{"incident_id_raw": f"i{k % 5}", "geom": box(k % 3, 0), "source_dataset": GEOMAC if k % 2 else HISTORY} for k in range(60)]
     u = unified(classified(records(spark, rows).repartition(partitions), SETTINGS), SETTINGS)
     assert sorted(r.row_id for r in u.collect()) == [0, 2, 4, 6, 8, 10, 12, 14, 16, 18, 20, 22, 24, 26, 28]
+
+
+def test_rows_in_another_system_fail_the_sink(spark, tmp_path):
+    """The system of each row is asserted on the way out; nothing is published when one is wrong."""
+    from perimetry.sinks.outputs import read_unified, write_unified
+
+    rows = classified(records(spark, [{}, {}]), SETTINGS).drop("reject_reason")
+    write_unified(rows.withColumn("srid", F.lit(4326)), str(tmp_path / "good"))
+    assert {r.srid for r in read_unified(spark, str(tmp_path / "good")).collect()} == {4326}
+    for wrong in ("3857", "CAST(NULL AS INT)"):
+        with pytest.raises(Exception, match="EPSG:4326"):
+            write_unified(rows.withColumn("srid", F.expr(wrong)), str(tmp_path / "bad"))
+        assert not (tmp_path / "bad" / "_SUCCESS").exists()
+
+
+def test_output_in_order_of_priority(spark, tmp_path):
+    from perimetry.sinks.outputs import read_in_order, write_by_priority
+
+    names = [*SETTINGS.priorities, "elsewhere"]
+    rows = spark.range(5000).select(
+        F.col("id").alias("row_id"), F.element_at(F.array(*map(F.lit, names)), (F.hash("id") % 6 + 6).cast("int") % 6 + 1).alias("source_dataset"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    write_by_priority(rows, str(tmp_path / "t"), SETTINGS)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    back = read_in_order(spark, str(tmp_path / "t")).orderBy("place").collect()
+    assert [r.place for r in back] == list(range(5000))
+    assert [(r.priority, r.row_id) for r in back] == sorted((r.priority, r.row_id) for r in back)
+    assert len({f for f in __import__("os").listdir(tmp_path / "t") if f.startswith("part-")}) > 1
+
+
+def test_both_ways_to_clean_agree(spark):
+    from perimetry.queries.adapter import normalized
+
+    rows = normalized(spark, "/root/testdata/sf0.001")
+    reasons = [
+        {(r.row_id, r.reject_reason) for r in classified(rows, replace(SETTINGS, validity=way)).select("row_id", "reject_reason").collect()}
+        for way in ("joins", "in_place")]
+    assert reasons[0] == reasons[1] and {reason for _, reason in reasons[0]} > {None, "invalid_geometry"}
