@@ -152,8 +152,8 @@ def near_duplicates(
     Rows link if their labels are equal and the cosine is at least ``least``. Rows whose label or vector
     is null, whose vector is empty, zero or holds null or non-finite components link with nothing, nor do
     vectors of different length. ``n_links`` counts other rows, copies included; ``component_id`` is the
-    smallest id reachable. Rows are told apart by their id, which must not repeat or be null for linked
-    rows; a row without id links with nothing. Other columns are not read.
+    smallest id reachable. Rows that repeat an id are rows of their own, each judged by its vector; a row without
+    id links with nothing. An empty table gives an empty result; other columns are not read.
     """
     spark = vectors.sparkSession
     rows = vectors.select(
@@ -164,7 +164,8 @@ def near_duplicates(
     usable = F.coalesce(
         F.col("vec_id").isNotNull() & F.col("label").isNotNull() & finite & F.exists("embedding", lambda x: x != 0), F.lit(False))
     classes = written(
-        rows.where(usable).groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")), "vectors")
+        rows.where(usable).groupBy("label", "embedding").agg(F.min("vec_id").alias("least"), F.count("*").alias("n"))
+        .withColumn("rep", F.monotonically_increasing_id()), "vectors")  # numbered once: the table is stored
     hashed = written(
         classes.select("rep", "embedding").mapInArrow(_hash(least, projections, tables, cell, seed), "rep long, names array<long>"),
         "vector-names")
@@ -188,9 +189,12 @@ def near_duplicates(
     found = spark.read.parquet(path)
     counts = found.groupBy("a").agg(F.sum("links").alias("links")).withColumnRenamed("a", "rep")
     parts = connected_components(found.select("a", "b"))
-    named = classes.join(counts, "rep", "left").join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "label", "embedding", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-        F.coalesce("component", "rep").alias("component_id"))
+    placed = classes.join(counts, "rep", "left").join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "label", "embedding", "least", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+        F.coalesce("component", "rep").alias("component"))
+    # stored, so that the join on a component of any size can be split
+    smallest = written(placed.groupBy("component").agg(F.min("least").alias("component_id")), "vector-components")
+    named = placed.join(smallest, "component").select("label", "embedding", "n_links", "component_id")
     linked = rows.where(usable).join(named, ["label", "embedding"]).select("vec_id", "n_links", "component_id")
     alone = rows.where(~usable).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.union(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
