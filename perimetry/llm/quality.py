@@ -6,8 +6,8 @@ maximum over chunks, one hidden layer) into one probability. Filters are tables
 offset, which equals a convolution over one-hot bytes and needs no multiplications.
 
 Training. The network is fitted on the driver on a bounded sample of labelled rows: at most
-``per_class`` rows of each label, chosen by a hash of their id, each with at most ``_TRAIN_CHUNKS``
-chunks spread evenly over its text. A sampled row weighs as many rows of its label as it stands for, so the
+``per_class`` rows of each label, chosen by a hash of their id, each with at most ``chunks`` chunks spread
+evenly over its text; both are parameters of ``train``. A sampled row weighs as many rows of its label as it stands for, so the
 share of good rows, and with it what a score means, does not depend on ``per_class`` or the size of the
 input. Scoring reads every byte of every text.
 """
@@ -27,7 +27,6 @@ from perimetry.llm.text import as_bytes
 WIDTH, FILTERS, HIDDEN = 6, 24, 16
 _BLOCK = 64  # pooled first; chunks are runs of blocks
 _CHUNK, _STEP = 8, 7  # blocks: chunks of 512 bytes, overlapping by 64
-_TRAIN_CHUNKS = 12
 _POSITIONS = 16_384  # convolved at a time
 _TEXTS = 1 << 20  # bytes handled at a time
 
@@ -95,11 +94,11 @@ class Network:
         return self.combine(features.reshape(len(texts), 2 * FILTERS))
 
 
-def sampled_chunks(text: bytes) -> list[bytes]:
-    """At most ``_TRAIN_CHUNKS`` chunks, spread evenly over the text."""
+def sampled_chunks(text: bytes, most: int) -> list[bytes]:
+    """At most ``most`` chunks, spread evenly over the text."""
     step, size = _STEP * _BLOCK, _CHUNK * _BLOCK
     count = max(1, -(-(len(text) - (size - step)) // step))
-    picked = sorted({round(i * (count - 1) / max(1, _TRAIN_CHUNKS - 1)) for i in range(_TRAIN_CHUNKS)}) if count > _TRAIN_CHUNKS else range(count)
+    picked = sorted({round(i * (count - 1) / max(1, most - 1)) for i in range(most)}) if count > most else range(count)
     return [text[i * step : i * step + size] for i in picked]
 
 
@@ -175,13 +174,13 @@ def held_out(id_col: str = "doc_id"):
 
 
 def training_rows(
-    docs: DataFrame, labels: DataFrame, per_class: int = 3000
+    docs: DataFrame, labels: DataFrame, per_class: int = 3000, chunks: int = 12
 ) -> tuple[list[tuple[list[bytes], int]], dict[int, float]]:
     """A bounded sample of labelled texts outside the held-out fold, one text of each id and label (the one with
-    the smallest hash, where rows repeat an id), and how many labelled rows each sampled
+    the smallest hash, where rows repeat an id), and how many labelled rows of ``docs`` each sampled
     row of a label stands for."""
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
-    known = known.select("doc_id", "quality").distinct()
+    known = known.select("doc_id", "quality").distinct().join(docs.select("doc_id"), "doc_id", "left_semi")
     picked = None
     for label in (0, 1):
         own = known.where(F.col("quality") == label)
@@ -192,7 +191,7 @@ def training_rows(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [sampled_chunks(t.as_py() or b"") for t in b["text"]]
+            found = [sampled_chunks(t.as_py() or b"", chunks) for t in b["text"]]
             yield pa.RecordBatch.from_arrays(
                 [b["doc_id"], b["quality"], b["content"], pa.array(found, pa.list_(pa.binary()))],
                 names=["doc_id", "quality", "content", "chunks"])
@@ -206,8 +205,10 @@ def training_rows(
     return rows, weights
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 3000) -> Network:
-    rows, weights = training_rows(docs, labels, per_class)
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 3000, chunks: int = 12) -> Network:
+    """Fit on ``per_class`` texts of each label and ``chunks`` chunks of each, which bounds what the driver holds. On texts
+    longer than that (about 5 KB) the network learns from part of the text; scoring always pools all of it."""
+    rows, weights = training_rows(docs, labels, per_class, chunks)
     return fit(rows, weights=weights)
 
 

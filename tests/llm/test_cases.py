@@ -375,3 +375,36 @@ def test_pipeline_stages(spark, docs, no_docs, tmp_path):
             assert [f.dataType for f in found.schema] == [T.LongType(), T.StringType(), T.StringType(), T.StringType(), T.LongType()]
             assert found.count() <= table.count()
     assert corpus_pipeline.token_stage(spark, docs, str(tmp_path)).count() == docs.count()
+
+
+def test_vectors_that_repeat_an_id(spark):
+    """Two vectors under one id, and copies of them under others: each row is judged by its own vector."""
+    x, y = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    rows = [(1, "a", x), (1, "a", y), (2, "a", x), (3, "a", y), (4, "a", [0.0, 0.0, 1.0])]
+    table = spark.createDataFrame(rows, "vec_id long, label string, embedding array<double>").repartition(3)
+    found = by_id(embeddings.near_duplicates(table), "n_links", "component_id", "kept")
+    assert found == {1: [(1, 1, True)] * 2, 2: [(1, 1, False)], 3: [(1, 1, False)], 4: [(0, 4, True)]}
+
+
+def test_filters_against_a_plain_convolution():
+    rng = np.random.default_rng(5)
+    network = quality.Network(
+        rng.normal(size=(quality.WIDTH, 256, quality.FILTERS)).astype(np.float32), rng.normal(size=quality.FILTERS).astype(np.float32),
+        *(rng.normal(size=s) for s in ((2 * quality.FILTERS, quality.HIDDEN), quality.HIDDEN, quality.HIDDEN)), 0.1)
+    texts = [bytes(rng.integers(0, 256, n, dtype=np.uint8)) for n in (0, 1, 5, 63, 64, 65, 448, 512, 513, 1500, 40_000)]
+    for text, pooled in zip(texts, network.pooled(texts)):
+        data = text + bytes(quality.WIDTH)
+        response = np.array([
+            sum(network.filters[o][data[at + o]] for o in range(quality.WIDTH)) for at in range(max(1, len(text)))])
+        step, size = quality._STEP * quality._BLOCK, quality._CHUNK * quality._BLOCK
+        starts = range(0, max(1, -(-len(response) // quality._BLOCK) - 1) * quality._BLOCK, step)
+        plain = np.array([np.maximum(response[s : s + size].max(axis=0) + network.bias, 0) for s in starts])
+        assert pooled.shape == plain.shape and np.allclose(pooled, plain, atol=1e-4)
+
+
+def test_labels_without_documents_take_no_place_in_the_sample(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(4000)], "doc_id long, quality int")
+    rows, weights = quality.training_rows(docs, labels, per_class=10, chunks=1)
+    assert len(rows) == 20 and all(len(chunks) == 1 for chunks, _ in rows)
+    assert sum(weights.values()) * 10 == pytest.approx(sum(__import__("zlib").crc32(str(i).encode()) % 5 != 0 for i in range(40)), abs=1)
