@@ -88,3 +88,5 @@ class Settings:
     validity: str = "joins"
     # Read NAD83 coordinates as WGS84, which differ by about a metre; else such files are refused.
     nad83_as_wgs84: bool = True
+    # Shapefiles are read in pieces of about this size; larger archives are staged first so that they can be.
+    split_bytes: int = 128 << 20

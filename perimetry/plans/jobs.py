@@ -15,7 +15,7 @@ from perimetry.operators.funnel import funnel_text
 from perimetry.plans.storage import discard, scratch_path
 from perimetry.plans.unify import classified, unified
 from perimetry.sinks.outputs import read_unified, write_rejects, write_report, write_unified
-from perimetry.sources.perimeters import readable, scan_all, scan_roster, unreadable
+from perimetry.sources.perimeters import readable, scan_all, scan_roster, stage_archives, unreadable
 
 
 class EmptyResultError(RuntimeError):
@@ -37,12 +37,14 @@ def unify(spark: SparkSession, raw_dir: str, out_dir: str, settings: Settings |
     output reads only its columns of that.
     """
     settings = settings or Settings()
-    scratch = scratch_path(spark, "classified")
+    scratch, staged = scratch_path(spark, "classified"), None
     try:
-        classified(scan_all(spark, raw_dir, settings), settings).write.parquet(scratch)
+        staged = stage_archives(spark, raw_dir, settings)
+        classified(scan_all(spark, raw_dir, settings, staged=staged), settings).write.parquet(scratch)
         return _outputs(spark, raw_dir, out_dir, settings, spark.read.parquet(scratch))
     finally:
-        discard(spark, scratch)
+        for path in filter(None, (scratch, staged)):
+            discard(spark, path)
 
 
 def _outputs(spark: SparkSession, raw_dir: str, out_dir: str, settings: Settings, scanned: DataFrame) -> UnifyOutputs:

@@ -310,6 +310,8 @@ FROM (SELECT *, epoch(next_ts) - epoch(curr_ts) < 604800 AS near FROM l WHERE ne
     "q30_sinks_roundtrip": _A + f"SELECT {_UNIFIED_COLUMNS}, CASE WHEN geom_kind = 'box' THEN cy + half END AS ymax,"
     " CASE WHEN geom_kind = 'box' THEN cx - half END AS xmin, 4326 AS srid FROM u",
 }
+for _name in ("q38_staged_archives", "q39_split_files"):  # the same records, read in other pieces
+    ORACLES[_name] = ORACLES["q29_shapefile_roundtrip"]
 # the file of refused records keeps every column
 ORACLES["q30_rejects_roundtrip"] = ORACLES["q07_rejects_no_id"]
 

@@ -26,7 +26,7 @@ from perimetry.sinks.outputs import (
     read_in_order, read_rejects, read_unified, with_geom, write_by_priority, write_rejects, write_unified,
 )
 from perimetry.sources.files import open_fs
-from perimetry.sources.perimeters import readable, scan_all
+from perimetry.sources.perimeters import readable, scan_all, stage_archives
 
 # Source field name (ten characters at most) of each normalized column.
 FIELDS = {
@@ -73,9 +73,9 @@ def shapefile_parts(attributes: dict[str, list[str | None]], shapes: list[list[n
     }
 
 
-def _write_archives(raw_dir: str, folders: dict[str, str]):
-    """Task body: each batch becomes one zipped shapefile per source. Names depend only on the
-    partition and batch, so a repeated task writes the same files again."""
+def _write_files(raw_dir: str, folders: dict[str, str], members: int, packed: bool):
+    """Task body: each batch becomes one archive or folder per source, of ``members`` shapefiles. Names depend
+    only on the partition and batch, so a repeated task writes the same files again."""
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         system, root = open_fs(raw_dir)
@@ -83,22 +83,39 @@ def _write_archives(raw_dir: str, folders: dict[str, str]):
         part = TaskContext.get().partitionId()
         for number, batch in enumerate(batches):
             for source, rows in batch.groupby("source_dataset"):
-                texts = {
-                    field: [None if pd.isna(v) else v for v in rows[column]] for column, field in FIELDS.items()
+                name = f"{root}/{folders[source]}{part:05d}_{number:05d}"
+                step = max(1, -(-len(rows) // members))
+                files = {
+                    f"Perimeters{start // step or ''}{suffix}": content
+                    for start in range(0, len(rows), step)
+                    for suffix, content in _parts(rows[start : start + step]).items()
                 }
-                shapes = [_rings(r) for r in rows.itertuples()]
-                packed = io.BytesIO()
-                with zipfile.ZipFile(packed, "w") as archive:
-                    for suffix, content in shapefile_parts(texts, shapes).items():
-                        archive.writestr(f"Perimeters{suffix}", content)
-                name = f"{folders[source]}{part:05d}_{number:05d}.zip"
-                with system.open_output_stream(f"{root}/{name}") as out:
-                    out.write(packed.getvalue())
+                if packed:
+                    with system.open_output_stream(f"{name}.zip") as out:
+                        out.write(_zipped(files))
+                    continue
+                system.create_dir(name)
+                for file, content in files.items():
+                    with system.open_output_stream(f"{name}/{file}") as out:
+                        out.write(content)
             yield pd.DataFrame({"records": [len(batch)]})
 
     return write
 
 
+def _parts(rows: pd.DataFrame) -> dict[str, bytes]:
+    texts = {field: [None if pd.isna(v) else v for v in rows[column]] for column, field in FIELDS.items()}
+    return shapefile_parts(texts, [_rings(r) for r in rows.itertuples()])
+
+
+def _zipped(files: dict[str, bytes]) -> bytes:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for name, content in files.items():
+            archive.writestr(name, content)
+    return packed.getvalue()
+
+
 def _rings(row) -> list[np.ndarray] | None:
     if row.geom_kind == "null":
         return None
@@ -110,8 +127,8 @@ def _rings(row) -> list[np.ndarray] | None:
     return [np.array([box[i] for i in order])]
 
 
-def _raw_files(spark: SparkSession, sf_dir: str) -> str:
-    """The adapter as zipped shapefiles of the five sources; unlisted ones become the last source."""
+def _raw_files(spark: SparkSession, sf_dir: str, members: int = 1, packed: bool = True) -> str:
+    """The adapter as shapefiles of the five sources, zipped or not; unlisted ones become the last source."""
     raw_dir = scratch_path(spark, "raw")
     last = SOURCES[-1].name
     known = [s.name for s in SOURCES[:-1]]
@@ -119,13 +136,31 @@ def _raw_files(spark: SparkSession, sf_dir: str) -> str:
         "source_dataset", F.when(F.col("source_dataset").isin(known), F.col("source_dataset")).otherwise(last)
     )
     folders = {s.name: s.pattern.rstrip("*") for s in SOURCES}
-    rows.mapInPandas(_write_archives(raw_dir, folders), "records bigint").write.format("noop").mode("overwrite").save()
+    rows.mapInPandas(_write_files(raw_dir, folders, members, packed), "records bigint").write.format("noop").mode("overwrite").save()
     return raw_dir
 
 
 def q29_shapefile_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The adapter as zipped shapefiles of the five sources, scanned by the shapefile reader."""
-    records = readable(written(scan_all(spark, _raw_files(spark, sf_dir), SETTINGS), "scanned"))
+    return _scanned(written(scan_all(spark, _raw_files(spark, sf_dir), SETTINGS), "scanned"))
+
+
+def q38_staged_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As q29, from archives of two shapefiles that are staged first and then read in pieces of 64 KB."""
+    raw_dir = _raw_files(spark, sf_dir, members=2)
+    settings = replace(SETTINGS, split_bytes=1 << 16)
+    staged = stage_archives(spark, raw_dir, replace(settings, split_bytes=0))
+    return _scanned(written(scan_all(spark, raw_dir, settings, staged=staged), "scanned"))
+
+
+def q39_split_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As q29, from folders of two unpacked shapefiles that are read in pieces of 64 KB."""
+    raw_dir = _raw_files(spark, sf_dir, members=2, packed=False)
+    return _scanned(written(scan_all(spark, raw_dir, replace(SETTINGS, split_bytes=1 << 16)), "scanned"))
+
+
+def _scanned(rows: DataFrame) -> DataFrame:
+    records = readable(rows)
     x = F.expr("flatten(flatten(geom)).x")
     return records.select(
         "source_dataset", *[c for c in TEXT_COLUMNS if c != "state"],

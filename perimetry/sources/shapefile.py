@@ -9,8 +9,9 @@
 The path's direct sub-folders and ``*.zip`` files whose name (without ``.zip``) matches ``pattern``
 are read; an archive is skipped if it already lies unpacked beside itself. Each requested column is
 resolved file by file to the first alias the file has, and only those attributes are decoded. All
-attributes come as text. An unpacked file is split by record ranges through its ``.shx``; an archive
-is streamed, member by member, without unpacking it to disk.
+attributes come as text. An unpacked file is split by record ranges through its ``.shx``. An archive
+that ``archives.stage`` has staged (option ``staged``) is split in the same way; any other is streamed by one
+task, member by member, without unpacking it to disk.
 
 An unreadable file gives one row with its ``error`` (or raises with ``mode=FAILFAST``).
 """
@@ -34,7 +35,7 @@ from perimetry.schema import GEOM, ID_COLUMNS
 from perimetry.sources.files import children, open_fs
 
 # Fixed values of the file format.
-_MAIN_HEADER = 100
+MAIN_HEADER = 100
 _FILE_CODE = 9994
 _POLYGONS = (5, 15, 25)
 _NO_SHAPE = 0
@@ -44,19 +45,26 @@ _MOST_FILES, _MOST_RECORDS = 1 << 24, 1 << 32
 
 _BATCH_RECORDS = 1024
 _BATCH_BYTES = 32 << 20
-_SPLIT_BYTES = 128 << 20
+SPLIT_BYTES = 128 << 20
+UNREADABLE = "_unreadable"  # holds the reason in the folder of a staged archive
 
 _POINT = pa.struct([("x", pa.float64()), ("y", pa.float64())])
 
 
 @dataclass
 class _Range(InputPartition):
-    """Records ``start`` to ``stop`` of an unpacked file, or a whole archive (``stop`` = -1)."""
+    """Records ``start`` to ``stop`` of an unpacked file, or a whole archive (``stop`` = -1).
+
+    ``staged`` is the staged copy that is read in place of an archive's member; ``first`` is the number of records
+    in the members before it, as an archive counts its records through.
+    """
 
     path: str
     file_no: int
     start: int
     stop: int
+    staged: str | None = None
+    first: int = 0
 
 
 def _newer(archive, folder) -> bool:
@@ -188,6 +196,23 @@ def geometry_array(shapes: list[list[list[np.ndarray]] | None]) -> pa.Array:
     )
 
 
+def selected(entries: list, pattern: str) -> list[tuple]:
+    """(entry, whether it is an archive) of the folders and archives to read, in reading order."""
+    folders = {e.base_name: e for e in entries if not e.is_file}
+    archives = {e.base_name.removesuffix(".zip"): e for e in entries if e.is_file and e.base_name.endswith(".zip")}
+    found = []
+    for entry in entries:
+        stem = entry.base_name.removesuffix(".zip")
+        archive = entry is archives.get(stem)
+        if not (archive or not entry.is_file) or not fnmatch.fnmatchcase(stem, pattern):
+            continue
+        # an archive replaces a folder of its name that is older, as unpacking it would
+        if stem in archives and stem in folders and archive != _newer(archives[stem], folders[stem]):
+            continue
+        found.append((entry, archive))
+    return found
+
+
 class ShapefileSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -212,41 +237,46 @@ class ShapefileReader(DataSourceReader):
         self.names = AliasIndex(wanted, exact=options.get("match", "normalized") == "exact")
         self.fail_fast = options.get("mode", "PERMISSIVE").upper() == "FAILFAST"
         self.nad83 = options.get("nad83_as_wgs84", "true").lower() == "true"
-        self.split_bytes = int(options.get("split_bytes", _SPLIT_BYTES))
+        self.split_bytes = max(1, int(options.get("split_bytes", SPLIT_BYTES)))
+        self.staged = options.get("staged") or None
 
     # On the driver: only listings are looked at, never file contents.
     def partitions(self) -> list[_Range]:
         system, root = open_fs(self.root)
-        entries = children(system, root)
-        folders = {e.base_name: e for e in entries if not e.is_file}
-        archives = {e.base_name.removesuffix(".zip"): e for e in entries if e.is_file and e.base_name.endswith(".zip")}
         ranges: list[_Range] = []
         file_no = 0
-        for entry in entries:
-            stem = entry.base_name.removesuffix(".zip")
-            archive = entry is archives.get(stem)
-            if not (archive or not entry.is_file) or not fnmatch.fnmatchcase(stem, self.pattern):
-                continue
-            # an archive replaces a folder of its name that is older, as unpacking it would
-            if stem in archives and stem in folders and archive != _newer(archives[stem], folders[stem]):
-                continue
+        for entry, archive in selected(children(system, root), self.pattern):
             if archive:
-                ranges.append(_Range(entry.path, file_no, 0, -1))
+                ranges += self._staged_ranges(entry, file_no) or [_Range(entry.path, file_no, 0, -1)]
                 file_no += 1
                 continue
-            inside = children(system, entry.path)
-            sizes = {e.path: e.size for e in inside}
-            for path in (e.path for e in inside if e.is_file and e.path.endswith(".shp")):
-                records = max(0, (sizes.get(path[:-4] + ".shx", 0) - _MAIN_HEADER) // 8)
-                pieces = max(1, -(-sizes[path] // self.split_bytes))
-                step = max(1, -(-records // pieces))
-                starts = range(0, max(records, 1), step)
-                ranges += [_Range(path, file_no, a, min(a + step, records)) for a in starts]
+            for path, size, records in _shapes_in(children(system, entry.path)):
+                ranges += [_Range(path, file_no, a, b) for a, b in self._pieces(size, records)]
                 file_no += 1
         if file_no > _MOST_FILES or any(r.stop > _MOST_RECORDS for r in ranges):
             raise ValueError(f"{self.root}: record numbers hold {_MOST_FILES} files of {_MOST_RECORDS} records")
         return ranges or [_Range("", 0, 0, 0)]
 
+    def _pieces(self, size: int, records: int) -> list[tuple[int, int]]:
+        pieces = max(1, -(-size // self.split_bytes))
+        step = max(1, -(-records // pieces))
+        return [(a, min(a + step, records)) for a in range(0, max(records, 1), step)]
+
+    def _staged_ranges(self, archive, file_no: int) -> list[_Range]:
+        """Ranges of an archive's staged members; none if it was not staged."""
+        if not self.staged:
+            return []
+        system, root = open_fs(self.staged)
+        inside = children(system, f"{root}/{archive.base_name}")
+        failed = [e.path for e in inside if e.base_name == UNREADABLE]
+        if failed:
+            return [_Range(archive.path, file_no, 0, 0, failed[0])]
+        ranges, first = [], 0
+        for path, size, records in _shapes_in(inside):
+            ranges += [_Range(archive.path, file_no, a, b, path, first) for a, b in self._pieces(size, records)]
+            first += records
+        return ranges
+
     # In a task.
     def read(self, partition: _Range) -> Iterator[pa.RecordBatch]:
         if not partition.path:
@@ -263,7 +293,7 @@ class ShapefileReader(DataSourceReader):
 
     def _error(self, partition: _Range, text: str) -> pa.RecordBatch:
         nothing = {c: [None] for c in self.columns}
-        return self._batch(nothing, [None], partition, np.array([partition.start]), None, text)
+        return self._batch(nothing, [None], partition, np.array([partition.first + partition.start]), None, text)
 
     def _batch(self, texts, shapes, partition, record_no, srid, error=None) -> pa.RecordBatch:
         n = len(shapes)
@@ -293,8 +323,10 @@ class ShapefileReader(DataSourceReader):
         return self._batch(texts, shapes, partition, first + alive, srid)
 
     def _read_range(self, partition: _Range) -> Iterator[pa.RecordBatch]:
-        system, _ = open_fs(self.root)
-        base = partition.path[:-4]
+        system, _ = open_fs(self.staged if partition.staged else self.root)
+        if partition.staged and partition.staged.endswith(f"/{UNREADABLE}"):
+            raise UnsupportedFile(system.open_input_file(partition.staged).read().decode("utf-8", "replace"))
+        base = (partition.staged or partition.path)[:-4]
 
         def text(suffix: str) -> str | None:
             if not system.get_file_info(base + suffix).is_file:
@@ -306,20 +338,20 @@ class ShapefileReader(DataSourceReader):
             system.open_input_file(base + ".shx") as shx,
             system.open_input_file(base + ".dbf") as dbf,
         ):
-            _check_main_header(shp.read(_MAIN_HEADER), shp.size())
+            check_main_header(shp.read(MAIN_HEADER), shp.size())
             table = _Attributes(dbf, _encoding(text(".cpg")))
-            total = (shx.size() - _MAIN_HEADER) // 8
+            total = (shx.size() - MAIN_HEADER) // 8
             if table.records != total or dbf.size() < table.begin + total * table.width:
                 raise UnsupportedFile("attribute table and shapes differ in length")
             srid, fields = srid_of(text(".prj"), self.nad83), self._resolve(table)
-            shx.seek(_MAIN_HEADER + 8 * partition.start)
+            shx.seek(MAIN_HEADER + 8 * partition.start)
             index = np.frombuffer(shx.read(8 * (partition.stop - partition.start)), ">i4")
             offset, size = index.reshape(-1, 2).astype(np.int64).T * 2
             dbf.seek(table.begin + partition.start * table.width)
             for a, b in _batches(size):
                 contents = _contents(shp, offset[a:b], size[a:b])
                 rows = table.read(b - a)
-                yield self._decode(table, fields, rows, contents, partition, partition.start + a, srid)
+                yield self._decode(table, fields, rows, contents, partition, partition.first + partition.start + a, srid)
 
     def _read_archive(self, partition: _Range) -> Iterator[pa.RecordBatch]:
         system, _ = open_fs(self.root)
@@ -336,8 +368,8 @@ class ShapefileReader(DataSourceReader):
 
                 srid = srid_of(text(".prj"), self.nad83)
                 with archive.open(shape_name) as shp, archive.open(base + ".dbf") as dbf:
-                    header = shp.read(_MAIN_HEADER)
-                    _check_main_header(header, archive.getinfo(shape_name).file_size)
+                    header = shp.read(MAIN_HEADER)
+                    check_main_header(header, archive.getinfo(shape_name).file_size)
                     table = _Attributes(dbf, _encoding(text(".cpg")))
                     fields = self._resolve(table)
                     for contents in _stream_records(shp, table.records):
@@ -346,6 +378,15 @@ class ShapefileReader(DataSourceReader):
                         first += len(contents)
 
 
+def _shapes_in(inside: list) -> list[tuple[str, int, int]]:
+    """(path, bytes, records by the index) of the shapefiles in a folder's listing."""
+    sizes = {e.path: e.size for e in inside if e.is_file}
+    return [
+        (path, size, max(0, (sizes.get(path[:-4] + ".shx", 0) - MAIN_HEADER) // 8))
+        for path, size in sizes.items() if path.endswith(".shp")
+    ]
+
+
 def _contents(shp, offset: np.ndarray, size: np.ndarray) -> list[bytes]:
     """The records of a batch. They lie next to each other, so one read gets all of them; only a file that
     scatters them is read record by record."""
@@ -361,8 +402,8 @@ def _encoding(cpg: str | None) -> str:
     return "utf-8" if name in ("utf-8", "utf8", "65001") else "latin-1"
 
 
-def _check_main_header(header: bytes, size: int) -> None:
-    if len(header) < _MAIN_HEADER or struct.unpack_from(">i", header)[0] != _FILE_CODE:
+def check_main_header(header: bytes, size: int) -> None:
+    if len(header) < MAIN_HEADER or struct.unpack_from(">i", header)[0] != _FILE_CODE:
         raise UnsupportedFile("not a shapefile")
     if struct.unpack_from(">i", header, 24)[0] * 2 > size:
         raise UnsupportedFile("shapefile is cut off")

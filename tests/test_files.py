@@ -15,10 +15,10 @@ import pytest
 
 from perimetry.config import Settings, SourceSpec
 from perimetry.plans import jobs
-from perimetry.plans.storage import release, shared_dir, written
+from perimetry.plans.storage import discard, release, shared_dir, written
 from perimetry.queries.roundtrips import WGS84, shapefile_parts
 from perimetry.sinks.outputs import read_rejects, read_unified, with_geom, write_rejects
-from perimetry.sources.perimeters import readable, scan, scan_all, unreadable
+from perimetry.sources.perimeters import readable, scan, scan_all, stage_archives, unreadable
 from perimetry.sources.shapefile import ShapefileReader, ShapefileSource, _contents, polygons_of, srid_of, UnsupportedFile
 
 HISTORY = "InterAgencyFirePerimeterHistory_"
@@ -313,6 +313,71 @@ def test_rejects_keep_their_data(spark, tmp_path):
     assert set(table["b"]) >= {'say "hi"', "two\nlines", " F-7 "}
 
 
+def _two_members(raw, name, n=400):
+    first, second = simple(n), simple(n, n)
+    put(raw.parent / name, *first, name="A", shx=None)  # the archive's own index is not needed
+    put(raw.parent / name, *second, name="B")
+    raw.mkdir(exist_ok=True)
+    pack(raw.parent / name, raw / f"{GEOMAC}{name}.zip")
+
+
+def test_a_staged_archive_reads_in_pieces_as_a_streamed_one(spark, tmp_path):
+    raw = tmp_path / "raw"
+    _two_members(raw, "1")
+    put(tmp_path / "z", *simple(3, 5000))
+    pack(tmp_path / "z", raw / f"{GEOMAC}2.zip")
+    small = Settings(max_year=2027, split_bytes=8 << 10)
+    staged = stage_archives(spark, str(raw), small)
+    columns = ["incident_id_raw", "incident_name", "fire_year", "perimeter_date_raw", "row_id", "srid", "file", "error", "geom"]
+    pieces = scan(spark, str(raw), SETTINGS.sources[0], 0, small, staged=staged).select(columns)
+    whole = scan(spark, str(raw), SETTINGS.sources[0], 0, small).select(columns)
+    assert sorted(map(str, pieces.collect())) == sorted(map(str, whole.collect()))
+    assert pieces.count() == 803 and whole.rdd.getNumPartitions() == 2 and pieces.rdd.getNumPartitions() > 10
+    assert [Path(p).name for p in glob(f"{staged}/*")] == [f"{GEOMAC}1.zip"]  # the small one is streamed
+    assert not glob(f"{staged}/*/*.part")
+    assert stage_archives(spark, str(raw), SETTINGS) is None
+    discard(spark, staged)
+
+
+def test_staged_archives_report_what_is_wrong_with_them(spark, tmp_path):
+    raw = tmp_path / "raw"
+    _two_members(raw, "1", 20)
+    (raw / f"{GEOMAC}2.zip").write_bytes(b"no archive")
+    put(tmp_path / "cut", *simple(3, 50), shp=shapefile_parts(*simple(3))[".shp"][:-20])
+    pack(tmp_path / "cut", raw / f"{GEOMAC}3.zip")
+    put(tmp_path / "damaged", *simple(300, 60))
+    pack(tmp_path / "damaged", raw / f"{GEOMAC}4.zip")
+    body = bytearray((raw / f"{GEOMAC}4.zip").read_bytes())
+    body[200:260] = bytes(60)
+    (raw / f"{GEOMAC}4.zip").write_bytes(bytes(body))
+    put(tmp_path / "bare", *simple(3, 70), dbf=None)
+    pack(tmp_path / "bare", raw / f"{GEOMAC}5.zip")
+    longer = bytearray(shapefile_parts(*simple(3))[".shp"])
+    longer[104:108] = struct.pack(">i", 1 << 20)
+    put(tmp_path / "longer", *simple(3, 80), shp=bytes(longer))
+    pack(tmp_path / "longer", raw / f"{GEOMAC}6.zip")
+    staged = stage_archives(spark, str(raw), Settings(split_bytes=0))
+    rows = scan(spark, str(raw), SETTINGS.sources[0], 0, SETTINGS, staged=staged)
+    assert sorted(r.incident_id_raw for r in readable(rows).collect()) == sorted(f"f{i}" for i in range(40))
+    assert sorted(Path(r.file).stem[len(GEOMAC):] for r in unreadable(rows).collect()) == list("23456")
+    with pytest.raises(Exception):
+        scan(spark, str(raw), SETTINGS.sources[0], 0, SETTINGS, mode="FAILFAST", staged=staged).collect()
+    discard(spark, staged)
+
+
+def test_the_unify_job_stages_large_archives(spark, tmp_path):
+    raw = tmp_path / "raw"
+    _two_members(raw, "1", 30)
+    before = set(glob(f"{shared_dir(spark)}/perimetry/*"))
+    tables = [
+        jobs.unify(spark, str(raw), str(tmp_path / f"out{size}"), Settings(max_year=2027, split_bytes=size)).table
+        for size in (1, 1 << 30)
+    ]
+    found = [sorted(map(str, read_unified(spark, t).select("incident_id", "row_id", "geometry").collect())) for t in tables]
+    assert found[0] == found[1] and len(found[0]) == 60
+    assert not [p for p in set(glob(f"{shared_dir(spark)}/perimetry/*")) - before if "archives" in p]
+
+
 def test_a_newer_archive_replaces_a_folder(spark, tmp_path):
     pack(put(tmp_path / "Set_1", {"uniquefire": ["a"]}, [[box(0, 0)]]), tmp_path / "Set_1.zip")
     reader = ShapefileReader({"path": str(tmp_path), "pattern": "Set_*", "columns": "uniquefire"})
