@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perimetry.config import Settings
@@ -73,14 +73,18 @@ def reason_counts(df: DataFrame) -> DataFrame:
     )
 
 
-def quality_stats(df: DataFrame) -> DataFrame:
-    """One row of counters over the records that have an identifier."""
+def quality_counters() -> list[Column]:
+    """Aggregates over classified records: those with an identifier, by what became of them."""
     reason = F.col("reject_reason")
-    identified = F.col("id_type") != NO_ID
-    return df.agg(
-        F.count_if(identified).alias("total_input"),
+    return [
+        F.count_if(F.col("id_type") != NO_ID).alias("total_input"),
         F.count_if(reason.startswith("missing_")).alias("missing_required_fields"),
         F.count_if(reason == "invalid_date").alias("invalid_dates"),
         F.count_if(reason == "invalid_geometry").alias("invalid_geometry"),
         F.count_if(reason.isNull()).alias("passed"),
-    )
+    ]
+
+
+def quality_stats(df: DataFrame) -> DataFrame:
+    """One row of counters over the records that have an identifier."""
+    return df.agg(*quality_counters())

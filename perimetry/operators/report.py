@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from perimetry.config import SourceSpec
-from perimetry.operators.quality import quality_stats
+from perimetry.operators.quality import quality_counters
 
 
 def dataset_counts(normalized: DataFrame) -> DataFrame:
@@ -70,15 +70,30 @@ def overall_stats(unified: DataFrame) -> DataFrame:
     )
 
 
-def dataset_report(normalized: DataFrame, sources: Sequence[SourceSpec]) -> DataFrame:
-    """One row: dataset key -> (raw_count, source), only for datasets with records."""
+_COUNTERS = ("total_input", "missing_required_fields", "invalid_dates", "invalid_geometry", "passed", "years_filled")
+
+
+def classified_stats(classified: DataFrame, sources: Sequence[SourceSpec]) -> DataFrame:
+    """One row over the classified records, which are read once: the counters, identifier type -> records, and
+    dataset key -> (raw_count, source) of the datasets with records.
+
+    Records shrink to one row per (source, identifier type); the rest works on those few rows.
+    """
+    few = classified.groupBy("source_dataset", "id_type").agg(
+        F.count("*").alias("records"), *quality_counters(), F.count_if("year_filled").alias("years_filled")
+    )
+    kinds = few.groupingSets([["source_dataset"], ["id_type"]], "source_dataset", "id_type").agg(
+        F.grouping("id_type").alias("_by_source"), *[F.sum(c).alias(c) for c in ("records", *_COUNTERS)]
+    )
+    by_source = F.col("_by_source") == 1
     keys = F.create_map(*[F.lit(v) for s in sources for v in (s.name, s.key)])
-    entry = F.struct(
-        F.coalesce(F.try_element_at(keys, F.col("source_dataset")), F.col("source_dataset")).alias("key"),
-        F.struct("raw_count", F.col("source_dataset").alias("source")).alias("value"),
+    key = F.coalesce(F.try_element_at(keys, F.col("source_dataset")), F.col("source_dataset"))
+    dataset = F.struct(key.alias("key"), F.struct(F.col("records").alias("raw_count"), F.col("source_dataset").alias("source")).alias("value"))
+    return kinds.agg(
+        F.map_from_entries(F.collect_list(F.when(by_source, dataset))).alias("datasets"),
+        F.map_from_entries(F.collect_list(F.when(~by_source, F.struct("id_type", "records")))).alias("id_types"),
+        *[F.coalesce(F.sum(F.when(by_source, F.col(c))), F.lit(0)).alias(c) for c in _COUNTERS],
     )
-    # one entry per source name, not per record
-    return dataset_counts(normalized).agg(F.map_from_entries(F.collect_list(entry)).alias("datasets"))
 
 
 def merge_rows(*rows: DataFrame) -> DataFrame:
@@ -90,17 +105,8 @@ def merge_rows(*rows: DataFrame) -> DataFrame:
 def processing_report(
     classified: DataFrame, unified: DataFrame, sources: Sequence[SourceSpec]
 ) -> DataFrame:
-    """The nested one-row report of the unify job."""
-    ids = classified.groupBy("id_type").agg(F.count("*").alias("records")).agg(
-        F.map_from_entries(F.collect_list(F.struct("id_type", "records"))).alias("id_types")
-    )
-    row = merge_rows(
-        overall_stats(unified),
-        quality_stats(classified),
-        ids,
-        classified.agg(F.count_if("year_filled").alias("years_filled")),
-        dataset_report(classified, sources),
-    )
+    """The nested one-row report of the unify job. Each of the two tables is read once."""
+    row = merge_rows(overall_stats(unified), classified_stats(classified, sources))
     # fixed values: the field names of the report
     overall = F.struct(
         "total_records",

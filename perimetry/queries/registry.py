@@ -203,7 +203,8 @@ def q13_id_type_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q14_overall_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = written(_classified(spark, sf_dir).drop("geom"), "classified")
     no_shapes = rows.withColumn("geom", F.lit(None).cast(GEOM))  # the duplicate key needs the centroid alone
-    whole = report.processing_report(rows, unified(no_shapes, SETTINGS), SETTINGS.sources)
+    kept = written(unified(no_shapes, SETTINGS).select("incident_id", "perimeter_date", "fire_year"), "kept")
+    whole = report.processing_report(rows, kept, SETTINGS.sources)
     return whole.select(
         "overall.total_records", "overall.unique_incidents",
         F.col("overall.date_range.min").alias("min_date"), F.col("overall.date_range.max").alias("max_date"),

@@ -11,6 +11,7 @@ from perimetry.functions.dates import with_parsed_date
 from perimetry.functions.text import canonical_year, normalize_name, plain_name, to_number
 from perimetry.operators import dedup, identity, quality, report, roster
 from perimetry.operators.fields import AliasIndex, normalize, union_all
+from perimetry.plans.storage import release, written
 from perimetry.plans.unify import classified, unified
 from perimetry.schema import NORMALIZED_DDL, OUTPUT_COLUMNS, TEXT_COLUMNS
 
@@ -218,6 +219,16 @@ def test_reports(spark):
     assert shares == {"formal": 66.7, "none": 33.3}
 
 
+def test_the_report_reads_each_table_once(spark):
+    c = written(classified(records(spark, [{"incident_id_raw": "A"}, {"incident_id_raw": None}]), SETTINGS), "classified")
+    kept = written(unified(c, SETTINGS).drop("geom"), "kept")
+    whole = report.processing_report(c, kept, SETTINGS.sources)
+    plan = whole._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2
+    assert whole.first().overall.quality_filter_stats.total_input == 1
+    release(spark)
+
+
 def test_report_of_nothing(spark):
     c = classified(union_all(spark, []), SETTINGS)
     overall = report.processing_report(c, unified(c, SETTINGS), SETTINGS.sources).first().overall
