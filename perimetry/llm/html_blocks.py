@@ -3,7 +3,9 @@
 Method. A page becomes a flat list of text blocks, cut at block-level tags. A block is described by its
 word count and link density, those of the blocks before and after it, and by where it stands (inside an
 article, inside a page part made for navigation or notices, heading). A decision tree decides which
-blocks are main text; it is trained, by Gini impurity, on the small labelled table below.
+blocks are main text; it is trained, by Gini impurity, on the small labelled table below. Where a page tells by its
+tags or names which part is its article, the tree follows them; word counts and link density decide the rest, and
+everything on pages that tell nothing.
 
 Everything happens within one page, so pages are rows of a map and nothing is shuffled.
 """
@@ -14,6 +16,7 @@ import heapq
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -89,17 +92,38 @@ def _tag(token: re.Match) -> tuple[str, bool]:
     return (token[3] or token[6] or "").lower(), bool(token[2] or token[5])
 
 
-def _opened(open_: list[str], name: str) -> int | None:
-    """Depth of the innermost open element of that name."""
-    return next((d for d in range(len(open_) - 1, -1, -1) if open_[d] == name), None)
+class _Open(list):
+    """Names of the open elements, outermost first. An end tag without a start tag costs nothing, and one with it
+    looks only at elements that it closes, so any page takes time in proportion to its length."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.number: Counter[str] = Counter()
+
+    def push(self, name: str) -> None:
+        self.append(name)
+        self.number[name] += 1
+
+    def innermost(self, name: str) -> int | None:
+        """Depth of the innermost open element of that name."""
+        if not self.number[name]:
+            return None
+        depth = len(self) - 1
+        while self[depth] != name:
+            depth -= 1
+        return depth
+
+    def cut(self, depth: int) -> None:
+        """Close the elements from that depth on."""
+        while len(self) > depth:
+            self.number[self.pop()] -= 1
 
 
 def _hidden(tokens: list[re.Match]) -> dict[int, int]:
     """Start tags of ``_HIDDEN`` elements that have an end tag of their own, with its place. An element that is
     still open where the one around it ends has none."""
     found: dict[int, int] = {}
-    open_: list[str] = []
-    places: list[int] = []
+    open_, places = _Open(), []
     if not any(_tag(t)[0] in _HIDDEN for t in tokens):
         return found
     for place, token in enumerate(tokens):
@@ -107,13 +131,14 @@ def _hidden(tokens: list[re.Match]) -> dict[int, int]:
         if name not in _HIDDEN and name not in _BLOCK or name in _VOID:
             continue
         if closing:
-            depth = _opened(open_, name)
+            depth = open_.innermost(name)
             if depth is not None:
                 if name in _HIDDEN:
                     found[places[depth]] = place
-                del open_[depth:], places[depth:]
+                open_.cut(depth)
+                del places[depth:]
         elif name != "svg" or not (token[4] or "").endswith("/"):
-            open_.append(name)
+            open_.push(name)
             places.append(place)
     return found
 
@@ -161,7 +186,7 @@ def _wrappers(page: str, tokens: list[re.Match], hidden: dict[int, int]) -> set[
     """
     found: list[_Part] = []
     free = _Part(-1, None, True, False, False, 0)  # the page outside marked parts
-    open_: list[str] = []
+    open_ = _Open()
     held: list[tuple[_Part, int | None]] = []  # innermost marked part; place if it is a main part
     chars = at = resume = 0
 
@@ -172,7 +197,8 @@ def _wrappers(page: str, tokens: list[re.Match], hidden: dict[int, int]) -> set[
                 part.end, part.size = place, chars - part.before
             if article is not None:
                 part.first, part.last = min(part.first, place), max(part.last, article)
-        del open_[depth:], held[depth:]
+        open_.cut(depth)
+        del held[depth:]
 
     for place, token in enumerate(tokens):
         if place < resume:
@@ -187,7 +213,7 @@ def _wrappers(page: str, tokens: list[re.Match], hidden: dict[int, int]) -> set[
         if name not in _BLOCK or name in _VOID:
             continue
         if closing:
-            depth = _opened(open_, name)
+            depth = open_.innermost(name)
             if depth is not None:
                 close(depth, place)
             continue
@@ -204,7 +230,7 @@ def _wrappers(page: str, tokens: list[re.Match], hidden: dict[int, int]) -> set[
             outer.article |= name == "article"
             outer.named = True
             article = place
-        open_.append(name)
+        open_.push(name)
         held.append((outer, article))
     chars += len(page[at:].strip())
     close(0, len(tokens))
@@ -222,9 +248,12 @@ def _wrappers(page: str, tokens: list[re.Match], hidden: dict[int, int]) -> set[
         ):
             continue
         out.add(part.start)
-        outer = part.outer
+        outer, passed = part.outer, [part]
         while outer.start in out:
+            passed.append(outer)
             outer = outer.outer
+        for inner in passed:
+            inner.outer = outer
         outer.take(part)
         if not outer.fixed:
             heapq.heappush(waiting, (-outer.size, outer.start))
@@ -234,7 +263,8 @@ def _wrappers(page: str, tokens: list[re.Match], hidden: dict[int, int]) -> set[
 def blocks(page: str) -> list[Block]:
     """The page's text blocks in order; character references decoded, white space turned into one blank."""
     out: list[Block] = []
-    open_: list[tuple[str, bool, bool]] = []  # block-level elements: name, article, apart
+    open_ = _Open()  # block-level elements
+    marks: list[tuple[bool, bool]] = []  # article, apart of each
     parts: list[str] = []
     linked: list[str] = []
     links, heading = 0, False
@@ -244,23 +274,23 @@ def blocks(page: str) -> list[Block]:
         text = _BLANK.sub(" ", html.unescape("".join(parts))).strip()
         if text:
             in_links = html.unescape(" ".join(linked)).split()
-            _, article, apart = open_[-1] if open_ else ("", False, False)
+            article, apart = marks[-1] if marks else (False, False)
             out.append(Block(text, len(text.split()), min(len(in_links), len(text.split())), heading, article, apart))
         parts.clear()
         linked.clear()
 
     def enter(name: str, attributes: str, wraps: bool) -> None:
-        article, apart = (open_[-1][1], open_[-1][2]) if open_ else (False, False)
+        article, apart = marks[-1] if marks else (False, False)
         main, against = _marks(name, attributes)
         if not wraps and (name in _APART or (name == "header" and not article) or against):
             apart = True
-        open_.append((name, article or main, apart))
+        open_.push(name)
+        marks.append((article or main, apart))
 
-    def leave(name: str) -> None:
-        for depth in range(len(open_) - 1, -1, -1):
-            if open_[depth][0] == name:
-                del open_[depth:]
-                return
+    def leave(depth: int | None) -> None:
+        if depth is not None:
+            open_.cut(depth)
+            del marks[depth:]
 
     at, resume = 0, 0
     tokens = list(_TOKEN.finditer(page))
@@ -289,11 +319,11 @@ def blocks(page: str) -> list[Block]:
         elif name in _BLOCK:
             end()
             if closing:
-                leave(name)
+                leave(open_.innermost(name))
                 heading = heading and name not in _HEADINGS
             else:
-                while open_ and name in _OWN_CLOSERS.get(open_[-1][0], ()):
-                    open_.pop()
+                while open_ and name in _OWN_CLOSERS.get(open_[-1], ()):
+                    leave(len(open_) - 1)
                 heading = name in _HEADINGS
                 links = 0
                 if name not in _VOID:
@@ -406,7 +436,8 @@ def extract(
 
     Null and empty pages and pages without main text have an empty text. Unclosed comments and
     raw text (scripts, styles, text areas, frames) run to the end of the page; an unclosed video, select or
-    the like holds nothing; a cut-off tag at the end is dropped. Repeated rows give repeated
+    the like holds nothing; a cut-off tag at the end is dropped. Long pages are read whole, in time proportional to
+    their length, one page at a time. Repeated rows give repeated
     rows, an empty table an empty result; other columns are not read.
     """
     tree = tree or trained()

@@ -2,7 +2,11 @@
 
 import hashlib
 import random
+import re
+import time
+from collections import Counter
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -122,6 +126,34 @@ def test_html_cases(spark):
     assert (html_blocks.trained().decide(table[:, :-1].astype(float)) == (table[:, -1] == 1)).mean() > 0.95
 
 
+def test_html_without_semantic_tags_or_names():
+    """Word counts and link density alone: nine tenths of the article's words stay, and little else comes."""
+    plain = re.compile(r"<(/?)(?:article|main|nav|footer|aside|header|section)\b[^>]*>", re.I)
+    named = re.compile(r"""\s(?:class|id|role)=(?:"[^"]*"|'[^']*'|[^\s>]+)""")
+    tree, words, kept, extra = html_blocks.trained(), 0, 0, 0
+    for (page,) in duckdb.sql("SELECT html FROM '/root/testdata/sf0.01/pages.parquet' WHERE html LIKE '%<article>%'").fetchall():
+        article = html_blocks.main_text(re.search("<article>.*?</article>", page, re.S)[0], tree)
+        bare = named.sub("", plain.sub(r"<\1div>", page))
+        assert not any(b.article for b in html_blocks.blocks(bare))
+        truth, found = Counter(article.split()), Counter(html_blocks.main_text(bare, tree).split())
+        both = (truth & found).total()
+        words, kept, extra = words + truth.total(), kept + both, extra + found.total() - both
+    assert words > 50_000 and kept > 0.9 * words and extra < 0.05 * words
+
+
+@pytest.mark.parametrize("page", ["<div>" * 30_000 + "x" + "</p></section>" * 30_000, "<form>" * 10_000 + "<article>words of text</article>"])
+def test_html_time_grows_with_the_page(page):
+    start = time.process_time()
+    html_blocks.main_text(page, html_blocks.trained())
+    assert time.process_time() - start < 10
+
+
+def test_html_of_an_empty_table_and_clashing_columns(spark):
+    rows = spark.createDataFrame([(1, "u", "<article><p>Some words.</p></article>", "mine", 7)], "page_id long, url string, html string, text string, n_chars long")
+    assert html_blocks.extract(rows).collect() == [(1, "u", "Some words.", 11)]
+    assert html_blocks.extract(rows.limit(0)).collect() == []
+
+
 @pytest.mark.parametrize("inner, kept", [
     ("<svg class=x/>", ""), ("<svg viewBox='0 0 1 1' />", ""), ("<math/>", ""), ("<video src=x>", ""), ("<object data=x>", ""), ("<select>", ""),
     ("<svg><svg><text>no</text></svg><text>nor this</text></svg>", ""), ("<video><p>no player</p></video>", ""),
