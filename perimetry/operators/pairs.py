@@ -1,14 +1,16 @@
 """Consecutive perimeters of an incident.
 
 Nothing here puts an incident into one task. Records first shrink to distinct (incident, moment)
-rows with partial aggregation, moments are linked within an (incident, hour), and an incident as a
-whole is only ever ordered by hour: at most one narrow row per hour of its life, whatever number of
-records it has. Geometry stays out of all of this and is joined in by
+rows with partial aggregation, moments are linked within an (incident, second), seconds within an hour, and
+an incident as a whole is only ever ordered by hour: at most a million narrow rows (the microseconds of a second),
+3,600, and one per hour of its life, whatever number of records it has. Geometry stays out of all of this and is joined in by
 ``row_id`` for the pairs that are left.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,13 +36,18 @@ def hour_number(ts: str) -> Column:
     return F.expr(f"unix_date(to_date({ts})) * 24 + hour({ts})")
 
 
+def second_number(ts: str) -> Column:
+    """Seconds since 1970 of a ``timestamp_ntz``, whatever the session zone."""
+    return F.expr(f"(unix_date(to_date({ts})) * 24L + hour({ts})) * 3600 + minute({ts}) * 60 + second({ts})")
+
+
 def moments(df: DataFrame, key: str, ts: str, row: str) -> DataFrame:
     """Distinct (incident, moment) rows with the first and last record of each; nulls are dropped."""
     return (
         df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
         .groupBy(F.col(key), F.col(ts).alias("ts"))
         .agg(F.min(row).alias("first_row"), F.max(row).alias("last_row"))
-        .withColumn("hour", hour_number("ts"))
+        .withColumns({"hour": hour_number("ts"), "second": second_number("ts")})
     )
 
 
@@ -53,23 +60,21 @@ def consecutive(
     In the order (moment, record) the last record of a moment precedes the first of the next one;
     all other neighbours share their moment and are never a pair.
     """
-    # one shuffle serves both the order within an hour and the summary of each hour
-    at = moments(df, key, ts, row).repartition(key, "hour")
-    in_hour = f"OVER (PARTITION BY `{key}`, hour ORDER BY ts)"
-    within = at.selectExpr(
-        f"`{key}`", "ts AS curr_ts", "last_row AS curr_row",
-        f"lead(ts) {in_hour} AS next_ts", f"lead(first_row) {in_hour} AS next_row",
-    )
-    hours = at.groupBy(key, "hour").agg(
-        F.expr("min(ts) AS first_ts"), F.expr("min_by(first_row, ts) AS first_row"),
-        F.expr("max(ts) AS curr_ts"), F.expr("max_by(last_row, ts) AS curr_row"),
-    )
-    by_hour = f"OVER (PARTITION BY `{key}` ORDER BY hour)"
-    across = hours.selectExpr(
-        f"`{key}`", "curr_ts", "curr_row",
-        f"lead(first_ts) {by_hour} AS next_ts", f"lead(first_row) {by_hour} AS next_row",
-    )
-    return within.unionByName(across).filter(F.col("next_row").isNotNull())
+    spans = moments(df, key, ts, row).selectExpr(
+        f"`{key}`", "hour", "second", "ts AS first_ts", "first_row", "ts AS last_ts", "last_row")
+    links = []
+    for cell in (["hour", "second"], ["hour"], []):
+        if cell:  # one shuffle serves both the order within a cell and the summary of each
+            spans = spans.repartition(key, cell[-1])
+        names = ", ".join([f"`{key}`", *cell])
+        inside = f"OVER (PARTITION BY {names} ORDER BY first_ts)"
+        links.append(spans.selectExpr(
+            f"`{key}`", "last_ts AS curr_ts", "last_row AS curr_row",
+            f"lead(first_ts) {inside} AS next_ts", f"lead(first_row) {inside} AS next_row"))
+        spans = spans.groupBy(key, *cell).agg(
+            F.expr("min_by(first_row, first_ts) AS first_row"), F.expr("min(first_ts) AS first_ts"),
+            F.expr("max_by(last_row, last_ts) AS last_row"), F.expr("max(last_ts) AS last_ts"))
+    return reduce(DataFrame.unionByName, links).filter(F.col("next_row").isNotNull())
 
 
 def elapsed_pairs(df: DataFrame, max_gap_days: int = 6, **names: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from perimetry.functions.shapes import centroid
-from perimetry.operators.pairs import hour_number
+from perimetry.operators.pairs import hour_number, second_number
 
 # Fixed value: about this many perimeters of a timeline carry a label.
 LABELS = 15
@@ -27,26 +27,26 @@ def timeline_items(pairs: DataFrame, key: str = "incident_id") -> DataFrame:
 def with_positions(items: DataFrame, key: str = "incident_id") -> DataFrame:
     """Add ``position`` from 0 and ``perimeters`` in order of ``ts``.
 
-    Items are numbered within an hour; the hours of an incident carry the running offset.
+    Items are numbered within a second; the seconds of an hour and the hours of an incident carry running offsets.
     """
-    dated = items.withColumn("hour", hour_number("ts")).repartition(key, "hour")
-    by_hour = Window.partitionBy(key).orderBy("hour")
-    hours = (
-        dated.groupBy(key, "hour").agg(F.count("*").alias("n"))
-        .withColumn("upto", F.sum("n").over(by_hour))
-        .select(
-            key,
-            "hour",
-            (F.col("upto") - F.col("n")).alias("offset"),
-            F.sum("n").over(Window.partitionBy(key)).alias("perimeters"),
-        )
+    dated = items.withColumns({"hour": hour_number("ts"), "second": second_number("ts")}).repartition(key, "second")
+    seconds = dated.groupBy(key, "hour", "second").agg(F.count("*").alias("n")).repartition(key, "hour")
+    hours = seconds.groupBy(key, "hour").agg(F.sum("n").alias("n"))
+    by_second, by_hour = Window.partitionBy(key, "hour").orderBy("second"), Window.partitionBy(key).orderBy("hour")
+    hours = hours.select(
+        key, "hour",
+        (F.sum("n").over(by_hour) - F.col("n")).alias("before_hour"),
+        F.sum("n").over(Window.partitionBy(key)).alias("perimeters"),
     )
-    in_hour = Window.partitionBy(key, "hour").orderBy("ts", "row")
-    numbered = dated.withColumn("_no", F.row_number().over(in_hour) - 1)
+    offsets = seconds.withColumn("before", F.sum("n").over(by_second) - F.col("n")).join(hours, [key, "hour"]).select(
+        key, "second", (F.col("before_hour") + F.col("before")).alias("offset"), "perimeters"
+    )
+    in_second = Window.partitionBy(key, "second").orderBy("ts", "row")
+    numbered = dated.withColumn("_no", F.row_number().over(in_second) - 1)
     return (
-        numbered.join(hours, [key, "hour"])
+        numbered.join(offsets, [key, "second"])
         .withColumn("position", F.col("offset") + F.col("_no"))
-        .drop("_no", "offset", "hour")
+        .drop("_no", "offset", "hour", "second")
     )
 
 

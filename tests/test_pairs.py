@@ -1,9 +1,11 @@
 """Pairs, funnel, sequences and timelines against plain Python over the same rows."""
 
 import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from perimetry.operators import funnel, pairs, timeline
 
@@ -66,6 +68,26 @@ def test_pairs(spark, seed):
     assert links(pairs.calendar_pairs(df)) == [e for e in expected if calendar(e[1], e[3])]
 
 
+def test_a_million_moments_of_one_incident(spark):
+    """Sub-second moments spread over tasks by the second; none is lost where seconds, hours and days meet."""
+    steps = "timestamp_ntz'2020-02-29 23:58:00' + make_dt_interval(0, 0, 0, cast(id as decimal(18, 6)) * 0.000207)"
+    df = spark.range(1_000_000).selectExpr("'a' AS incident_id", f"{steps} AS perimeter_date", "id AS row_id")
+    found = pairs.consecutive(df)
+    spans = found.agg(F.count("*"), F.count_if(F.expr("next_row = curr_row + 1")), F.countDistinct("curr_row"), F.max("next_row"))
+    assert tuple(spans.first()) == (999_999, 999_999, 999_999, 999_999)
+    placed = timeline.with_positions(timeline.timeline_items(found))
+    assert placed.filter("position != row OR perimeters != 1000000").count() == 0 and placed.count() == 1_000_000
+    for spec in re.findall(r"Window \[.*?\], \[(.*?)\], \[", found._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))):
+        assert "second" in spec or "hour" in spec or spec.count(",") == 0
+
+
+def test_moments_before_1970(spark):
+    times = [datetime(1969, 12, 31, 23, 59, 59, 5), datetime(1969, 12, 31, 23, 59, 59, 6), datetime(1970, 1, 1), datetime(1901, 5, 6, 7, 8, 9)]
+    found = pairs.consecutive(table(spark, [("a", t) for t in times]))
+    assert sorted((r.curr_ts, r.next_ts) for r in found.collect()) == list(zip(sorted(times), sorted(times)[1:]))
+
+
 def test_gap_rules_differ(spark):
     noon = datetime(2020, 1, 1, 12)
     for later, by_elapsed, by_calendar in (
