@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from perimetry.config import SOURCES
 from perimetry.queries.adapter import oracle_a
-from perimetry.queries.roundtrips import LOOKED_UP
+from perimetry.queries.roundtrips import LOOKED_UP, SOME_IDS
 
 _SHAPES = """CASE
   WHEN regexp_full_match(s, '\\d{14}') THEN try_strptime(s, '%Y%m%d%H%M%S')
@@ -371,6 +371,10 @@ ORACLES["q33_training_pairs_job"] = _with(CTES, LINKS, BOXES) + (
     f"SELECT incident_id, curr_row, next_row, {_MEET} AS overlaps, true AS both_shapes FROM b WHERE epoch(next_ts) - epoch(curr_ts) < 604800"
 )
 ORACLES["q34_incident_lookup_job"] = f"SELECT * FROM ({ORACLES['q25_timeline']}) WHERE incident_id = '{LOOKED_UP}'"
+ORACLES["q40_incident_lookups"] = _A + (
+    "SELECT row_id, incident_id, CAST(perimeter_date AS VARCHAR) AS perimeter_date, source_dataset FROM u"
+    f" WHERE incident_id IN ({', '.join(repr(i) for i in SOME_IDS)})"
+)
 ORACLES["q36_mixed_systems"] = _A + (
     "SELECT row_id, incident_id, CASE WHEN geom_kind = 'box' THEN CAST(round((cx - half) * 1024) AS BIGINT) END AS xmin,"
     " CASE WHEN geom_kind = 'box' THEN CAST(round((cy + half) * 1024) AS BIGINT) END AS ymax, 4326 AS srid FROM q WHERE reject_reason IS NULL"

@@ -364,6 +364,6 @@ QUERIES: dict[str, Query] = {
         roundtrips.q30_rejects_roundtrip, roundtrips.q31_unify_job, roundtrips.q32_unify_job_report,
         roundtrips.q33_training_pairs_job, roundtrips.q34_incident_lookup_job, q35_triangles,
         roundtrips.q36_mixed_systems, roundtrips.q37_ordered_output,
-        roundtrips.q38_staged_archives, roundtrips.q39_split_files,
+        roundtrips.q38_staged_archives, roundtrips.q39_split_files, roundtrips.q40_incident_lookups,
     )
 }

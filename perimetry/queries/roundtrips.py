@@ -37,6 +37,7 @@ FIELDS = {
 WGS84 = 'GEOGCS["GCS_WGS_1984",DATUM["D_WGS_1984",SPHEROID["WGS_1984",6378137.0,298.257223563]]]'
 
 LOOKED_UP = "GEO144"
+SOME_IDS = ("F-42", "F-42x", "GEO144", "GEO144x", "absent", "{G-19}")
 
 
 def shapefile_parts(attributes: dict[str, list[str | None]], shapes: list[list[np.ndarray] | None]) -> dict[str, bytes]:
@@ -159,6 +160,12 @@ def q39_split_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scanned(written(scan_all(spark, raw_dir, replace(SETTINGS, split_bytes=1 << 16)), "scanned"))
 
 
+def q40_incident_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several incidents, some of them absent, looked up in a stored table."""
+    found = jobs.incidents(spark, _stored(spark, sf_dir), SOME_IDS)
+    return found.select("row_id", "incident_id", F.col("perimeter_date").cast("string").alias("perimeter_date"), "source_dataset")
+
+
 def _scanned(rows: DataFrame) -> DataFrame:
     records = readable(rows)
     x = F.expr("flatten(flatten(geom)).x")

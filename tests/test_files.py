@@ -17,7 +17,9 @@ from perimetry.config import Settings, SourceSpec
 from perimetry.plans import jobs
 from perimetry.plans.storage import discard, release, shared_dir, written
 from perimetry.queries.roundtrips import WGS84, shapefile_parts
-from perimetry.sinks.outputs import read_rejects, read_unified, with_geom, write_rejects
+from perimetry.schema import GEOM
+from perimetry.sinks.outputs import read_rejects, read_unified, with_geom, write_rejects, write_unified
+from perimetry.sinks.publish import prune
 from perimetry.sources.perimeters import readable, scan, scan_all, stage_archives, unreadable
 from perimetry.sources.shapefile import ShapefileReader, ShapefileSource, _contents, polygons_of, srid_of, UnsupportedFile
 
@@ -241,10 +243,12 @@ def test_unify_and_the_later_jobs(spark, tmp_path, capsys):
 
 def test_empty_result_writes_only_the_report(spark, tmp_path):
     put(tmp_path / "raw" / f"{GEOMAC}a", {"incident": ["no id"], "year": ["2003"]}, [[box(0, 0)]])
-    with pytest.raises(jobs.EmptyResultError):
+    with pytest.raises(jobs.EmptyResultError) as empty:
         jobs.unify(spark, str(tmp_path / "raw"), str(tmp_path / "out"), SETTINGS)
-    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["no_id_records.csv", "processing_report.json"]
-    report = json.loads(open(glob(f"{tmp_path}/out/processing_report.json/part-*")[0]).read())
+    run = Path(empty.value.outputs.report).parent
+    assert sorted(p.name for p in run.iterdir()) == ["no_id_records.csv", "processing_report.json"]
+    assert [p for p in (tmp_path / "out").iterdir()] == [run] and jobs.published(spark, str(tmp_path / "out")) is None
+    report = json.loads(open(glob(f"{run}/processing_report.json/part-*")[0]).read())
     assert report["overall"]["total_records"] == 0 and report["overall"]["date_range"] == {"min": None, "max": None}
     with pytest.raises(jobs.EmptyResultError):
         jobs.unify(spark, str(tmp_path / "absent"), str(tmp_path / "out2"), SETTINGS)
@@ -313,6 +317,50 @@ def test_rejects_keep_their_data(spark, tmp_path):
     assert set(table["b"]) >= {'say "hi"', "two\nlines", " F-7 "}
 
 
+def test_outputs_of_a_run_are_published_together(spark, tmp_path, monkeypatch):
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    attributes, shapes = incident()
+    put(raw / f"{GEOMAC}a", attributes | {"uniquefire": ["F-1"] * 4 + [""]}, shapes)
+    put(raw / f"{GEOMAC}b", *simple(3), prj=UTM.encode())
+    first = jobs.unify(spark, str(raw), out, SETTINGS)
+    assert jobs.published(spark, out) == first and Path(first.no_id).exists() and Path(first.unreadable).exists()
+
+    monkeypatch.setattr(jobs, "write_report", lambda *_: 1 / 0)  # fails with its table already written
+    with pytest.raises(ZeroDivisionError):
+        jobs.unify(spark, str(raw), out, SETTINGS)
+    monkeypatch.undo()
+    assert jobs.published(spark, out) == first and len(list(Path(out).glob("run-*"))) == 1
+
+    for folder in raw.iterdir():
+        for file in folder.iterdir():
+            file.unlink()
+    put(raw / f"{GEOMAC}c", *simple(3))
+    second = jobs.unify(spark, str(raw), out, SETTINGS)
+    assert jobs.published(spark, out) == second and read_unified(spark, second.table).count() == 3
+    assert not Path(second.no_id).exists() and not Path(second.unreadable).exists()  # nothing of the run before
+    assert read_unified(spark, first.table).count() == 4  # a reader of the run before goes on
+    assert prune(spark, out) == [Path(first.table).parent.name] and jobs.published(spark, out) == second
+    assert not list(Path(out).glob("_*"))
+
+
+def test_absent_incidents_read_no_row_group(spark, tmp_path):
+    rows = spark.range(200_000).selectExpr(
+        "concat('F-', lpad(id * 10, 9, '0')) AS incident_id", "timestamp_ntz'2003-01-01 00:00:00' AS perimeter_date", "id AS row_id",
+        f"cast(NULL AS {GEOM}) AS geom")
+    path = str(tmp_path / "table")
+    write_unified(rows, path)
+
+    def read(*ids):
+        df = jobs.incidents(spark, path, ids)
+        found = df.collect()
+        leaf = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+        return len(found), leaf.metrics().apply("numOutputRows").value()
+
+    assert read("F-000500005") == (0, 0) and read("F-000500001", "F-001000003", "x") == (0, 0)
+    number, seen = read("F-000500000", "F-000500005", "F-001999990")
+    assert number == 2 and seen < 150_000
+
+
 def _two_members(raw, name, n=400):
     first, second = simple(n), simple(n, n)
     put(raw.parent / name, *first, name="A", shx=None)  # the archive's own index is not needed
