@@ -149,33 +149,38 @@ def with_bbox_overlap(pairs: DataFrame, table: DataFrame, geom: str = "geom", ro
 _PAIR = ["curr_row", "next_row"]
 
 
-def _decided(pairs: DataFrame, table: DataFrame, geom: str, row: str, flags: dict[str, tuple]) -> DataFrame:
-    """Add ``bbox_overlap`` and the flags (predicate, geometries), which are false where the boxes are apart. Geometry
-    is fetched only for pairs whose boxes meet, and only their records' leaves the scan; the
-    predicates are joins of its edges."""
+def _looked_at(pairs: DataFrame, table: DataFrame, geom: str, row: str) -> tuple[DataFrame, DataFrame]:
+    """The pairs with ``bbox_overlap``, and both geometries of those whose boxes meet; both stored. Geometry is fetched
+    only for the latter, and only their records' leaves the scan."""
     near = written(with_bbox_overlap(pairs, table, geom, row), "near-pairs")
     meeting = near.filter("bbox_overlap").select(*_PAIR)
     wanted = meeting.select(F.explode(F.array(*_PAIR)).alias(row)).distinct()
     shapes = table.select(row, geom).join(wanted, row, "left_semi")
     if isinstance(shapes.schema[geom].dataType, T.BinaryType):
         shapes = shapes.withColumn(geom, from_wkb(geom))
-    looked_at = written(with_geometries(meeting, shapes, geom, row), "looked-at")
-    for name, (predicate, a, b) in flags.items():
-        near = polygons.with_flag(near, _PAIR, predicate(looked_at, _PAIR, a, b), name, F.lit(True))
-    return near
+    return near, written(with_geometries(meeting, shapes, geom, row), "looked-at")
 
 
 def with_overlap(pairs: DataFrame, table: DataFrame, geom: str = "geom", row: str = "row_id") -> DataFrame:
-    """Add ``bbox_overlap`` and ``overlaps`` (closed intersection, which containment implies). Pairs of rows are unique."""
-    return _decided(pairs, table, geom, row, {"overlaps": (polygons.intersecting, "curr_geom", "next_geom")})
+    """Add ``bbox_overlap`` and ``overlaps`` (closed intersection, which containment implies); false where the boxes are
+    apart. Pairs of rows are unique."""
+    near, shapes = _looked_at(pairs, table, geom, row)
+    found = polygons.intersecting(shapes, _PAIR, "curr_geom", "next_geom")
+    return polygons.with_flag(near, _PAIR, found, "overlaps", F.lit(True))
 
 
 def with_containment(pairs: DataFrame, table: DataFrame, geom: str = "geom", row: str = "row_id") -> DataFrame:
-    """Add ``bbox_overlap``, ``curr_contains`` and ``next_contains``. Pairs of rows are unique."""
-    return _decided(pairs, table, geom, row, {
-        "curr_contains": (polygons.containing, "curr_geom", "next_geom"),
-        "next_contains": (polygons.containing, "next_geom", "curr_geom"),
-    })
+    """Add ``bbox_overlap``, ``curr_contains`` and ``next_contains``; false where the boxes are apart. Pairs of rows are
+    unique. Both ways round are asked in one go."""
+    near, shapes = _looked_at(pairs, table, geom, row)
+    ways = F.array(*[
+        F.struct(F.lit(name).alias("way"), F.col(outer).alias("outer"), F.col(inner).alias("inner"))
+        for name, outer, inner in (("curr_contains", "curr_geom", "next_geom"), ("next_contains", "next_geom", "curr_geom"))])
+    asked = shapes.select(*_PAIR, F.explode(ways).alias("w")).select(*_PAIR, "w.way", "w.outer", "w.inner")
+    found = written(polygons.containing(asked, [*_PAIR, "way"], "outer", "inner"), "containing")
+    for name in ("curr_contains", "next_contains"):
+        near = polygons.with_flag(near, _PAIR, found.where(F.col("way") == name).select(*_PAIR), name, F.lit(True))
+    return near
 
 
 def overlap_counts(overlapping: DataFrame) -> DataFrame:
