@@ -2,7 +2,7 @@
 
 A compressed member can only be inflated from its start, but records of an inflated one can be read from any
 place. So a first job copies the members of each large archive to the shared scratch folder, one task per
-member and in pieces of bounded size; a second one, the shapefile reader, splits the copies by record ranges.
+member (small neighbours share one) and in pieces of bounded size; a second one, the shapefile reader, splits the copies by record ranges.
 
 A copied ``.shp`` gets an index made from its own record headers on the way, so archives need none. Copies are
 renamed into place when they are whole: a task that runs again writes the same files. What is wrong with an
@@ -27,7 +27,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from perimetry.plans.storage import scratch_path
-from perimetry.sources.files import children, open_fs
+from perimetry.sources.files import children, open_fs, packed, wanted_tasks
 from perimetry.sources.shapefile import MAIN_HEADER, UNREADABLE, UnsupportedFile, check_main_header, selected
 
 _COPY_BYTES = 8 << 20
@@ -44,6 +44,14 @@ class _Member(InputPartition):
     folder: str
     member: str | None
     error: str | None = None
+    size: int = 0
+
+
+@dataclass
+class _Members(InputPartition):
+    """What one task copies, member by member."""
+
+    members: list[_Member]
 
 
 def large_archives(root: str, patterns: Sequence[str], larger_than: int) -> list[fs.FileInfo]:
@@ -62,7 +70,8 @@ def stage(spark: SparkSession, raw_dir: str, patterns: Sequence[str], larger_tha
     target = scratch_path(spark, "archives")
     spark.dataSource.register(ArchiveMembers)
     members = spark.read.format(ArchiveMembers.name()).options(
-        path=raw_dir, patterns=json.dumps(list(patterns)), larger_than=str(larger_than), target=target
+        path=raw_dir, patterns=json.dumps(list(patterns)), larger_than=str(larger_than), target=target,
+        tasks=str(wanted_tasks(spark)),
     )
     members.load().write.format("noop").mode("overwrite").save()
     return target
@@ -87,25 +96,29 @@ class MembersReader(DataSourceReader):
         options = {k.lower(): v for k, v in options.items()}
         self.root, self.target = options["path"], options["target"]
         self.patterns, self.larger_than = json.loads(options["patterns"]), int(options["larger_than"])
+        self.tasks = int(options["tasks"])
 
     # On the driver: of each large archive only the directory at its end is read.
-    def partitions(self) -> list[_Member]:
+    def partitions(self) -> list[_Members]:
         system, _ = open_fs(self.root)
         found: list[_Member] = []
         for entry in large_archives(self.root, self.patterns, self.larger_than):
             try:
                 with system.open_input_file(entry.path) as file, zipfile.ZipFile(file) as archive:
                     # an archive is expanded into one folder; only that folder's own shapefiles count
-                    names = sorted({n for n in archive.namelist() if "/" not in n and n.endswith(_MEMBERS)})
-                found += [_Member(entry.path, entry.base_name, n) for n in names]
+                    sizes = {i.filename: i.file_size for i in archive.infolist() if "/" not in i.filename and i.filename.endswith(_MEMBERS)}
+                found += [_Member(entry.path, entry.base_name, n, size=sizes[n]) for n in sorted(sizes)]
             except Exception as error:
                 found.append(_Member(entry.path, entry.base_name, None, f"{type(error).__name__}: {error}"))
-        return found or [_Member("", "", None)]
+        groups = packed(found, [m.size for m in found], self.tasks)
+        return [_Members(some) for some in groups] or [_Members([])]
 
     # In a task.
-    def read(self, partition: _Member) -> Iterator[pa.RecordBatch]:
-        if not partition.archive:
-            return
+    def read(self, partition: _Members) -> Iterator[pa.RecordBatch]:
+        for member in partition.members:
+            yield self._staged(member)
+
+    def _staged(self, partition: _Member) -> pa.RecordBatch:
         system, root = open_fs(self.target)
         folder = f"{root}/{partition.folder}"
         system.create_dir(folder, recursive=True)
@@ -120,7 +133,7 @@ class MembersReader(DataSourceReader):
                 out.write(error.encode())
         row = ([partition.archive], [partition.member], [size], [error])
         kinds = (pa.string(), pa.string(), pa.int64(), pa.string())
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [pa.array(v, k) for v, k in zip(row, kinds)], names=["archive", "member", "bytes", "error"])
 
     def _copy(self, partition: _Member, target: fs.FileSystem, folder: str) -> int:

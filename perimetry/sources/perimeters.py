@@ -12,6 +12,7 @@ from perimetry.functions.geometry import to_wgs84, wgs84_srid
 from perimetry.operators.fields import union_all
 from perimetry.schema import NORMALIZED_COLUMNS, TEXT_COLUMNS
 from perimetry.sources.archives import stage
+from perimetry.sources.files import wanted_tasks
 from perimetry.sources.shapefile import SPLIT_BYTES, ShapefileSource
 
 
@@ -22,7 +23,7 @@ def _row_id(rank: int) -> str:
 
 def _load(spark: SparkSession, **options: str) -> DataFrame:
     spark.dataSource.register(ShapefileSource)
-    return spark.read.format(ShapefileSource.name()).options(**options).load()
+    return spark.read.format(ShapefileSource.name()).options(tasks=str(wanted_tasks(spark)), **options).load()
 
 
 def scan(

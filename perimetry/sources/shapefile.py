@@ -11,7 +11,8 @@ are read; an archive is skipped if it already lies unpacked beside itself. Each
 resolved file by file to the first alias the file has, and only those attributes are decoded. All
 attributes come as text. An unpacked file is split by record ranges through its ``.shx``. An archive
 that ``archives.stage`` has staged (option ``staged``) is split in the same way; any other is streamed by one
-task, member by member, without unpacking it to disk.
+task, member by member, without unpacking it to disk. Where there are more pieces and archives than ``tasks``, neighbours
+share a task, one after the other.
 
 An unreadable file gives one row with its ``error`` (or raises with ``mode=FAILFAST``).
 """
@@ -32,7 +33,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from perimetry.operators.fields import AliasIndex
 from perimetry.schema import GEOM, ID_COLUMNS
-from perimetry.sources.files import children, open_fs
+from perimetry.sources.files import children, open_fs, packed
 
 # Fixed values of the file format.
 MAIN_HEADER = 100
@@ -56,7 +57,7 @@ class _Range(InputPartition):
     """Records ``start`` to ``stop`` of an unpacked file, or a whole archive (``stop`` = -1).
 
     ``staged`` is the staged copy that is read in place of an archive's member; ``first`` is the number of records
-    in the members before it, as an archive counts its records through.
+    in the members before it, as an archive counts its records through. ``size`` is about its bytes.
     """
 
     path: str
@@ -65,6 +66,14 @@ class _Range(InputPartition):
     stop: int
     staged: str | None = None
     first: int = 0
+    size: int = 0
+
+
+@dataclass
+class _Ranges(InputPartition):
+    """What one task reads, range by range."""
+
+    ranges: list[_Range]
 
 
 def _newer(archive, folder) -> bool:
@@ -239,19 +248,27 @@ class ShapefileReader(DataSourceReader):
         self.nad83 = options.get("nad83_as_wgs84", "true").lower() == "true"
         self.split_bytes = max(1, int(options.get("split_bytes", SPLIT_BYTES)))
         self.staged = options.get("staged") or None
+        self.tasks = int(options["tasks"]) if options.get("tasks") else None
 
     # On the driver: only listings are looked at, never file contents.
-    def partitions(self) -> list[_Range]:
+    def partitions(self) -> list[_Range] | list[_Ranges]:
+        ranges = self._all_ranges()
+        if self.tasks is None:
+            return ranges
+        return [_Ranges(some) for some in packed(ranges, [r.size for r in ranges], self.tasks)]
+
+    def _all_ranges(self) -> list[_Range]:
         system, root = open_fs(self.root)
         ranges: list[_Range] = []
         file_no = 0
         for entry, archive in selected(children(system, root), self.pattern):
             if archive:
-                ranges += self._staged_ranges(entry, file_no) or [_Range(entry.path, file_no, 0, -1)]
+                ranges += self._staged_ranges(entry, file_no) or [_Range(entry.path, file_no, 0, -1, size=entry.size or 0)]
                 file_no += 1
                 continue
             for path, size, records in _shapes_in(children(system, entry.path)):
-                ranges += [_Range(path, file_no, a, b) for a, b in self._pieces(size, records)]
+                ranges += [
+                    _Range(path, file_no, a, b, size=size * (b - a) // max(1, records)) for a, b in self._pieces(size, records)]
                 file_no += 1
         if file_no > _MOST_FILES or any(r.stop > _MOST_RECORDS for r in ranges):
             raise ValueError(f"{self.root}: record numbers hold {_MOST_FILES} files of {_MOST_RECORDS} records")
@@ -273,12 +290,18 @@ class ShapefileReader(DataSourceReader):
             return [_Range(archive.path, file_no, 0, 0, failed[0])]
         ranges, first = [], 0
         for path, size, records in _shapes_in(inside):
-            ranges += [_Range(archive.path, file_no, a, b, path, first) for a, b in self._pieces(size, records)]
+            ranges += [
+                _Range(archive.path, file_no, a, b, path, first, size * (b - a) // max(1, records))
+                for a, b in self._pieces(size, records)]
             first += records
         return ranges
 
     # In a task.
-    def read(self, partition: _Range) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: _Range | _Ranges) -> Iterator[pa.RecordBatch]:
+        for one in partition.ranges if isinstance(partition, _Ranges) else [partition]:
+            yield from self._read_one(one)
+
+    def _read_one(self, partition: _Range) -> Iterator[pa.RecordBatch]:
         if not partition.path:
             return
         try:

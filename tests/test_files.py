@@ -21,6 +21,7 @@ from perimetry.schema import GEOM
 from perimetry.sinks.outputs import read_rejects, read_unified, with_geom, write_rejects, write_unified
 from perimetry.sinks.publish import prune
 from perimetry.sources.perimeters import readable, scan, scan_all, stage_archives, unreadable
+from perimetry.sources.files import packed
 from perimetry.sources.shapefile import ShapefileReader, ShapefileSource, _contents, polygons_of, srid_of, UnsupportedFile
 
 HISTORY = "InterAgencyFirePerimeterHistory_"
@@ -451,3 +452,22 @@ def test_a_batch_of_records_is_one_read():
     assert _contents(file, offset, size) == [file.data[o + 8 : o + 8 + n] for o, n in zip(offset, size)] and file.reads == 1
     scattered = _Counted(bytes(2000))
     assert len(_contents(scattered, np.array([1500, 100, 900]), size)) == 3 and scattered.reads == 3
+
+
+def test_many_small_pieces_share_tasks(spark, tmp_path):
+    put(tmp_path / f"{GEOMAC}1", *simple(803))
+    for i in range(40):
+        pack(put(tmp_path / "members" / str(i), *simple(3, 5000 + 10 * i)), tmp_path / f"{GEOMAC}2_{i:02d}.zip")
+    (tmp_path / f"{GEOMAC}2_07.zip").write_bytes(b"no archive")
+    pieces = Settings(max_year=2027, split_bytes=512)
+    staged = stage_archives(spark, str(tmp_path), Settings(split_bytes=0))
+    whole = scan(spark, str(tmp_path), SETTINGS.sources[0], 0, SETTINGS).collect()
+    for found in (scan(spark, str(tmp_path), SETTINGS.sources[0], 0, pieces, staged=s) for s in (None, staged)):
+        assert found.rdd.getNumPartitions() <= 16
+        rows = found.collect()
+        assert sorted(str(r) for r in rows if r.error is None) == sorted(str(r) for r in whole if r.error is None)
+        assert len(rows) == 803 + 39 * 3 + 1
+    discard(spark, staged)
+    assert packed(list("abcd"), [1, 1, 9, 1], 2) == [["a", "b"], ["c", "d"]]
+    assert packed([1, 2, 3], [5, 0, 5], 3) == [[1], [2], [3]]
+    assert max(map(len, packed(range(100), [64 << 20] * 100, 4))) <= 2  # a task's bytes are bounded
