@@ -150,36 +150,50 @@ _PAIR = ["curr_row", "next_row"]
 
 
 def _looked_at(pairs: DataFrame, table: DataFrame, geom: str, row: str) -> tuple[DataFrame, DataFrame]:
-    """The pairs with ``bbox_overlap``, and both geometries of those whose boxes meet; both stored. Geometry is fetched
-    only for the latter, and only their records' leaves the scan."""
+    """The pairs with ``bbox_overlap``, and both geometries of those whose boxes meet with a number ``pair``, a
+    short key; both stored. Geometry is fetched only for the latter, and only their records' leaves the scan."""
     near = written(with_bbox_overlap(pairs, table, geom, row), "near-pairs")
     meeting = near.filter("bbox_overlap").select(*_PAIR)
     wanted = meeting.select(F.explode(F.array(*_PAIR)).alias(row)).distinct()
     shapes = table.select(row, geom).join(wanted, row, "left_semi")
     if isinstance(shapes.schema[geom].dataType, T.BinaryType):
         shapes = shapes.withColumn(geom, from_wkb(geom))
-    return near, written(with_geometries(meeting, shapes, geom, row), "looked-at")
+    both = with_geometries(meeting, shapes, geom, row).withColumn("pair", F.monotonically_increasing_id())
+    return near, written(both, "looked-at")
 
 
 def with_overlap(pairs: DataFrame, table: DataFrame, geom: str = "geom", row: str = "row_id") -> DataFrame:
     """Add ``bbox_overlap`` and ``overlaps`` (closed intersection, which containment implies); false where the boxes are
     apart. Pairs of rows are unique."""
     near, shapes = _looked_at(pairs, table, geom, row)
-    found = polygons.intersecting(shapes, _PAIR, "curr_geom", "next_geom")
+    found = polygons.intersecting(shapes, ["pair"], "curr_geom", "next_geom")
+    found = shapes.select("pair", *_PAIR).join(found, "pair", "left_semi").drop("pair").distinct()
     return polygons.with_flag(near, _PAIR, found, "overlaps", F.lit(True))
 
 
+def _may_hold(outer: Column, inner: Column) -> Column:
+    """The box of ``outer`` holds that of ``inner``, without which the geometry cannot; true for points at no place."""
+    a, b = bbox(outer), bbox(inner)
+    held = (a["xmin"] <= b["xmin"]) & (b["xmax"] <= a["xmax"]) & (a["ymin"] <= b["ymin"]) & (b["ymax"] <= a["ymax"])
+    ends = [box[end] for box in (a, b) for end in ("xmin", "ymin", "xmax", "ymax")]
+    lost = reduce(lambda x, y: x | y, [F.isnan(end) | (F.abs(end) == float("inf")) for end in ends])
+    return held | lost
+
+
 def with_containment(pairs: DataFrame, table: DataFrame, geom: str = "geom", row: str = "row_id") -> DataFrame:
     """Add ``bbox_overlap``, ``curr_contains`` and ``next_contains``; false where the boxes are apart. Pairs of rows are
-    unique. Both ways round are asked in one go."""
+    unique. Both ways round are asked in one go, each only where one box holds the other."""
     near, shapes = _looked_at(pairs, table, geom, row)
+    names = ("curr_contains", "next_contains")
     ways = F.array(*[
-        F.struct(F.lit(name).alias("way"), F.col(outer).alias("outer"), F.col(inner).alias("inner"))
-        for name, outer, inner in (("curr_contains", "curr_geom", "next_geom"), ("next_contains", "next_geom", "curr_geom"))])
-    asked = shapes.select(*_PAIR, F.explode(ways).alias("w")).select(*_PAIR, "w.way", "w.outer", "w.inner")
-    found = written(polygons.containing(asked, [*_PAIR, "way"], "outer", "inner"), "containing")
-    for name in ("curr_contains", "next_contains"):
-        near = polygons.with_flag(near, _PAIR, found.where(F.col("way") == name).select(*_PAIR), name, F.lit(True))
+        F.struct((F.col("pair") * 2 + way).alias("asked"), F.col(outer).alias("outer"), F.col(inner).alias("inner"))
+        for way, outer, inner in ((0, "curr_geom", "next_geom"), (1, "next_geom", "curr_geom"))])
+    asked = shapes.select(F.explode(ways).alias("w")).select("w.*").where(_may_hold(F.col("outer"), F.col("inner")))
+    found = written(polygons.containing(asked, ["asked"], "outer", "inner"), "containing")
+    for way, name in enumerate(names):
+        of_way = found.where(F.col("asked") % 2 == way).select(F.expr("asked DIV 2").alias("pair"))
+        held = shapes.select("pair", *_PAIR).join(of_way, "pair", "left_semi").drop("pair").distinct()
+        near = polygons.with_flag(near, _PAIR, held, name, F.lit(True))
     return near
 
 

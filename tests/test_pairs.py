@@ -226,3 +226,19 @@ def test_overlap_of_pairs(spark):
     inside = pairs.with_containment(found, df).orderBy("curr_row").collect()
     assert [(r.curr_contains, r.next_contains) for r in inside] == [(False, False)] * 2 + [(True, False)] + [(False, False)] * 2
     assert pairs.overlap_counts(pairs.with_overlap(found, df)).first().asDict() == {"pairs": 5, "overlapping": 2}
+
+
+def test_containment_is_asked_only_where_a_box_holds_the_other(spark, monkeypatch):
+    def square(x, half):
+        return [[[(x - half, -half), (x + half, -half), (x + half, half), (x - half, half), (x - half, -half)]]]
+
+    shapes = [square(0.0, 1.0), square(0.0, 0.5), square(0.75, 0.5), square(1.0, 2.0), square(1.0, 2.0)]
+    rows = [("a", START + timedelta(days=i), i, g) for i, g in enumerate(shapes)]
+    df = spark.createDataFrame(
+        rows, "incident_id string, perimeter_date timestamp_ntz, row_id long, geom array<array<array<struct<x:double,y:double>>>>")
+    asked = []
+    containing = pairs.polygons.containing
+    monkeypatch.setattr(pairs.polygons, "containing", lambda ways, *names: asked.append(ways.count()) or containing(ways, *names))
+    found = pairs.with_containment(pairs.consecutive(df), df).orderBy("curr_row").collect()
+    assert [(r.curr_contains, r.next_contains) for r in found] == [(True, False), (False, False), (False, True), (True, True)]
+    assert asked == [4]
