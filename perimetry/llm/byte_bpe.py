@@ -4,7 +4,7 @@ Method. Texts are split into words by the tokenizer's pattern. A word is an arra
 one ``aggregate`` expression folds the merges over it: each step looks for the adjacent pair of lowest
 rank, leftmost first, and puts the merged token in its place, until no pair has a rank. Ranks come from
 a literal table inside the expression: a perfect hash of token pairs, so that a look-up is two array
-accesses, as Spark searches a map entry by entry. Decoding concatenates the byte pieces of the tokens.
+accesses, as Spark searches a map entry by entry. Decoding takes the byte pieces of a slice's tokens at once.
 
 Distinct words are folded once: words are counted over the corpus, and the frequent ones, at most
 ``dictionary_words`` of at most ``_DICTIONARY_BYTES`` bytes each, are folded as a table of their own
@@ -19,6 +19,7 @@ the data. Memory of a task is a slice of texts (a single text if that is longer)
 from __future__ import annotations
 
 import base64
+import hashlib
 import json
 import unicodedata
 from collections.abc import Iterator
@@ -29,10 +30,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from perimetry.plans.storage import written
 
 _SLICE_BYTES = 8 << 20
+_SLICE_TOKENS = 2 << 20
 _DICTIONARY_BYTES = 48
 _NONE = 1 << 20  # above all ranks
 _ID = (1 << 17) - 1  # the bits of a token in an entry of the fold
@@ -412,17 +415,56 @@ def encode(
     return coded.select("doc_id", joined.alias("ids"))
 
 
+def _token_slices(batch: pa.RecordBatch, ids: str) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch with at most ``_SLICE_TOKENS`` ids together, or a single row."""
+    upto = np.cumsum(batch.column(ids).value_lengths().fill_null(0).to_numpy().astype(np.int64))
+    at = 0
+    while at < len(upto):
+        before = upto[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(upto, before + _SLICE_TOKENS, "right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def decode(encoded: DataFrame, ranks: str) -> DataFrame:
-    """``encoded`` (doc_id, ids) with a further column ``decoded``: the tokens' bytes, one after another."""
-    pieces = _constant([t.hex() for t in Vocabulary(ranks).tokens], "array<string>")
-    decoded = F.unhex(F.array_join(F.transform("ids", lambda i: F.get(pieces, i)), ""))
-    return encoded.withColumn("decoded", decoded)
+    """``encoded`` (doc_id, ids) with a further column ``decoded``: the tokens' bytes, one after another.
+
+    The pieces of a slice's ids are taken at once and lie one behind the other, so a row's bytes are a stretch of them.
+    """
+    pieces = [*Vocabulary(ranks).tokens, b""]  # the last one stands for ids that are no token
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, none = pa.array(pieces, pa.large_binary()), len(pieces) - 1
+        for batch in batches:
+            for part in _token_slices(batch, "ids"):
+                lists = part.column("ids")
+                ids = lists.flatten().fill_null(none).to_numpy()
+                taken = known.take(pa.array(np.where((ids >= 0) & (ids < none), ids, none)))
+                starts = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1) if len(taken) else np.zeros(1, np.int64)
+                bounds = np.append(0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy()))
+                whole = pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(), len(part), [None, pa.py_buffer(starts[bounds].copy()), taken.buffers()[2] or pa.py_buffer(b"")])
+                decoded = pc.if_else(lists.is_valid(), whole, None).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, decoded], names=[*part.schema.names, "decoded"])
+
+    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())]))
 
 
 def digests(decoded: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of encoded and decoded rows."""
-    return decoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _token_slices(batch, "ids"):
+                lists = part.column("ids")
+                bounds = np.append(0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy()))
+                texts = _lists(bounds, lists.flatten().cast(pa.string()))
+                joined = pc.binary_join(texts, " ")
+                sums = [hashlib.sha256(t.as_buffer()).hexdigest() if ok.as_py() else None for t, ok in zip(joined, lists.is_valid())]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("n_tokens"), pa.array(sums, pa.string()), part.column("decoded_sha256")],
+                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    kind = decoded.schema["doc_id"].dataType.simpleString()
+    rows = decoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

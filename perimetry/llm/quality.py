@@ -94,7 +94,7 @@ class Network:
         return self.combine(features.reshape(len(texts), 2 * FILTERS))
 
 
-def sampled_chunks(text: bytes, most: int) -> list[bytes]:
+def sampled_chunks(text: bytes, most: int = 12) -> list[bytes]:
     """At most ``most`` chunks, spread evenly over the text."""
     step, size = _STEP * _BLOCK, _CHUNK * _BLOCK
     count = max(1, -(-(len(text) - (size - step)) // step))

@@ -325,3 +325,17 @@ def test_conversation_query(spark):
 
 def test_lists_are_cut_where_told():
     assert byte_bpe._lists(byte_bpe.np.array([0, 1, 1, 3]), pa.array([5, 6, 7])).to_pylist() == [[5], [], [6, 7]]
+
+
+def test_tokens_are_decoded_and_hashed_by_slices_not_step_by_step(spark, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "_SLICE_TOKENS", 3)
+    frame = spark.createDataFrame([(1, [72, 0, 5]), (2, []), (3, None), (4, [1] * 9)], "doc_id long, ids array<int>")
+    decoded = byte_bpe.decode(frame, RANKS)
+    found = byte_bpe.digests(decoded)
+    tokens = byte_bpe.Vocabulary(RANKS).tokens
+    rows = {r.doc_id: bytes(r.decoded) if r.decoded is not None else None for r in decoded.collect()}
+    assert rows == {1: tokens[72] + tokens[0] + tokens[5], 2: b"", 3: None, 4: tokens[1] * 9}
+    sums = {r.doc_id: r.ids_sha256 for r in found.collect()}
+    assert sums == {1: sha("72 0 5"), 2: sha(""), 3: None, 4: sha(" ".join("1" * 9))}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "array_join" not in plan
