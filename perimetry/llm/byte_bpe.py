@@ -22,12 +22,13 @@ import base64
 import hashlib
 import json
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +36,9 @@ from pyspark.sql import types as T
 from perimetry.plans.storage import written
 
 _SLICE_BYTES = 8 << 20
-_SLICE_TOKENS = 2 << 20
+_ENCODE_BYTES = 2 << 20  # encoded at a time, beside the dictionary
+_SPLIT_BYTES = 1 << 20  # split at a time: this takes some thirty bytes for each byte of text
+_SLICE_TOKENS = 1 << 20
 _DICTIONARY_BYTES = 48
 _NONE = 1 << 20  # above all ranks
 _ID = (1 << 17) - 1  # the bits of a token in an entry of the fold
@@ -85,7 +88,18 @@ def _classes() -> np.ndarray:
 
 
 def split(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
-    """(words of all texts in order, number of words up to the end of each text).
+    """(words of all texts in order, number of words up to the end of each text)."""
+    words, ends, before = [], [np.zeros(0, np.int64)], 0
+    for part in _parts(texts, _SPLIT_BYTES):
+        found, upto = _split(part)
+        words.append(found)
+        ends.append(upto + before)
+        before += len(found)
+    return pa.concat_arrays(words or [pa.array([], pa.large_binary())]), np.concatenate(ends)
+
+
+def _split(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """As ``split``, in one go.
 
     The pattern is that of the byte-level vocabularies: contractions; runs of letters, of numbers or of
     other characters, each with one blank before it; white space, of which the last character stands alone
@@ -128,12 +142,17 @@ def split(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
     return words, np.searchsorted(begins, ends)
 
 
-def _slices(column: pa.Array) -> Iterator[list[bytes]]:
+def _slices(column: pa.Array, most: int = _SLICE_BYTES) -> Iterator[list[bytes]]:
+    return _parts((text.as_py() or b"" for text in column), most)
+
+
+def _parts(texts: Iterable[bytes], most: int) -> Iterator[list[bytes]]:
+    """Neighbours together until they have ``most`` bytes."""
     part, size = [], 0
-    for text in column:
-        part.append(text.as_py() or b"")
-        size += len(part[-1])
-        if size >= _SLICE_BYTES:
+    for text in texts:
+        part.append(text)
+        size += len(text)
+        if size >= most:
             yield part
             part, size = [], 0
     if part:
@@ -266,22 +285,25 @@ def fold(spelled: Column, pairs: PairTable) -> Column:
     def merge(state: Column, best: Column) -> Column:
         new = F.shiftright(best, 40)
 
-        def at(k: Column) -> Column:  # the place of the token before the merge
-            def renewed(e: Column, i: Column) -> Column:
-                left = F.when(i == k, token(e)).otherwise(new)
-                right = F.when(i == k, new).otherwise(token(state[k + 3]))
-                kept = F.when(i == k, e.bitwiseAND(place)).otherwise(e.bitwiseAND(place - _ID).bitwiseOR(new))
-                return F.when((i >= k) & (i <= k + 1), F.shiftleft(rank(left, right), 40).bitwiseOR(kept)).otherwise(e)
+        def entry(left: Column, right: Column, kept: Column) -> Column:
+            return F.shiftleft(rank(left, right), 40).bitwiseOR(kept)
 
-            return F.array_remove(F.transform(state, renewed), state[k + 2])
+        def at(k: Column) -> Column:  # the number of tokens before the merge
+            before, after = F.get(state, k - 1), F.get(state, k + 2)
+            renewed = F.array(
+                entry(token(before), new, before.bitwiseAND(place)),
+                entry(new, token(after), best.bitwiseAND(place - _ID).bitwiseOR(new)))
+            return F.flatten(F.array(F.slice(state, F.lit(1), k - 1), renewed, F.slice(state, k + 3, F.size(state))))
 
-        return _bound(F.array_position(state, best).cast("int") - 2, at)
+        return _bound(F.size(F.filter(state, lambda e: e.bitwiseAND(place) < best.bitwiseAND(place))), at)
 
     def step(state: Column, _: Column) -> Column:
         return _bound(F.array_min(state), lambda best: F.when(F.shiftright(best, 40) < _NONE, merge(state, best)).otherwise(state))
 
-    merged = F.aggregate(F.slice(spelled, F.lit(1), F.greatest(F.size(spelled) - 3, F.lit(0))), spelled, step)
-    return F.transform(F.slice(merged, F.lit(2), F.size(merged) - 2), lambda e: token(e).cast("int"))
+    def tokens(state: Column) -> Column:  # as the end of the fold: an expression that names the fold twice runs it twice
+        return F.transform(F.slice(state, F.lit(2), F.size(state) - 2), lambda e: token(e).cast("int"))
+
+    return F.aggregate(F.slice(spelled, F.lit(1), F.greatest(F.size(spelled) - 3, F.lit(0))), spelled, step, tokens)
 
 
 # encoding
@@ -340,15 +362,26 @@ class Encoder:
             pa.array(tokens, pa.large_binary()), words.column("word").combine_chunks().cast(pa.large_binary())])
         self.ids = pa.concat_arrays([single, more.cast(single.type)])
         self.spelling = spelling
+        hashes = _hashes(self.words)
+        self.order = np.argsort(hashes, kind="stable").astype(np.int32)
+        self.hashes = hashes[self.order]
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        """Place of each of ``words`` among the known ones, or -1. The hash names one word, which is then compared; of
+        known words with one hash only the first is found, and the others are folded in their texts."""
+        hashes = _hashes(words)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        place = self.order[at]
+        same = pc.equal(self.words.take(pa.array(place)), words).to_numpy(zero_copy_only=False)
+        return np.where(same & (self.hashes[at] == hashes), place, -1)
 
     def encode(self, texts: list[bytes]) -> tuple[pa.Array, pa.Array]:
         """Per text: runs of tokens, and the spelled words between them."""
         words, ends = split(texts)
         coded = words.dictionary_encode()
-        found = pc.index_in(coded.dictionary, value_set=self.words)
-        number = found.take(coded.indices)
-        rare = np.flatnonzero(number.is_null().to_numpy(zero_copy_only=False))
-        ids = self.ids.take(number.drop_null())
+        number = self.places(coded.dictionary)[coded.indices.to_numpy()]
+        rare = np.flatnonzero(number < 0)
+        ids = self.ids.take(pa.array(number[number >= 0]))
         sizes = np.zeros(len(words) + 1, np.int64)
         known = np.ones(len(words), bool)
         known[rare] = False
@@ -361,6 +394,11 @@ class Encoder:
         return _lists(np.append(0, last + np.arange(1, len(texts) + 1)), runs), _lists(np.append(0, last), spelled)
 
 
+def _hashes(words: pa.Array) -> np.ndarray:
+    parts = (words.slice(at, 1 << 16).to_pylist() for at in range(0, len(words), 1 << 16))
+    return np.fromiter((xxhash.xxh3_64_intdigest(w) for part in parts for w in part), np.uint64, len(words))
+
+
 def _lists(bounds: np.ndarray, values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), values)
 
@@ -374,6 +412,7 @@ def _loaded(broadcast, key: str) -> Encoder:
         _LOADED.clear()
         tokens, spelling, words = broadcast.value
         _LOADED[key] = Encoder(tokens, spelling, pa.ipc.open_stream(words).read_all())
+        pa.default_memory_pool().release_unused()
     return _LOADED[key]
 
 
@@ -400,11 +439,12 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for part in _slices(batch.column(1)):
+            for part in _slices(batch.column(1), _ENCODE_BYTES):
                 runs, raw = _loaded(shipped, key).encode(part)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, len(part)), runs, raw], names=["doc_id", "runs", "raw"])
                 at += len(part)
+                pa.default_memory_pool().release_unused()  # else each worker keeps its largest slice's memory
 
     kind = docs.schema[id_col].dataType.simpleString()
     coded = docs.select(F.col(id_col), F.col(text_col).cast("binary").alias("text")).mapInArrow(
@@ -426,10 +466,19 @@ def _token_slices(batch: pa.RecordBatch, ids: str) -> Iterator[pa.RecordBatch]:
         at = end
 
 
-def decode(encoded: DataFrame, ranks: str) -> DataFrame:
+def _id_sums(lists: pa.ListArray) -> pa.Array:
+    """SHA-256 of each row's decimal ids, joined by one space."""
+    bounds = np.append(0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy()))
+    joined = pc.binary_join(_lists(bounds, lists.flatten().cast(pa.string())), " ")
+    return pa.array(
+        [hashlib.sha256(t.as_buffer()).hexdigest() if ok.as_py() else None for t, ok in zip(joined, lists.is_valid())], pa.string())
+
+
+def decode(encoded: DataFrame, ranks: str, hashed: bool = False) -> DataFrame:
     """``encoded`` (doc_id, ids) with a further column ``decoded``: the tokens' bytes, one after another.
 
     The pieces of a slice's ids are taken at once and lie one behind the other, so a row's bytes are a stretch of them.
+    ``hashed`` adds the ids' ``ids_sha256`` for ``digests``, which else reads the ids in Python workers of its own.
     """
     pieces = [*Vocabulary(ranks).tokens, b""]  # the last one stands for ids that are no token
 
@@ -445,9 +494,11 @@ def decode(encoded: DataFrame, ranks: str) -> DataFrame:
                 whole = pa.LargeBinaryArray.from_buffers(
                     pa.large_binary(), len(part), [None, pa.py_buffer(starts[bounds].copy()), taken.buffers()[2] or pa.py_buffer(b"")])
                 decoded = pc.if_else(lists.is_valid(), whole, None).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns, decoded], names=[*part.schema.names, "decoded"])
+                added = {"decoded": decoded} | ({"ids_sha256": _id_sums(lists)} if hashed else {})
+                yield pa.RecordBatch.from_arrays([*part.columns, *added.values()], names=[*part.schema.names, *added])
 
-    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())]))
+    added = [T.StructField("decoded", T.BinaryType()), *([T.StructField("ids_sha256", T.StringType())] if hashed else [])]
+    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, *added]))
 
 
 def digests(decoded: DataFrame) -> DataFrame:
@@ -456,15 +507,13 @@ def digests(decoded: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _token_slices(batch, "ids"):
-                lists = part.column("ids")
-                bounds = np.append(0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy()))
-                texts = _lists(bounds, lists.flatten().cast(pa.string()))
-                joined = pc.binary_join(texts, " ")
-                sums = [hashlib.sha256(t.as_buffer()).hexdigest() if ok.as_py() else None for t, ok in zip(joined, lists.is_valid())]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("n_tokens"), pa.array(sums, pa.string()), part.column("decoded_sha256")],
+                    [part.column("doc_id"), part.column("n_tokens"), _id_sums(part.column("ids")), part.column("decoded_sha256")],
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = decoded.schema["doc_id"].dataType.simpleString()
-    rows = decoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    n_tokens, decoded_sha256 = F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256")
+    if "ids_sha256" in decoded.columns:
+        return decoded.select("doc_id", n_tokens, "ids_sha256", decoded_sha256)
+    rows = decoded.select("doc_id", "ids", n_tokens, decoded_sha256)
     return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -70,7 +70,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path(RANKS)
-    return byte_bpe.digests(byte_bpe.decode(byte_bpe.encode(_table(spark, sf_dir, "documents"), ranks), ranks))
+    return byte_bpe.digests(byte_bpe.decode(byte_bpe.encode(_table(spark, sf_dir, "documents"), ranks), ranks, hashed=True))
 
 
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -339,3 +339,45 @@ def test_tokens_are_decoded_and_hashed_by_slices_not_step_by_step(spark, monkeyp
     assert sums == {1: sha("72 0 5"), 2: sha(""), 3: None, 4: sha(" ".join("1" * 9))}
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "lambda" not in plan and "array_join" not in plan
+
+
+def test_a_word_is_folded_once(spark):
+    """The plan names the fold of a word in one place: named in two, it is run twice."""
+    vocabulary = byte_bpe.Vocabulary(RANKS)
+    pairs = byte_bpe.PairTable(len(vocabulary.tokens), vocabulary.pairs())
+    words = [b"x", b"ab", b" folded", "ñandú".encode(), b"ab" * 40]
+    frame = spark.createDataFrame([(s,) for s in byte_bpe.Spelling(vocabulary).spell(words).to_pylist()], "spelled array<bigint>")
+    folded = frame.select(byte_bpe.fold(F.col("spelled"), pairs).alias("ids"))
+    text = folded._jdf.queryExecution().analyzed().toString()
+    assert text.count("aggregate(") == 1
+    found = sorted(b"".join(vocabulary.tokens[i] for i in r.ids) for r in folded.collect())
+    assert found == sorted(words)
+
+
+def test_words_of_texts_that_are_split_in_parts(monkeypatch):
+    texts = [b"don't", b"", b" a b", b"c " * 9, b"", "é 1".encode()]
+    whole, ends = byte_bpe.split(texts)
+    monkeypatch.setattr(byte_bpe, "_SPLIT_BYTES", 4)
+    parts, upto = byte_bpe.split(texts)
+    assert parts.to_pylist() == whole.to_pylist() and upto.tolist() == ends.tolist()
+    assert len(byte_bpe.split([])[0]) == 0
+
+
+def test_ids_are_hashed_where_they_are_decoded(spark):
+    frame = spark.createDataFrame([(1, [72, 0, 5]), (2, []), (3, None), (None, [1] * 9)], "doc_id long, ids array<int>")
+    apart = byte_bpe.digests(byte_bpe.decode(frame, RANKS))
+    together = byte_bpe.digests(byte_bpe.decode(frame, RANKS, hashed=True))
+    assert together.columns == apart.columns and sorted(together.collect(), key=repr) == sorted(apart.collect(), key=repr)
+    assert together._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+
+
+def test_known_words_are_told_from_others_with_their_hash(monkeypatch):
+    vocabulary = byte_bpe.Vocabulary(RANKS)
+    words = [b" wordone", b" wordtwo", b" wordthree"]
+    table = pa.table({"word": pa.array(words, pa.binary()), "ids": pa.array([[1], [2, 3], [4]], pa.list_(pa.int32()))})
+    asked = pa.array([b" wordtwo", b"zz unknown", b"", vocabulary.tokens[300], b" wordtwo"], pa.large_binary())
+    known = len(vocabulary.tokens)
+    assert byte_bpe.Encoder(vocabulary.tokens, byte_bpe.Spelling(vocabulary), table).places(asked).tolist() == [known + 1, -1, -1, 300, known + 1]
+    monkeypatch.setattr(byte_bpe.xxhash, "xxh3_64_intdigest", len)  # words of one length share a hash
+    found = byte_bpe.Encoder(vocabulary.tokens, byte_bpe.Spelling(vocabulary), table).places(asked).tolist()
+    assert found[1:3] == [-1, -1] and found[0] in (-1, known + 1)
