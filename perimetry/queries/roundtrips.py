@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import itertools
 import struct
 import zipfile
 from collections.abc import Iterator
@@ -43,15 +44,19 @@ SOME_IDS = ("F-42", "F-42x", "GEO144", "GEO144x", "absent", "{G-19}")
 def shapefile_parts(attributes: dict[str, list[str | None]], shapes: list[list[np.ndarray] | None]) -> dict[str, bytes]:
     """Suffix -> content of a shapefile of text attributes and single polygons (rings of points)."""
     body, index = io.BytesIO(), io.BytesIO()
-    for number, rings in enumerate(shapes, 1):
+    sizes = [sum(map(len, rings or ())) for rings in shapes]
+    points = np.concatenate([np.zeros((0, 2)), *(r for rings in shapes for r in rings or ())]).astype("<f8")
+    ends = np.cumsum(sizes, dtype=np.int64)
+    starts = (ends - sizes)[np.array(sizes, np.int64) > 0]
+    boxes = iter(np.hstack([np.minimum.reduceat(points, starts), np.maximum.reduceat(points, starts)]).tolist() if len(starts) else ())
+    data = points.tobytes()
+    for number, (rings, size, end) in enumerate(zip(shapes, sizes, ends.tolist()), 1):
         if rings is None:
             content = struct.pack("<i", 0)
         else:
-            points = np.concatenate([np.zeros((0, 2)), *rings])
-            box = (*points.min(0), *points.max(0)) if len(points) else (0.0,) * 4
-            starts = np.cumsum([0, *map(len, rings)])[:-1]
-            content = struct.pack("<i4dii", 5, *box, len(rings), len(points))
-            content += starts.astype("<i4").tobytes() + points.astype("<f8").tobytes()
+            box = next(boxes) if size else (0.0,) * 4
+            firsts = [0, *itertools.accumulate(map(len, rings))][:-1]
+            content = struct.pack(f"<i4dii{len(rings)}i", 5, *box, len(rings), size, *firsts) + data[16 * (end - size) : 16 * end]
         index.write(struct.pack(">ii", (100 + body.tell()) // 2, len(content) // 2))
         body.write(struct.pack(">ii", number, len(content) // 2) + content)
 

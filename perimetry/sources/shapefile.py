@@ -25,6 +25,7 @@ import json
 import struct
 import zipfile
 from collections.abc import Iterator
+from contextlib import ExitStack
 from dataclasses import dataclass
 
 import numpy as np
@@ -192,17 +193,36 @@ def geometry_array(shapes: list[list[list[np.ndarray]] | None]) -> pa.Array:
     polygons = [p for s in shapes if s for p in s]
     rings = [r for p in polygons for r in p]
     points = np.concatenate([np.zeros((0, 2)), *rings])
+    return _nested(points, [len(r) for r in rings], [len(p) for p in polygons], [len(s or ()) for s in shapes], [s is None for s in shapes])
 
-    def offsets(sizes: list[int]) -> np.ndarray:
+
+def _nested(points: np.ndarray, rings, polygons, shapes, missing) -> pa.Array:
+    """Points in rings, polygons and shapes of the given sizes."""
+
+    def offsets(sizes) -> np.ndarray:
         return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
 
     flat = pa.StructArray.from_arrays([pa.array(points[:, 0]), pa.array(points[:, 1])], fields=list(_POINT))
-    ring_array = pa.ListArray.from_arrays(pa.array(offsets([len(r) for r in rings])), flat)
-    polygon_array = pa.ListArray.from_arrays(pa.array(offsets([len(p) for p in polygons])), ring_array)
-    missing = pa.array([s is None for s in shapes], pa.bool_())
-    return pa.ListArray.from_arrays(
-        pa.array(offsets([len(s or ()) for s in shapes])), polygon_array, mask=missing
-    )
+    ring_array = pa.ListArray.from_arrays(pa.array(offsets(rings)), flat)
+    polygon_array = pa.ListArray.from_arrays(pa.array(offsets(polygons)), ring_array)
+    return pa.ListArray.from_arrays(pa.array(offsets(shapes)), polygon_array, mask=pa.array(missing, pa.bool_()))
+
+
+def geometries(contents: list[bytes]) -> pa.Array:
+    """Nested Arrow array of the shapes of records. Records without shape or of one ring at most are taken together;
+    a batch with any other is read record by record."""
+    head = np.frombuffer(b"".join(c[:48].ljust(48, b"\0") for c in contents), "<i4").reshape(-1, 12).astype(np.int64)
+    kind, parts, number, first = head[:, 0], head[:, 9], head[:, 10], head[:, 11]
+    size = np.array([len(c) for c in contents], np.int64)
+    missing = (kind == _NO_SHAPE) & (size >= 4)
+    whole = np.isin(kind, _POLYGONS) & (number >= 0) & (size >= 44 + 4 * parts + 16 * number)
+    empty = whole & ((parts == 0) | ((parts == 1) & (first == 0) & (number == 0)))
+    ring = whole & (parts == 1) & (first == 0) & (number > 0)
+    if not (missing | empty | ring).all():
+        return geometry_array([polygons_of(c) for c in contents])
+    data = b"".join(c[48 : 48 + 16 * n] for c, n in zip(contents, np.where(ring, number, 0).tolist()))
+    points = np.frombuffer(data, "<f8").reshape(-1, 2)
+    return _nested(points, number[ring], np.ones(int(ring.sum()), np.int64), ring.astype(np.int64), missing)
 
 
 def selected(entries: list, pattern: str) -> list[tuple]:
@@ -222,6 +242,25 @@ def selected(entries: list, pattern: str) -> list[tuple]:
     return found
 
 
+class _Files:
+    """The files of the shapefile that a task reads from, open while its pieces follow each other. ``base`` names
+    them when they were found to be sound, so a fault is found again, and reported, for each piece."""
+
+    def __init__(self) -> None:
+        self.base, self.found, self.held = None, (), ExitStack()
+
+    def opened(self, system, base: str) -> list:
+        self.held.close()
+        self.base = None
+        return [self.held.enter_context(system.open_input_file(base + suffix)) for suffix in (".shp", ".shx", ".dbf")]
+
+    def __enter__(self) -> _Files:
+        return self
+
+    def __exit__(self, kind, error, trace) -> None:
+        self.held.close()
+
+
 class ShapefileSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -298,17 +337,18 @@ class ShapefileReader(DataSourceReader):
 
     # In a task.
     def read(self, partition: _Range | _Ranges) -> Iterator[pa.RecordBatch]:
-        for one in partition.ranges if isinstance(partition, _Ranges) else [partition]:
-            yield from self._read_one(one)
+        with _Files() as files:
+            for one in partition.ranges if isinstance(partition, _Ranges) else [partition]:
+                yield from self._read_one(one, files)
 
-    def _read_one(self, partition: _Range) -> Iterator[pa.RecordBatch]:
+    def _read_one(self, partition: _Range, files: _Files) -> Iterator[pa.RecordBatch]:
         if not partition.path:
             return
         try:
             if partition.stop < 0:
                 yield from self._read_archive(partition)
             else:
-                yield from self._read_range(partition)
+                yield from self._read_range(partition, files)
         except Exception as error:
             if self.fail_fast:
                 raise
@@ -316,13 +356,13 @@ class ShapefileReader(DataSourceReader):
 
     def _error(self, partition: _Range, text: str) -> pa.RecordBatch:
         nothing = {c: [None] for c in self.columns}
-        return self._batch(nothing, [None], partition, np.array([partition.first + partition.start]), None, text)
+        return self._batch(nothing, geometry_array([None]), partition, np.array([partition.first + partition.start]), None, text)
 
     def _batch(self, texts, shapes, partition, record_no, srid, error=None) -> pa.RecordBatch:
         n = len(shapes)
         arrays = [pa.array(texts[c], pa.string()) for c in self.columns]
         arrays += [
-            geometry_array(shapes),
+            shapes,
             pa.array([partition.path] * n, pa.string()),
             pa.array([partition.file_no] * n, pa.int32()),
             pa.array(record_no, pa.int64()),
@@ -342,10 +382,10 @@ class ShapefileReader(DataSourceReader):
             c: [None] * len(rows) if f is None else table.texts(rows, f, c in ID_COLUMNS)
             for c, f in fields.items()
         }
-        shapes = [polygons_of(contents[i]) for i in alive.tolist()]
+        shapes = geometries([contents[i] for i in alive.tolist()])
         return self._batch(texts, shapes, partition, first + alive, srid)
 
-    def _read_range(self, partition: _Range) -> Iterator[pa.RecordBatch]:
+    def _read_range(self, partition: _Range, files: _Files) -> Iterator[pa.RecordBatch]:
         system, _ = open_fs(self.staged if partition.staged else self.root)
         if partition.staged and partition.staged.endswith(f"/{UNREADABLE}"):
             raise UnsupportedFile(system.open_input_file(partition.staged).read().decode("utf-8", "replace"))
@@ -356,25 +396,24 @@ class ShapefileReader(DataSourceReader):
                 return None
             return system.open_input_file(base + suffix).read().decode("utf-8", "replace")
 
-        with (
-            system.open_input_file(base + ".shp") as shp,
-            system.open_input_file(base + ".shx") as shx,
-            system.open_input_file(base + ".dbf") as dbf,
-        ):
+        if files.base != base:  # the pieces of a file that share a task lie next to each other
+            shp, shx, dbf = files.opened(system, base)
             check_main_header(shp.read(MAIN_HEADER), shp.size())
             table = _Attributes(dbf, _encoding(text(".cpg")))
             total = (shx.size() - MAIN_HEADER) // 8
             if table.records != total or dbf.size() < table.begin + total * table.width:
                 raise UnsupportedFile("attribute table and shapes differ in length")
-            srid, fields = srid_of(text(".prj"), self.nad83), self._resolve(table)
-            shx.seek(MAIN_HEADER + 8 * partition.start)
-            index = np.frombuffer(shx.read(8 * (partition.stop - partition.start)), ">i4")
-            offset, size = index.reshape(-1, 2).astype(np.int64).T * 2
-            dbf.seek(table.begin + partition.start * table.width)
-            for a, b in _batches(size):
-                contents = _contents(shp, offset[a:b], size[a:b])
-                rows = table.read(b - a)
-                yield self._decode(table, fields, rows, contents, partition, partition.first + partition.start + a, srid)
+            files.found = (shp, shx, dbf, table, srid_of(text(".prj"), self.nad83), self._resolve(table))
+            files.base = base
+        shp, shx, dbf, table, srid, fields = files.found
+        shx.seek(MAIN_HEADER + 8 * partition.start)
+        index = np.frombuffer(shx.read(8 * (partition.stop - partition.start)), ">i4")
+        offset, size = index.reshape(-1, 2).astype(np.int64).T * 2
+        dbf.seek(table.begin + partition.start * table.width)
+        for a, b in _batches(size):
+            contents = _contents(shp, offset[a:b], size[a:b])
+            rows = table.read(b - a)
+            yield self._decode(table, fields, rows, contents, partition, partition.first + partition.start + a, srid)
 
     def _read_archive(self, partition: _Range) -> Iterator[pa.RecordBatch]:
         system, _ = open_fs(self.root)

@@ -22,6 +22,7 @@ from perimetry.sinks.outputs import read_rejects, read_unified, with_geom, write
 from perimetry.sinks.publish import prune
 from perimetry.sources.perimeters import readable, scan, scan_all, stage_archives, unreadable
 from perimetry.sources.files import packed
+from perimetry.sources import shapefile
 from perimetry.sources.shapefile import ShapefileReader, ShapefileSource, _contents, polygons_of, srid_of, UnsupportedFile
 
 HISTORY = "InterAgencyFirePerimeterHistory_"
@@ -471,3 +472,49 @@ def test_many_small_pieces_share_tasks(spark, tmp_path):
     assert packed(list("abcd"), [1, 1, 9, 1], 2) == [["a", "b"], ["c", "d"]]
     assert packed([1, 2, 3], [5, 0, 5], 3) == [[1], [2], [3]]
     assert max(map(len, packed(range(100), [64 << 20] * 100, 4))) <= 2  # a task's bytes are bounded
+
+
+def _records(shapes):
+    body, found = shapefile_parts({"a": ["x"] * len(shapes)}, shapes)[".shp"], []
+    while len(body) > 100 + sum(len(c) + 8 for c in found):
+        at = 100 + sum(len(c) + 8 for c in found)
+        found.append(body[at + 8 : at + 8 + 2 * struct.unpack_from(">i", body, at + 4)[0]])
+    return found
+
+
+def test_records_of_one_ring_are_read_together(monkeypatch):
+    plain = [None, [], [box(0, 0)], [box(1, 1)[:0]], [box(2, 2, clockwise=False)], [box(3, 3)[:2]], None]
+    mixed = [*plain, [box(4, 4), box(4, 4, 0.5, clockwise=False)]]
+    for shapes in (plain, mixed, [], [None], [[]]):
+        contents = _records(shapes)
+        expected = shapefile.geometry_array([polygons_of(c) for c in contents])
+        assert shapefile.geometries(contents).to_pylist() == expected.to_pylist()
+    contents, one_by_one = _records(plain), []
+    monkeypatch.setattr(shapefile, "polygons_of", lambda c: one_by_one.append(c) or polygons_of(c))
+    assert len(shapefile.geometries(contents)) == 7 and one_by_one == []
+    for bad in (contents[2][:60], b"", struct.pack("<i", 3) + contents[2][4:]):
+        with pytest.raises((struct.error, ValueError)):
+            shapefile.geometries([contents[2], bad])
+
+
+def test_written_boxes_are_those_of_each_record():
+    shapes = [None, [box(0, 0), box(5, 5)], [], [box(2, 2)[:0]], [box(7, 1)]]
+    boxes = [struct.unpack_from("<4d", c, 4) if len(c) > 4 else None for c in _records(shapes)]
+    assert boxes == [None, (-1, -1, 6, 6), (0,) * 4, (0,) * 4, (6, 0, 8, 2)]
+    assert [struct.unpack_from("<2i", c, 44) for c in _records(shapes)[1:2]] == [(0, 5)]
+
+
+def test_pieces_of_a_file_in_one_task_open_it_once(tmp_path, monkeypatch):
+    raw = tmp_path / "raw"
+    put(raw / f"{HISTORY}a", *simple(40))
+    put(raw / f"{HISTORY}b", *simple(40))
+    (raw / f"{HISTORY}b" / "Perimeters.dbf").write_bytes(b"cut")
+    reader = ShapefileReader({"path": str(raw), "pattern": f"{HISTORY}*", "columns": "uniquefire", "split_bytes": "1000", "tasks": "1"})
+    opened, real = [], shapefile._Files.opened
+    monkeypatch.setattr(shapefile._Files, "opened", lambda self, system, base: opened.append(base) or real(self, system, base))
+    (task,) = reader.partitions()
+    rows = [r for b in reader.read(task) for r in b.to_pylist()]
+    pieces = [r for r in task.ranges if "_a/" in r.path]
+    assert len(pieces) > 3 and sum(base.endswith("_a/Perimeters") for base in opened) == 1
+    assert [r["uniquefire"] for r in rows if not r["error"]] == [f"f{i}" for i in range(40)]
+    assert [r["record_no"] for r in rows if r["error"]] == [r.start for r in task.ranges if "_b/" in r.path]
