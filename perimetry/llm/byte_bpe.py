@@ -36,9 +36,9 @@ from pyspark.sql import types as T
 from perimetry.plans.storage import written
 
 _SLICE_BYTES = 8 << 20
-_ENCODE_BYTES = 2 << 20  # encoded at a time, beside the dictionary
-_SPLIT_BYTES = 1 << 20  # split at a time: this takes some thirty bytes for each byte of text
-_SLICE_TOKENS = 1 << 20
+_ENCODE_BYTES = 1 << 20  # encoded at a time, beside the dictionary
+_SPLIT_BYTES = 1 << 18  # split at a time: this takes some thirty bytes for each byte of text
+_SLICE_TOKENS = 1 << 17  # decoded at a time: this takes some fifty bytes for each token
 _DICTIONARY_BYTES = 48
 _NONE = 1 << 20  # above all ranks
 _ID = (1 << 17) - 1  # the bits of a token in an entry of the fold
@@ -293,7 +293,7 @@ def fold(spelled: Column, pairs: PairTable) -> Column:
             renewed = F.array(
                 entry(token(before), new, before.bitwiseAND(place)),
                 entry(new, token(after), best.bitwiseAND(place - _ID).bitwiseOR(new)))
-            return F.flatten(F.array(F.slice(state, F.lit(1), k - 1), renewed, F.slice(state, k + 3, F.size(state))))
+            return F.concat(F.slice(state, F.lit(1), k - 1), renewed, F.slice(state, k + 3, F.size(state)))
 
         return _bound(F.size(F.filter(state, lambda e: e.bitwiseAND(place) < best.bitwiseAND(place))), at)
 
@@ -321,6 +321,8 @@ def _known_words(docs: DataFrame, text_col: str, tokens: pa.Array) -> DataFrame:
                     pc.less_equal(pc.binary_length(words), _DICTIONARY_BYTES), pc.invert(pc.is_in(words, value_set=tokens)))
                 yield pa.RecordBatch.from_arrays(
                     [words.filter(wanted).cast(pa.binary()), n.filter(wanted).cast(pa.int64())], names=["word", "n"])
+                del counted, words, n, wanted
+                pa.default_memory_pool().release_unused()  # the worker goes on to encode
 
     words = docs.select(F.col(text_col).cast("binary").alias("text")).mapInArrow(run, "word binary, n bigint")
     return words.groupBy("word").agg(F.sum("n").alias("n"))
@@ -352,15 +354,16 @@ def dictionary(docs: DataFrame, vocabulary: Vocabulary, pairs: PairTable, dictio
 
 
 class Encoder:
-    """Known words of a slice as tokens, the others spelled."""
+    """Known words of a slice as tokens, the others spelled.
+
+    It is made once, on the driver. Workers use the arrays of the broadcast as they come, so each holds one copy only.
+    """
 
     def __init__(self, tokens: list[bytes], spelling: Spelling, words: pa.Table) -> None:
         single = pa.ListArray.from_arrays(
             pa.array(range(len(tokens) + 1), pa.int32()), pa.array(range(len(tokens)), pa.int32()))
-        more = words.column("ids").combine_chunks()
-        self.words = pa.concat_arrays([
-            pa.array(tokens, pa.large_binary()), words.column("word").combine_chunks().cast(pa.large_binary())])
-        self.ids = pa.concat_arrays([single, more.cast(single.type)])
+        self.words = pa.concat_arrays([pa.array(tokens, pa.binary()), *words.column("word").cast(pa.binary()).chunks])
+        self.ids = pa.concat_arrays([single, *words.column("ids").cast(single.type).chunks])
         self.spelling = spelling
         hashes = _hashes(self.words)
         self.order = np.argsort(hashes, kind="stable").astype(np.int32)
@@ -372,7 +375,7 @@ class Encoder:
         hashes = _hashes(words)
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         place = self.order[at]
-        same = pc.equal(self.words.take(pa.array(place)), words).to_numpy(zero_copy_only=False)
+        same = pc.equal(self.words.take(pa.array(place)).cast(words.type), words).to_numpy(zero_copy_only=False)
         return np.where(same & (self.hashes[at] == hashes), place, -1)
 
     def encode(self, texts: list[bytes]) -> tuple[pa.Array, pa.Array]:
@@ -403,19 +406,6 @@ def _lists(bounds: np.ndarray, values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), values)
 
 
-_LOADED: dict[str, Encoder] = {}
-
-
-def _loaded(broadcast, key: str) -> Encoder:
-    """One encoder per worker."""
-    if key not in _LOADED:
-        _LOADED.clear()
-        tokens, spelling, words = broadcast.value
-        _LOADED[key] = Encoder(tokens, spelling, pa.ipc.open_stream(words).read_all())
-        pa.default_memory_pool().release_unused()
-    return _LOADED[key]
-
-
 def encode(
     docs: DataFrame, ranks: str, dictionary_words: int = 1 << 20, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -430,17 +420,13 @@ def encode(
     vocabulary = Vocabulary(ranks)
     pairs = PairTable(len(vocabulary.tokens), vocabulary.pairs())
     words = dictionary(docs, vocabulary, pairs, dictionary_words, text_col)
-    stream = pa.BufferOutputStream()
-    with pa.ipc.new_stream(stream, words.schema) as writer:
-        writer.write_table(words)
-    shipped = spark.sparkContext.broadcast((vocabulary.tokens, Spelling(vocabulary), stream.getvalue().to_pybytes()))
-    key = f"{ranks} {id(shipped)} {len(words)}"
+    shipped = spark.sparkContext.broadcast(Encoder(vocabulary.tokens, Spelling(vocabulary), words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
             for part in _slices(batch.column(1), _ENCODE_BYTES):
-                runs, raw = _loaded(shipped, key).encode(part)
+                runs, raw = shipped.value.encode(part)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, len(part)), runs, raw], names=["doc_id", "runs", "raw"])
                 at += len(part)
@@ -496,6 +482,8 @@ def decode(encoded: DataFrame, ranks: str, hashed: bool = False) -> DataFrame:
                 decoded = pc.if_else(lists.is_valid(), whole, None).cast(pa.binary())
                 added = {"decoded": decoded} | ({"ids_sha256": _id_sums(lists)} if hashed else {})
                 yield pa.RecordBatch.from_arrays([*part.columns, *added.values()], names=[*part.schema.names, *added])
+                del taken, starts, whole, decoded, added
+                pa.default_memory_pool().release_unused()
 
     added = [T.StructField("decoded", T.BinaryType()), *([T.StructField("ids_sha256", T.StringType())] if hashed else [])]
     return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, *added]))

@@ -1,6 +1,7 @@
 """Byte-level BPE, periodic runs and conversation repair against libraries and brute force."""
 
 import hashlib
+import pickle
 import random
 import zlib
 from functools import lru_cache
@@ -381,3 +382,19 @@ def test_known_words_are_told_from_others_with_their_hash(monkeypatch):
     monkeypatch.setattr(byte_bpe.xxhash, "xxh3_64_intdigest", len)  # words of one length share a hash
     found = byte_bpe.Encoder(vocabulary.tokens, byte_bpe.Spelling(vocabulary), table).places(asked).tolist()
     assert found[1:3] == [-1, -1] and found[0] in (-1, known + 1)
+
+
+def test_workers_use_the_encoder_as_it_is_sent(spark, library, monkeypatch):
+    """Built in each worker, it takes several times its size there."""
+    sent, send = [], spark.sparkContext.broadcast
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda value: sent.append(value) or send(value))
+    text = " zzyzx qwrtp don't" * 3
+    frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert byte_bpe.encode(frame, RANKS).first().ids == library.encode_ordinary(text)
+    (encoder,) = (value for value in sent if isinstance(value, byte_bpe.Encoder))
+    content = pickle.dumps(encoder, 5)
+    before = pa.total_allocated_bytes()
+    loaded = pickle.loads(content)
+    assert pa.total_allocated_bytes() == before
+    runs, raw = loaded.encode([text.encode(), b""])
+    assert (runs.to_pylist(), raw.to_pylist()) == tuple(a.to_pylist() for a in encoder.encode([text.encode(), b""]))
