@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import io
-import itertools
 import struct
 import zipfile
 from collections.abc import Iterator
@@ -43,42 +42,52 @@ SOME_IDS = ("F-42", "F-42x", "GEO144", "GEO144x", "absent", "{G-19}")
 
 def shapefile_parts(attributes: dict[str, list[str | None]], shapes: list[list[np.ndarray] | None]) -> dict[str, bytes]:
     """Suffix -> content of a shapefile of text attributes and single polygons (rings of points)."""
-    body, index = io.BytesIO(), io.BytesIO()
-    sizes = [sum(map(len, rings or ())) for rings in shapes]
-    points = np.concatenate([np.zeros((0, 2)), *(r for rings in shapes for r in rings or ())]).astype("<f8")
-    ends = np.cumsum(sizes, dtype=np.int64)
-    starts = (ends - sizes)[np.array(sizes, np.int64) > 0]
-    boxes = iter(np.hstack([np.minimum.reduceat(points, starts), np.maximum.reduceat(points, starts)]).tolist() if len(starts) else ())
-    data = points.tobytes()
-    for number, (rings, size, end) in enumerate(zip(shapes, sizes, ends.tolist()), 1):
-        if rings is None:
-            content = struct.pack("<i", 0)
-        else:
-            box = next(boxes) if size else (0.0,) * 4
-            firsts = [0, *itertools.accumulate(map(len, rings))][:-1]
-            content = struct.pack(f"<i4dii{len(rings)}i", 5, *box, len(rings), size, *firsts) + data[16 * (end - size) : 16 * end]
-        index.write(struct.pack(">ii", (100 + body.tell()) // 2, len(content) // 2))
-        body.write(struct.pack(">ii", number, len(content) // 2) + content)
+    body, index = _records(shapes)
 
     def main(payload: bytes) -> bytes:
         words = (100 + len(payload)) // 2
         return struct.pack(">7i", 9994, 0, 0, 0, 0, 0, words) + struct.pack("<2i8d", 1000, 5, *[0.0] * 8) + payload
 
-    widths = {k: max([1, *(len((v or "").encode()) for v in vs)]) for k, vs in attributes.items()}
+    cells = {k: [(v or "").encode() for v in vs] for k, vs in attributes.items()}
+    widths = {k: max([1, *map(len, vs)]) for k, vs in cells.items()}
     head = b"".join(
         k.encode().ljust(11, b"\0") + b"C" + bytes(4) + bytes([w, 0]) + bytes(14) for k, w in widths.items()
     )
     count = len(shapes)
     table = struct.pack("<4BIHH20x", 3, 124, 1, 1, count, 33 + len(head), 1 + sum(widths.values())) + head + b"\r"
-    rows = [
-        b" " + b"".join((attributes[k][i] or "").encode().ljust(w) for k, w in widths.items()) for i in range(count)
-    ]
+    columns = [np.frombuffer(b"".join(c.ljust(w) for c in cells[k]), np.uint8).reshape(count, w) for k, w in widths.items()]
+    rows = np.hstack([np.full((count, 1), ord(" "), np.uint8), *columns])
     return {
-        ".shp": main(body.getvalue()), ".shx": main(index.getvalue()), ".dbf": table + b"".join(rows),
+        ".shp": main(body), ".shx": main(index), ".dbf": table + rows.tobytes(),
         ".prj": WGS84.encode(), ".cpg": b"UTF-8",
     }
 
 
+def _records(shapes: list[list[np.ndarray] | None]) -> tuple[bytes, bytes]:
+    """The records of the shapes, and their entries in the index. All is put in its place as words of four bytes."""
+    rings = [r for some in shapes for r in some or ()]
+    points = np.concatenate([np.zeros((0, 2)), *rings]).astype("<f8")
+    parts = np.array([len(some or ()) for some in shapes], np.int64)
+    ring_sizes = np.array([len(r) for r in rings], np.int64)
+    ring_starts = np.append(0, np.cumsum(ring_sizes))
+    bounds = ring_starts[np.append(0, np.cumsum(parts))]  # of each shape's points
+    sizes = np.diff(bounds)
+    present = np.array([some is not None for some in shapes], bool)
+    words = np.where(present, 11 + parts + 4 * sizes, 1)
+    at = np.cumsum(2 + words) - 2 - words
+    body = np.zeros(int((2 + words).sum()), "<i4")
+    body[at], body[at + 1] = np.arange(1, len(shapes) + 1).astype(">i4").view("<i4"), (2 * words).astype(">i4").view("<i4")
+    body[at[present] + 2], body[at[present] + 11], body[at[present] + 12] = 5, parts[present], sizes[present]
+    some = np.flatnonzero(sizes)
+    if len(some):
+        box = np.hstack([np.minimum.reduceat(points, bounds[some]), np.maximum.reduceat(points, bounds[some])])
+        body[at[some, None] + 3 + np.arange(8)] = box.view("<i4")
+    firsts = np.cumsum(parts) - parts
+    body[np.repeat(at + 13 - firsts, parts) + np.arange(len(rings))] = ring_starts[:-1] - np.repeat(bounds[:-1], parts)
+    body[np.repeat(at + 13 + parts - 4 * bounds[:-1], 4 * sizes) + np.arange(4 * len(points))] = points.view("<i4").ravel()
+    return body.tobytes(), np.column_stack([50 + 2 * at, 2 * words]).astype(">i4").tobytes()
+
+
 def _write_files(raw_dir: str, folders: dict[str, str], members: int, packed: bool):
     """Task body: each batch becomes one archive or folder per source, of ``members`` shapefiles. Names depend
     only on the partition and batch, so a repeated task writes the same files again."""
@@ -111,7 +120,7 @@ def _write_files(raw_dir: str, folders: dict[str, str], members: int, packed: bo
 
 def _parts(rows: pd.DataFrame) -> dict[str, bytes]:
     texts = {field: [None if pd.isna(v) else v for v in rows[column]] for column, field in FIELDS.items()}
-    return shapefile_parts(texts, [_rings(r) for r in rows.itertuples()])
+    return shapefile_parts(texts, _rings(rows))
 
 
 def _zipped(files: dict[str, bytes]) -> bytes:
@@ -122,15 +131,13 @@ def _zipped(files: dict[str, bytes]) -> bytes:
     return packed.getvalue()
 
 
-def _rings(row) -> list[np.ndarray] | None:
-    if row.geom_kind == "null":
-        return None
-    if row.geom_kind == "empty":
-        return []
-    x, y, h = row.cx, row.cy, row.half
-    box = [(x - h, y - h), (x - h, y + h), (x + h, y + h), (x + h, y - h), (x - h, y - h)]
-    order = [0, 1, 2, 3, 4] if row.geom_kind == "box" else [0, 2, 1, 3, 4]
-    return [np.array([box[i] for i in order])]
+def _rings(rows: pd.DataFrame) -> list[list[np.ndarray] | None]:
+    x, y, h = (rows[c].to_numpy(float) for c in ("cx", "cy", "half"))
+    low, high = np.stack([x - h, y - h]), np.stack([x + h, y + h])
+    box = np.stack([low, [low[0], high[1]], high, [high[0], low[1]], low]).transpose(2, 0, 1)
+    crossed = box[:, [0, 2, 1, 3, 4]]
+    made = {"null": lambda i: None, "empty": lambda i: [], "box": lambda i: [box[i]]}
+    return [made.get(kind, lambda i: [crossed[i]])(i) for i, kind in enumerate(rows["geom_kind"])]
 
 
 def _raw_files(spark: SparkSession, sf_dir: str, members: int = 1, packed: bool = True) -> str:

@@ -80,7 +80,9 @@ def scan_all(
 
 def readable(rows: DataFrame) -> DataFrame:
     """Records of files that were read without error; a file that failed halfway gives none."""
-    return rows.filter("error IS NULL").join(unreadable(rows).select("file").distinct(), "file", "left_anti")
+    # sent to the records, which else are shuffled by file: the driver has listed all files, so it holds these
+    failed = F.broadcast(unreadable(rows).select("file").distinct())
+    return rows.filter("error IS NULL").join(failed, "file", "left_anti")
 
 
 def unreadable(rows: DataFrame) -> DataFrame:

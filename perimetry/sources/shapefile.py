@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from perimetry.operators.fields import AliasIndex
@@ -47,6 +48,7 @@ _MOST_FILES, _MOST_RECORDS = 1 << 24, 1 << 32
 
 _BATCH_RECORDS = 1024
 _BATCH_BYTES = 32 << 20
+_READ_BYTES = 1 << 20  # of an archive's member at a time
 SPLIT_BYTES = 128 << 20
 UNREADABLE = "_unreadable"  # holds the reason in the folder of a staged archive
 
@@ -126,8 +128,10 @@ class _Attributes:
             raise UnsupportedFile("attribute table is cut off")
         return np.frombuffer(data, np.uint8).reshape(number, self.width)
 
-    def texts(self, rows: np.ndarray, name: str, zero_is_null: bool) -> list[str | None]:
+    def texts(self, rows: np.ndarray, name: str, zero_is_null: bool) -> list[str | None] | pa.Array:
         at, length, kind, decimals = self.fields[name]
+        if kind == "C" and rows.size and length and ((plain := rows[:, at : at + length]) >= 0x20).all() and (plain <= 0x7E).all():
+            return _plain_texts(plain)
         cells = np.ascontiguousarray(rows[:, at : at + length]).view(f"S{length}").ravel()
         decoded = (c.decode(self.encoding, "replace").strip() for c in cells.tolist())
         if kind == "C":
@@ -141,6 +145,13 @@ class _Attributes:
         return [c or None for c in decoded]
 
 
+def _plain_texts(cells: np.ndarray) -> pa.Array:
+    """As ``_Attributes.texts`` of printable ASCII, taken together."""
+    fixed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(cells.shape[1]), len(cells), [None, pa.py_buffer(cells.tobytes())])
+    texts = pc.ascii_trim(fixed.cast(pa.binary()).cast(pa.string()), " ")
+    return pc.if_else(pc.equal(texts, ""), None, texts)
+
+
 def _number(text: str, whole: bool, zero_is_null: bool) -> str | None:
     try:
         value = int(text) if whole else float(text)
@@ -360,7 +371,7 @@ class ShapefileReader(DataSourceReader):
 
     def _batch(self, texts, shapes, partition, record_no, srid, error=None) -> pa.RecordBatch:
         n = len(shapes)
-        arrays = [pa.array(texts[c], pa.string()) for c in self.columns]
+        arrays = [t if isinstance(t := texts[c], pa.Array) else pa.array(t, pa.string()) for c in self.columns]
         arrays += [
             shapes,
             pa.array([partition.path] * n, pa.string()),
@@ -434,7 +445,7 @@ class ShapefileReader(DataSourceReader):
                     check_main_header(header, archive.getinfo(shape_name).file_size)
                     table = _Attributes(dbf, _encoding(text(".cpg")))
                     fields = self._resolve(table)
-                    for contents in _stream_records(shp, table.records):
+                    for contents in _records_of(shp, table.records):
                         rows = table.read(len(contents))
                         yield self._decode(table, fields, rows, contents, partition, first, srid)
                         first += len(contents)
@@ -483,7 +494,8 @@ def _batches(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
         yield a, len(sizes)
 
 
-def _stream_records(shp: io.BufferedIOBase, number: int) -> Iterator[list[bytes]]:
+def _records_of(member: io.BufferedIOBase, number: int) -> Iterator[list[bytes]]:
+    shp = io.BufferedReader(member, _READ_BYTES)  # a member's own reads are slow
     held: list[bytes] = []
     total = 0
     for _ in range(number):

@@ -1,5 +1,6 @@
 """Shapefile source, sinks and the five jobs on files written by the tests."""
 
+import io
 import itertools
 import json
 import os
@@ -11,6 +12,7 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from perimetry.config import Settings, SourceSpec
@@ -518,3 +520,67 @@ def test_pieces_of_a_file_in_one_task_open_it_once(tmp_path, monkeypatch):
     assert len(pieces) > 3 and sum(base.endswith("_a/Perimeters") for base in opened) == 1
     assert [r["uniquefire"] for r in rows if not r["error"]] == [f"f{i}" for i in range(40)]
     assert [r["record_no"] for r in rows if r["error"]] == [r.start for r in task.ranges if "_b/" in r.path]
+
+
+def test_records_are_not_shuffled_to_leave_out_failed_files(spark):
+    rows = spark.createDataFrame([("a", None), ("b", None), ("b", "cut off")], "file string, error string")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = readable(rows)
+        plan = left._jdf.queryExecution().executedPlan().toString()
+        assert [r.file for r in left.collect()] == ["a"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_plain_attributes_are_decoded_together():
+    def read(*values):
+        width = max(map(len, values))
+        data = b"".join(v.ljust(width) for v in values)
+        table = shapefile._Attributes.__new__(shapefile._Attributes)
+        table.fields, table.encoding = {"a": (0, width, "C", 0)}, "utf-8"
+        return table.texts(np.frombuffer(data, np.uint8).reshape(len(values), width), "a", False)
+
+    plain = read(b" a b ", b"", b"   ", b"~!0")
+    assert isinstance(plain, pa.Array) and plain.to_pylist() == ["a b", None, None, "~!0"]
+    assert read(b" a b ", "é ".encode(), b"\tx", b"") == ["a b", "é", "x", None]
+
+
+def test_records_of_an_archive_are_read_many_at_a_time():
+    class Member(io.BytesIO):
+        calls = 0
+
+        def readinto(self, into):
+            self.calls += 1
+            return super().readinto(into)
+
+        def read(self, n=-1):
+            self.calls += 1
+            return super().read(n)
+
+    parts = shapefile_parts({"a": ["x"] * 500}, [[np.arange(8.0).reshape(4, 2)]] * 500)
+    member = Member(parts[".shp"])
+    member.read(100)
+    found = [c for some in shapefile._records_of(member, 500) for c in some]
+    assert len(found) == 500 and len(set(found)) == 1 and member.calls < 10
+
+
+def test_shapes_of_several_rings_are_written_in_their_places():
+    ring = np.array([(0, 0), (0, 4), (4, 4), (4, 0), (0, 0)], float)
+    shapes = [None, [], [ring, ring[::-1] / 2 + 1], [ring + 9], [np.zeros((0, 2))], [ring, ring + 20]]
+    parts, at = shapefile_parts({"a": ["x"] * len(shapes)}, shapes), 100
+    for number, some in enumerate(shapes):
+        offset, length = struct.unpack_from(">ii", parts[".shx"], 100 + 8 * number)
+        assert (2 * offset, struct.unpack_from(">ii", parts[".shp"], at)) == (at, (number + 1, length))
+        content = parts[".shp"][at + 8 : at + 8 + 2 * length]
+        if some is None:
+            assert content == bytes(4)
+        else:
+            points = np.concatenate([np.zeros((0, 2)), *some])
+            box = [*points.min(0), *points.max(0)] if len(points) else [0.0] * 4
+            firsts = [sum(map(len, some[:i])) for i in range(len(some))]
+            assert content == struct.pack(f"<i4dii{len(some)}i", 5, *box, len(some), len(points), *firsts) + points.tobytes()
+        at += 8 + 2 * length
+    assert at == len(parts[".shp"])
